@@ -26,9 +26,22 @@ def pair_metrics(positions: DataFrame, contexts: Contexts, path: str | None = No
     only those meet the model tables. Pairs, contexts and tokens never seen in
     training get their backed-off values.
     """
-    model = contexts.model
     types = positions.groupBy(F.col("tok").alias("prev"), "next").agg(F.count("*").alias("n"))
-    counted = types.join(model.pairs.select("prev", "next", "n_q"), ["prev", "next"], "left")
+    trained = contexts.model.pairs.select("prev", "next", "n_q")
+    return _valued(types.join(trained, ["prev", "next"], "left"), contexts, path)
+
+
+def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFrame:
+    """The same for the pairs of the training corpora, which are counted already.
+
+    Enough for texts that the models were trained on as a whole.
+    """
+    counted = contexts.model.pairs.select("prev", "next", F.col("n_q").alias("n"), "n_q")
+    return _valued(counted, contexts, path)
+
+
+def _valued(counted: DataFrame, contexts: Contexts, path: str | None) -> DataFrame:
+    model = contexts.model
     prevs = contexts.table.select(F.col("tok").alias("prev"), "as_prev", "c_q", "h", "log_z")
     nexts = contexts.table.select(F.col("tok").alias("next"), "as_next", F.col("n_q").alias("w_q"))
     joined = salted_lookup(counted, prevs, "prev", "as_prev", model.pair_types)
@@ -51,7 +64,8 @@ def token_metrics(positions: DataFrame, metrics: DataFrame, keys: Sequence[str],
 
     Frequent pairs never shuffle: their values are broadcast, and a following
     aggregate per text combines them where the text is read. The rest, which
-    has no hot key left, meets ``metrics`` in a shuffled join.
+    has no hot key left, meets ``metrics`` in a shuffled join. A pair without
+    values fails the query rather than losing its position.
     """
     total = metrics.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_hot = (F.col("n") > total / hot_pairs) & (F.length("tok") + F.length("next") <= HOT_PAIR_CHARS)
@@ -60,8 +74,9 @@ def token_metrics(positions: DataFrame, metrics: DataFrame, keys: Sequence[str],
     cold = values.where("NOT _hot").drop("_hot")
     frequent = positions.join(F.broadcast(hot), ["tok", "next"])
     rare = positions.join(F.broadcast(hot.select("tok", "next")), ["tok", "next"], "left_anti").join(
-        cold, ["tok", "next"]
+        cold, ["tok", "next"], "left"
     )
+    rare = rare.withColumn("h", F.coalesce("h", F.raise_error(F.lit("token pair without values"))))
     return frequent.unionByName(rare).select(*keys, "pos", "tok", "nll", "h")
 
 

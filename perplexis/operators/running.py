@@ -7,6 +7,7 @@ of each range continue from there. Results do not depend on where the cuts are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -22,7 +23,8 @@ def with_ranges(df: DataFrame, column: str, ranges: int = RANGES, error: float =
     The driver receives at most ``ranges`` cut points.
     """
     cuts = df.approxQuantile(column, [i / ranges for i in range(1, ranges)], error)
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+    finite = sorted({c for c in cuts if math.isfinite(c)}) or [0.0]
+    splits = [-math.inf, *finite, math.inf]
     numeric = df.withColumn("_cut", F.col(column).cast("double"))
     return (
         Bucketizer(splits=splits, inputCol="_cut", outputCol="_range", handleInvalid="keep")

@@ -24,7 +24,7 @@ from perplexis.operators import tokens as K
 from perplexis.operators.sampling import sampled_cross_perplexity
 from perplexis.plans.scoring import Scorer, score_texts
 from perplexis.sources import files
-from perplexis.sources.workspace import new_path, stored
+from perplexis.sources.workspace import new_path, spread, stored
 
 KEYS = ("src", "doc_id", "turn")
 TEMPERATURE = 1.7
@@ -58,7 +58,7 @@ class Tables:
         conversations = self.read("conversations").select(
             F.lit("conversations").alias("src"), F.col("conv_id").alias("doc_id"), "turn", "text"
         )
-        return documents.unionByName(conversations)
+        return spread(documents.unionByName(conversations))
 
     @cached_property
     def toks(self) -> DataFrame:
@@ -86,11 +86,11 @@ class Tables:
 
     @cached_property
     def pair_values(self) -> DataFrame:
-        return M.pair_metrics(self.positions, self.contexts)
+        return M.trained_pair_metrics(self.contexts)
 
     @cached_property
     def tempered_pair_values(self) -> DataFrame:
-        return M.pair_metrics(self.positions, self.tempered)
+        return M.trained_pair_metrics(self.tempered)
 
     @property
     def token_metrics(self) -> DataFrame:
@@ -390,7 +390,7 @@ def score_from_metrics(t: Tables) -> DataFrame:
 @query
 def self_entropy_scores(t: Tables) -> DataFrame:
     contexts = L.train_contexts(L.same_model(t.model, "p"))
-    pairs = M.pair_metrics(t.positions, contexts)
+    pairs = M.trained_pair_metrics(contexts)
     return _rounded_scores(M.document_scores(M.token_metrics(t.positions, pairs, KEYS), KEYS))
 
 

@@ -40,3 +40,13 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or new_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cores can take, dealt out evenly.
+
+    Splits follow row groups, so that a small file may be one task. A large
+    input has many splits and stays as it is: its text never shuffles.
+    """
+    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
