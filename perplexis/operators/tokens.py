@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perplexis.functions import text as T
@@ -50,20 +50,20 @@ def pad_batches(toks: DataFrame, order: Sequence[str], batch_size: int, pad: str
     """Consecutive batches of ``batch_size`` texts, padded to their longest one.
 
     Adds ``batch_id, padded, mask``. ``by`` starts a new series of batches per
-    group. A batch is a fixed number of rows, so its group never grows.
+    group. A batch is a fixed number of rows, so its group never grows. ``toks``
+    is read several times: hand in a stored table.
     """
     numbered = row_numbers(toks, order, by).withColumn(
         "batch_id", F.floor((F.col("row_number") - 1) / batch_size)
     )
-    longest = numbered.groupBy(*by, "batch_id").agg(F.max(F.size("tokens")).alias("longest"))
     size = F.size("tokens")
-    fill = F.col("longest") - size
-    return numbered.join(longest, [*by, "batch_id"]).select(
-        *by,
-        *[c for c in toks.columns if c not in by and c != "tokens"],
+    # A window of one batch.
+    fill = F.max(size).over(Window.partitionBy(*by, "batch_id")) - size
+    return numbered.withColumn("fill", fill).select(
+        *[c for c in toks.columns if c != "tokens"],
         "batch_id",
-        F.concat("tokens", F.array_repeat(F.lit(pad), fill)).alias("padded"),
-        F.concat(F.array_repeat(F.lit(1), size), F.array_repeat(F.lit(0), fill)).alias("mask"),
+        F.concat("tokens", F.array_repeat(F.lit(pad), F.col("fill"))).alias("padded"),
+        F.concat(F.array_repeat(F.lit(1), size), F.array_repeat(F.lit(0), F.col("fill"))).alias("mask"),
     )
 
 

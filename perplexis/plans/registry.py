@@ -110,7 +110,7 @@ class Tables:
             .when(F.col("n_chars") < 200, F.lit("!!!"))
             .otherwise(F.col("text"))
         )
-        return self.read("documents").select(
+        return spread(self.read("documents")).select(
             "doc_id", F.col("source").alias("file"), "lang", text.alias("text")
         )
 
