@@ -10,22 +10,43 @@ from pyspark.sql import functions as F
 HOT_KEYS = 2048
 
 
-def salted_lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int,
-                  hot_keys: int = HOT_KEYS) -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, count: str, total: int, most: int = HOT_KEYS) -> DataFrame:
+    """``key, salts`` of the keys with more than ``total / most`` rows.
+
+    ``counts`` has one row per key, and its counts sum up to ``total``: fewer
+    than ``most`` keys can qualify. ``salts`` pieces of a hot key hold about
+    ``total / most`` rows each, and all pieces together number at most twice
+    ``most``.
+    """
+    share = max(1, total / most)
+    return counts.where(F.col(count) > share).select(
+        key, F.ceil(F.col(count) / F.lit(share)).cast("int").alias("salts")
+    )
+
+
+def hot_keys_of(rows: DataFrame, key: str, most: int = HOT_KEYS) -> DataFrame:
+    """The same, counted from the rows themselves (combined before the shuffle)."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return hot_keys(counts, key, "n", rows.count(), most)
+
+
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """``rows`` left-joined to ``table`` on ``key``.
 
-    ``weight`` says how many rows of the kind of ``rows`` have the key, ``total``
-    is its sum. A hot key is cut into salts of about ``total / hot_keys`` rows
-    and its single table row is repeated once per salt; the list of hot keys is
-    broadcast, which its definition bounds. Other keys get one salt.
+    The rows of a hot key are dealt to its salts, and its one table row is
+    repeated once per salt. Any other key has one salt. The list of hot keys is
+    broadcast, which its definition bounds.
     """
-    share = max(1, total / hot_keys)
-    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / F.lit(share))).cast("int")
-    hot = table.where(F.col(weight) > share).select(key, salts.alias("_salts"))
+    known = F.broadcast(hot.withColumnRenamed("salts", "_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
     salted_rows = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.coalesce("_salts", F.lit(1))).cast("int"))
+        rows.join(known, key, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), salts).cast("int"))
+        .drop("_salts")
+    )
+    salted_table = (
+        table.join(known, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_salts")
     )
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop(weight)
     return salted_rows.join(salted_table, [key, "_salt"], "left").drop("_salt")

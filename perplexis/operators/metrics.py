@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import salted_lookup
-from perplexis.operators.model import Contexts
+from perplexis.operators.lookup import hot_keys_of, salted_lookup
+from perplexis.operators.model import Contexts, hot_words
 from perplexis.operators.tokens import END
 from perplexis.sources.workspace import stored
 
@@ -28,7 +28,9 @@ def pair_metrics(positions: DataFrame, contexts: Contexts, path: str | None = No
     """
     types = positions.groupBy(F.col("tok").alias("prev"), "next").agg(F.count("*").alias("n"))
     trained = contexts.model.pairs.select("prev", "next", "n_q")
-    return _valued(types.join(trained, ["prev", "next"], "left"), contexts, path)
+    counted = stored(types.join(trained, ["prev", "next"], "left"), "counted_pairs")
+    hot = {column: hot_keys_of(counted, column) for column in ("prev", "next")}
+    return _valued(counted, hot, contexts, path)
 
 
 def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFrame:
@@ -36,16 +38,20 @@ def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFra
 
     Enough for texts that the models were trained on as a whole.
     """
-    counted = contexts.model.pairs.select("prev", "next", F.col("n_q").alias("n"), "n_q")
-    return _valued(counted, contexts, path)
+    model = contexts.model
+    counted = model.pairs.select("prev", "next", F.col("n_q").alias("n"), "n_q")
+    # Ends of texts count as a `next` here, which no word count covers.
+    hot = {"prev": hot_words(model, "prev"), "next": hot_keys_of(counted, "next")}
+    return _valued(counted, hot, contexts, path)
 
 
-def _valued(counted: DataFrame, contexts: Contexts, path: str | None) -> DataFrame:
+def _valued(counted: DataFrame, hot: dict[str, DataFrame], contexts: Contexts,
+            path: str | None) -> DataFrame:
     model = contexts.model
-    prevs = contexts.table.select(F.col("tok").alias("prev"), "as_prev", "c_q", "h", "log_z")
-    nexts = contexts.table.select(F.col("tok").alias("next"), "as_next", F.col("n_q").alias("w_q"))
-    joined = salted_lookup(counted, prevs, "prev", "as_prev", model.pair_types)
-    joined = salted_lookup(joined, nexts, "next", "as_next", model.pair_types)
+    prevs = contexts.table.select(F.col("tok").alias("prev"), "c_q", "h", "log_z")
+    nexts = contexts.table.select(F.col("tok").alias("next"), F.col("n_q").alias("w_q"))
+    joined = salted_lookup(counted, prevs, "prev", hot["prev"])
+    joined = salted_lookup(joined, nexts, "next", hot["next"])
     prob = model.conditional("n_q", "c_q", model.unigram("q", "w_q"))
     nll = -(F.ln(prob) / contexts.temperature - F.coalesce("log_z", F.lit(contexts.unseen_log_z)))
     return stored(

@@ -22,7 +22,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import salted_lookup
+from perplexis.operators.lookup import hot_keys, salted_lookup
 from perplexis.operators.tokens import END, token_pairs
 from perplexis.sources.workspace import new_path, stored
 
@@ -152,7 +152,7 @@ def _power(value: Column, temperature: float) -> Column:
 class Contexts:
     """What a position's context contributes, at one temperature.
 
-    ``table``: tok, n_q, c_p, c_q, as_prev, as_next, h (cross-entropy of the
+    ``table``: tok, n_q, c_q, as_prev, h (cross-entropy of the
     performer under the observer), log_z (log normaliser of the performer),
     pick (share of the observer's mass that its bigram counts add to the
     unigram part), mass_p, mass_q (total probability, 1 up to rounding).
@@ -166,16 +166,21 @@ class Contexts:
     unseen_log_z: float
 
 
+def hot_words(model: ModelPair, column: str) -> DataFrame:
+    """Words that start (``prev``) or end (``next``) many of the trained pairs."""
+    counts = model.words.select(F.col("tok").alias(column), f"as_{column}")
+    return hot_keys(counts, column, f"as_{column}", model.pair_types)
+
+
 def with_probabilities(model: ModelPair) -> DataFrame:
     """``pairs`` between tokens with c_*, u_* and P_* of both models."""
     nexts = model.words.select(
-        F.col("tok").alias("next"), "as_next",
-        model.unigram("p").alias("u_p"), model.unigram("q").alias("u_q"),
+        F.col("tok").alias("next"), model.unigram("p").alias("u_p"), model.unigram("q").alias("u_q")
     )
-    prevs = model.words.select(F.col("tok").alias("prev"), "as_prev", "c_p", "c_q")
+    prevs = model.words.select(F.col("tok").alias("prev"), "c_p", "c_q")
     inner = model.pairs.where(F.col("next") != END)
-    joined = salted_lookup(inner, nexts, "next", "as_next", model.pair_types)
-    joined = salted_lookup(joined, prevs, "prev", "as_prev", model.pair_types)
+    joined = salted_lookup(inner, nexts, "next", hot_words(model, "next"))
+    joined = salted_lookup(joined, prevs, "prev", hot_words(model, "prev"))
     return joined.withColumns({
         f"prob_{r}": model.conditional(f"n_{r}", f"c_{r}", F.col(f"u_{r}")) for r in "pq"
     })
@@ -225,7 +230,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
     rest = (F.col("log_k") / t - F.col("log_z")) * (F.lit(s_p) - F.col("a")) + (F.lit(x) - F.col("a_log")) / t
     inside = F.col("cross") / t - F.col("log_z") * F.col("e_p") + F.col("k_p") * rest
     table = full.select(
-        "tok", "n_q", "c_p", "c_q", "as_prev", "as_next",
+        "tok", "n_q", "c_q", "as_prev",
         (-inside / F.col("z_p")).alias("h"),
         "log_z",
         F.when(F.col("c_p") > 0, 1 - F.col("k_p") * s_p / F.col("z_p")).otherwise(0.0).alias("pick"),

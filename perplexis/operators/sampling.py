@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import HOT_KEYS, salted_lookup
+from perplexis.operators.lookup import HOT_KEYS, hot_keys_of, salted_lookup
 from perplexis.operators.metrics import pair_metrics, token_metrics
 from perplexis.operators.model import Contexts, ModelPair, _power, with_probabilities
 from perplexis.operators.tokens import END
@@ -96,7 +96,7 @@ def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], s
     model = contexts.model
     share = max(1, model.total_q / HOT_KEYS)
     cells = (F.col("as_prev") + F.ceil(F.col("n_q") / F.lit(share))).cast("long")
-    per_context = contexts.table.select("tok", "n_q", "pick", cells.alias("cells"))
+    per_context = contexts.table.select("tok", "pick", cells.alias("cells"))
     grid = per_context.select(F.col("tok").alias("ctx"), "cells")
     unigram_cells = model.vocabulary_size + HOT_KEYS
 
@@ -112,7 +112,7 @@ def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], s
     numbers = positions.select(*keys, "pos", "tok").withColumns(
         {"part": uniform(seed, keys, 1), "place": uniform(seed, keys, 2)}
     )
-    picked = salted_lookup(numbers, per_context, "tok", "n_q", model.total_q)
+    picked = salted_lookup(numbers, per_context, "tok", hot_keys_of(positions.select("tok"), "tok"))
     in_bigram = F.col("part") < F.coalesce("pick", F.lit(0.0))
     placed = picked.withColumns({
         "ctx": F.when(in_bigram, F.col("tok")).otherwise(F.lit(UNIGRAM)),

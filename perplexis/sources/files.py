@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perplexis.functions.naming import DEFAULT_OUTPUT_SUFFIX, is_output_name
-from perplexis.sources.workspace import new_path
+from perplexis.sources.workspace import new_path, spread
 
 # Row identity of a Parquet input: its file and the place in it.
 FILE_KEYS = ("file", "row_id")
@@ -53,7 +53,7 @@ def read_texts(spark: SparkSession, paths: Sequence[str], limit: int = 0) -> Dat
     df = spark.read.parquet(*paths).select(
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row_id"), "*"
     )
-    return df.where(F.col("row_id") < limit) if limit > 0 else df
+    return spread(df.where(F.col("row_id") < limit) if limit > 0 else df)
 
 
 def read_samples(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -65,9 +65,10 @@ def read_samples(spark: SparkSession, path: str, schema: str | None = None) -> D
 def write_scored(scored: DataFrame, folder: str, file: str = "file") -> None:
     """One partition per input file, all columns kept.
 
-    Rows go out from the tasks that hold them, so a large file stays spread.
+    Rows are gathered by file before they are written, in pieces of even size:
+    many small files share a task, and a large one is cut.
     """
-    scored.write.partitionBy(file).mode("errorifexists").parquet(folder)
+    scored.hint("rebalance", F.col(file)).write.partitionBy(file).mode("errorifexists").parquet(folder)
 
 
 def rewrite_files(spark: SparkSession, rows: DataFrame, folder: str, file: str = "file") -> None:
@@ -81,7 +82,7 @@ def rewrite_files(spark: SparkSession, rows: DataFrame, folder: str, file: str =
     rows.write.parquet(staging)
     (
         spark.read.schema(rows.schema).parquet(staging)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .hint("rebalance", F.col(file)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(file).parquet(folder)
     )
 

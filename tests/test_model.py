@@ -8,7 +8,7 @@ from perplexis.operators import metrics as M
 from perplexis.operators import model as L
 from perplexis.operators import sampling as S
 from perplexis.operators import tokens as K
-from perplexis.operators.lookup import salted_lookup
+from perplexis.operators.lookup import hot_keys_of, salted_lookup
 from tests.dense import Dense
 
 ALPHA, LAM = 0.4, 0.6
@@ -157,12 +157,14 @@ def test_salted_lookup_splits_hot_keys(spark):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id"
     )
-    table = rows.groupBy("k").agg(F.count("*").alias("w"), F.min("id").alias("v"))
-    joined = salted_lookup(rows, table, "k", "w", 3000, hot_keys=64)
+    table = rows.groupBy("k").agg(F.min("id").alias("v"))
+    hot = hot_keys_of(rows, "k", most=64)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 22)]
+    joined = salted_lookup(rows, table, "k", hot)
     assert joined.count() == 3000 and joined.columns == ["k", "id", "v"]
     assert joined.where("k = 'hot' AND v = 0").count() == 1000
     assert joined.where("k <> 'hot' AND v = id").count() == 2000
-    missing = salted_lookup(rows, table.where("k <> 'hot'"), "k", "w", 3000, hot_keys=64)
+    missing = salted_lookup(rows, table.where("k <> 'hot'"), "k", hot)
     assert missing.where("v IS NULL").count() == 1000
 
 
