@@ -52,8 +52,9 @@ def run(spark: SparkSession, folder: str) -> dict[str, float]:
 def main() -> None:
     spark = (
         configured(SparkSession.builder.master(f"local[{CPUS}]").appName("bench"))
-        .config("spark.sql.shuffle.partitions", str(2 * int(CPUS)))
+        .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

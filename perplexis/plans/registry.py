@@ -114,11 +114,17 @@ class Tables:
             "doc_id", F.col("source").alias("file"), "lang", text.alias("text")
         )
 
+    @property
+    def dirty_scores(self) -> DataFrame:
+        """Scores of the rows of ``dirty`` that kept a text with a token."""
+        kept = self.dirty.where(T.is_scoreable("text") & (T.token_count("text") > 0))
+        documents = self.scores.where(self.in_documents)
+        return documents.join(kept.select("doc_id"), "doc_id", "left_semi")
+
     @cached_property
     def scored(self) -> DataFrame:
         """``dirty`` with its scores."""
-        scores = score_texts(self.dirty, ["doc_id"], self.contexts, max_tokens=None)
-        return stored(G.attach_scores(self.dirty, scores, ["doc_id"]), "scored")
+        return stored(G.attach_scores(self.dirty, self.dirty_scores, ["doc_id"]), "scored")
 
     @property
     def partly_scored(self) -> DataFrame:
@@ -433,10 +439,7 @@ def gated_predict(t: Tables) -> DataFrame:
 
 @query
 def attach_scores(t: Tables) -> DataFrame:
-    scores = t.scores.where(t.in_documents)
-    dirty = t.dirty.where(T.is_scoreable("text"))
-    known = scores.join(dirty.where(T.token_count("text") > 0).select("doc_id"), "doc_id", "left_semi")
-    return G.attach_scores(t.dirty, known, ["doc_id"]).select("doc_id", "file", _round("score"))
+    return G.attach_scores(t.dirty, t.dirty_scores, ["doc_id"]).select("doc_id", "file", _round("score"))
 
 
 @query
