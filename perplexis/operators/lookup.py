@@ -38,15 +38,15 @@ def salted_lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -
     broadcast, which its definition bounds.
     """
     known = F.broadcast(hot.withColumnRenamed("salts", "_salts"))
-    salts = F.coalesce("_salts", F.lit(1))
+    dealt = F.pmod(F.xxhash64(*rows.columns), "_salts").cast("int")
     salted_rows = (
         rows.join(known, key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), salts).cast("int"))
+        .withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(dealt))
         .drop("_salts")
     )
     salted_table = (
         table.join(known, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
     return salted_rows.join(salted_table, [key, "_salt"], "left").drop("_salt")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perplexis.operators.lookup import hot_keys_of, salted_lookup
-from perplexis.operators.model import Contexts, hot_words
+from perplexis.operators.model import Contexts
 from perplexis.operators.tokens import END
 from perplexis.sources.workspace import stored
 
@@ -26,11 +26,16 @@ def pair_metrics(positions: DataFrame, contexts: Contexts, path: str | None = No
     only those meet the model tables. Pairs, contexts and tokens never seen in
     training get their backed-off values.
     """
+    model = contexts.model
     types = positions.groupBy(F.col("tok").alias("prev"), "next").agg(F.count("*").alias("n"))
-    trained = contexts.model.pairs.select("prev", "next", "n_q")
+    trained = model.pairs.select("prev", "next", "n_q")
     counted = stored(types.join(trained, ["prev", "next"], "left"), "counted_pairs")
-    hot = {column: hot_keys_of(counted, column) for column in ("prev", "next")}
-    return _valued(counted, hot, contexts, path)
+    prevs = contexts.table.select(F.col("tok").alias("prev"), "c_q", "h", "log_z")
+    nexts = contexts.table.select(F.col("tok").alias("next"), F.col("n_q").alias("w_q"))
+    joined = salted_lookup(counted, prevs, "prev", hot_keys_of(counted, "prev"))
+    joined = salted_lookup(joined, nexts, "next", hot_keys_of(counted, "next"))
+    prob = model.conditional("n_q", "c_q", model.unigram("q", "w_q"))
+    return _valued(joined.withColumn("prob_q", prob), contexts, path)
 
 
 def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFrame:
@@ -39,23 +44,16 @@ def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFra
     Enough for texts that the models were trained on as a whole.
     """
     model = contexts.model
-    counted = model.pairs.select("prev", "next", F.col("n_q").alias("n"), "n_q")
-    # Ends of texts count as a `next` here, which no word count covers.
-    hot = {"prev": hot_words(model, "prev"), "next": hot_keys_of(counted, "next")}
-    return _valued(counted, hot, contexts, path)
+    prevs = contexts.table.select(F.col("tok").alias("prev"), "h", "log_z")
+    counted = model.probabilities.select("prev", "next", F.col("n_q").alias("n"), "prob_q")
+    return _valued(salted_lookup(counted, prevs, "prev", model.hot_prevs), contexts, path)
 
 
-def _valued(counted: DataFrame, hot: dict[str, DataFrame], contexts: Contexts,
-            path: str | None) -> DataFrame:
-    model = contexts.model
-    prevs = contexts.table.select(F.col("tok").alias("prev"), "c_q", "h", "log_z")
-    nexts = contexts.table.select(F.col("tok").alias("next"), F.col("n_q").alias("w_q"))
-    joined = salted_lookup(counted, prevs, "prev", hot["prev"])
-    joined = salted_lookup(joined, nexts, "next", hot["next"])
-    prob = model.conditional("n_q", "c_q", model.unigram("q", "w_q"))
-    nll = -(F.ln(prob) / contexts.temperature - F.coalesce("log_z", F.lit(contexts.unseen_log_z)))
+def _valued(pairs: DataFrame, contexts: Contexts, path: str | None) -> DataFrame:
+    log_z = F.coalesce("log_z", F.lit(contexts.unseen_log_z))
+    nll = -(F.ln("prob_q") / contexts.temperature - log_z)
     return stored(
-        joined.select(
+        pairs.select(
             F.col("prev").alias("tok"), "next", "n",
             F.when(F.col("next") != END, nll).alias("nll"),
             F.coalesce("h", F.lit(contexts.unseen_h)).alias("h"),

@@ -18,11 +18,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import hot_keys, salted_lookup
+from perplexis.operators.lookup import hot_keys, hot_keys_of, salted_lookup
 from perplexis.operators.tokens import END, token_pairs
 from perplexis.sources.workspace import new_path, stored
 
@@ -36,7 +37,7 @@ class ModelPair:
 
     ``pairs``: prev, next, n_p, n_q (``next = END`` counts ends of texts).
     ``words``: tok, n_p, n_q (token counts), c_p, c_q (times followed by a
-    token), as_prev, as_next (number of distinct pairs, for hot keys).
+    token), types (number of distinct pairs it starts).
     """
 
     pairs: DataFrame
@@ -48,6 +49,38 @@ class ModelPair:
     total_q: int
     pair_types: int
 
+    @cached_property
+    def hot_prevs(self) -> DataFrame:
+        """Words that start many of the distinct pairs."""
+        counts = self.words.select(F.col("tok").alias("prev"), "types")
+        return hot_keys(counts, "prev", "types", self.pair_types)
+
+    @cached_property
+    def hot_nexts(self) -> DataFrame:
+        """Words, or the end of the text, that many of the distinct pairs lead to."""
+        return stored(hot_keys_of(self.pairs, "next"), "hot_nexts")
+
+    @cached_property
+    def probabilities(self) -> DataFrame:
+        """``prev, next, n_p, n_q, u_p, u_q, prob_p, prob_q``, stored.
+
+        Both conditional probabilities of each trained pair, and the unigram
+        probabilities of its second word. They are null at ends of texts.
+        """
+        nexts = self.words.select(
+            F.col("tok").alias("next"), self.unigram("p").alias("u_p"), self.unigram("q").alias("u_q")
+        )
+        prevs = self.words.select(F.col("tok").alias("prev"), "c_p", "c_q")
+        joined = salted_lookup(self.pairs, nexts, "next", self.hot_nexts)
+        joined = salted_lookup(joined, prevs, "prev", self.hot_prevs)
+        return stored(
+            joined.select(
+                "prev", "next", "n_p", "n_q", "u_p", "u_q",
+                *[self.conditional(f"n_{r}", f"c_{r}", F.col(f"u_{r}")).alias(f"prob_{r}") for r in "pq"],
+            ),
+            "probabilities",
+        )
+
     def unigram(self, role: str, count: str | None = None) -> Column:
         total = self.total_p if role == "p" else self.total_q
         size = total + self.alpha * self.vocabulary_size
@@ -86,21 +119,16 @@ def count_pairs(toks: DataFrame, observer: Column, performer: Column) -> DataFra
 
 
 def count_words(pairs: DataFrame) -> DataFrame:
-    """Token and context counts out of the pair counts; the text isn't read again."""
+    """Token and context counts out of the pair counts; the text isn't read again.
+
+    Each position of a text starts one pair, the last one a pair with its end.
+    """
     follows = (F.col("next") != END).cast("long")
-    zero = F.lit(0).cast("long")
-    as_prev = pairs.select(
-        F.col("prev").alias("tok"), "n_p", "n_q",
-        (F.col("n_p") * follows).alias("c_p"), (F.col("n_q") * follows).alias("c_q"),
-        follows.alias("as_prev"), zero.alias("as_next"),
+    return pairs.groupBy(F.col("prev").alias("tok")).agg(
+        *[F.sum(f"n_{r}").alias(f"n_{r}") for r in "pq"],
+        *[F.sum(F.col(f"n_{r}") * follows).alias(f"c_{r}") for r in "pq"],
+        F.count("*").alias("types"),
     )
-    as_next = pairs.where(F.col("next") != END).select(
-        F.col("next").alias("tok"),
-        *[zero.alias(c) for c in ("n_p", "n_q", "c_p", "c_q", "as_prev")],
-        F.lit(1).cast("long").alias("as_next"),
-    )
-    sums = [F.sum(c).alias(c) for c in ("n_p", "n_q", "c_p", "c_q", "as_prev", "as_next")]
-    return as_prev.unionByName(as_next).groupBy("tok").agg(*sums)
 
 
 def train(toks: DataFrame, observer: Column, performer: Column, alpha: float = DEFAULT_ALPHA,
@@ -128,9 +156,9 @@ def _with_totals(pairs: DataFrame, words: DataFrame, alpha: float, lam: float) -
     # One row of four numbers reaches the driver.
     t = words.agg(
         F.count("*").alias("v"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_p", "n_q", "as_prev")],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_p", "n_q", "types")],
     ).first()
-    return ModelPair(pairs, words, alpha, lam, t.v + 1, t.n_p, t.n_q, t.as_prev)
+    return ModelPair(pairs, words, alpha, lam, t.v + 1, t.n_p, t.n_q, t.types)
 
 
 def same_model(model: ModelPair, role: str = "p") -> ModelPair:
@@ -144,7 +172,7 @@ def same_model(model: ModelPair, role: str = "p") -> ModelPair:
     return replace(model, pairs=pairs, words=words, total_p=total, total_q=total)
 
 
-def _power(value: Column, temperature: float) -> Column:
+def power(value: Column, temperature: float) -> Column:
     return value if temperature == 1 else F.pow(value, F.lit(1 / temperature))
 
 
@@ -152,7 +180,7 @@ def _power(value: Column, temperature: float) -> Column:
 class Contexts:
     """What a position's context contributes, at one temperature.
 
-    ``table``: tok, n_q, c_q, as_prev, h (cross-entropy of the
+    ``table``: tok, n_q, c_q, types, h (cross-entropy of the
     performer under the observer), log_z (log normaliser of the performer),
     pick (share of the observer's mass that its bigram counts add to the
     unigram part), mass_p, mass_q (total probability, 1 up to rounding).
@@ -166,26 +194,6 @@ class Contexts:
     unseen_log_z: float
 
 
-def hot_words(model: ModelPair, column: str) -> DataFrame:
-    """Words that start (``prev``) or end (``next``) many of the trained pairs."""
-    counts = model.words.select(F.col("tok").alias(column), f"as_{column}")
-    return hot_keys(counts, column, f"as_{column}", model.pair_types)
-
-
-def with_probabilities(model: ModelPair) -> DataFrame:
-    """``pairs`` between tokens with c_*, u_* and P_* of both models."""
-    nexts = model.words.select(
-        F.col("tok").alias("next"), model.unigram("p").alias("u_p"), model.unigram("q").alias("u_q")
-    )
-    prevs = model.words.select(F.col("tok").alias("prev"), "c_p", "c_q")
-    inner = model.pairs.where(F.col("next") != END)
-    joined = salted_lookup(inner, nexts, "next", hot_words(model, "next"))
-    joined = salted_lookup(joined, prevs, "prev", hot_words(model, "prev"))
-    return joined.withColumns({
-        f"prob_{r}": model.conditional(f"n_{r}", f"c_{r}", F.col(f"u_{r}")) for r in "pq"
-    })
-
-
 def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None = None) -> Contexts:
     """Exact full-vocabulary cross-entropy of every context, in closed form.
 
@@ -198,22 +206,22 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
     t = temperature
     u_p, u_q = model.unigram("p"), model.unigram("q")
     g = model.words.agg(
-        F.sum(_power(u_p, t)).alias("s_p"), F.sum(_power(u_q, t)).alias("s_q"),
-        F.sum(_power(u_p, t) * F.ln(u_q)).alias("x"),
+        F.sum(power(u_p, t)).alias("s_p"), F.sum(power(u_q, t)).alias("s_q"),
+        F.sum(power(u_p, t) * F.ln(u_q)).alias("x"),
     ).first()
     u0_p, u0_q = model.unseen_unigram("p") ** (1 / t), model.unseen_unigram("q") ** (1 / t)
     s_p = (g.s_p or 0.0) + u0_p
     s_q = (g.s_q or 0.0) + u0_q
     x = (g.x or 0.0) + u0_p * math.log(model.unseen_unigram("q"))
 
-    pw_p = _power(F.col("prob_p"), t)
-    a = _power(F.col("u_p"), t)
-    sums = with_probabilities(model).groupBy(F.col("prev").alias("tok")).agg(
+    pw_p = power(F.col("prob_p"), t)
+    a = power(F.col("u_p"), t)
+    sums = model.probabilities.where(F.col("next") != END).groupBy(F.col("prev").alias("tok")).agg(
         F.sum(pw_p).alias("e_p"),
-        F.sum(_power(F.col("prob_q"), t)).alias("e_q"),
+        F.sum(power(F.col("prob_q"), t)).alias("e_q"),
         F.sum(pw_p * F.ln("prob_q")).alias("cross"),
         F.sum(a).alias("a"),
-        F.sum(_power(F.col("u_q"), t)).alias("b"),
+        F.sum(power(F.col("u_q"), t)).alias("b"),
         F.sum(a * F.ln("u_q")).alias("a_log"),
     )
     zero = F.lit(0.0)
@@ -221,7 +229,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
         {c: F.coalesce(c, zero) for c in ("e_p", "e_q", "cross", "a", "b", "a_log")}
     )
     full = full.withColumns({
-        "k_p": _power(model.backoff("c_p"), t), "k_q": _power(model.backoff("c_q"), t),
+        "k_p": power(model.backoff("c_p"), t), "k_q": power(model.backoff("c_q"), t),
         "log_k": F.ln(model.backoff("c_q")),
     }).withColumns({
         "z_p": F.col("e_p") + F.col("k_p") * (F.lit(s_p) - F.col("a")),
@@ -230,7 +238,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
     rest = (F.col("log_k") / t - F.col("log_z")) * (F.lit(s_p) - F.col("a")) + (F.lit(x) - F.col("a_log")) / t
     inside = F.col("cross") / t - F.col("log_z") * F.col("e_p") + F.col("k_p") * rest
     table = full.select(
-        "tok", "n_q", "c_q", "as_prev",
+        "tok", "n_q", "c_q", "types",
         (-inside / F.col("z_p")).alias("h"),
         "log_z",
         F.when(F.col("c_p") > 0, 1 - F.col("k_p") * s_p / F.col("z_p")).otherwise(0.0).alias("pick"),

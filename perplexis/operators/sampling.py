@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from perplexis.operators.lookup import HOT_KEYS, hot_keys_of, salted_lookup
 from perplexis.operators.metrics import pair_metrics, token_metrics
-from perplexis.operators.model import Contexts, ModelPair, _power, with_probabilities
+from perplexis.operators.model import Contexts, ModelPair, power
 from perplexis.operators.tokens import END
 from perplexis.sources.workspace import stored
 
@@ -69,19 +69,19 @@ def observer_weights(model: ModelPair, temperature: float = 1.0) -> DataFrame:
             F.col("prev").alias("ctx"), "next", F.col("n_p").cast("double").alias("weight")
         )
     else:
-        added = _power(F.col("prob_p"), temperature) - _power(
-            model.backoff("c_p") * F.col("u_p"), temperature
-        )
-        bigram = with_probabilities(model).where("n_p > 0").select(
-            F.col("prev").alias("ctx"), "next", added.alias("weight")
+        # A pair's probability is what its count adds, plus the unigram part.
+        seen = model.probabilities.where((F.col("next") != END) & (F.col("n_p") > 0))
+        added = power(F.col("prob_p"), temperature) - power(
+            F.lit(1 - model.lam) * F.col("u_p"), temperature
         )
+        bigram = seen.select(F.col("prev").alias("ctx"), "next", added.alias("weight"))
     unigram = model.words.select(
         F.lit(UNIGRAM).alias("ctx"), F.col("tok").alias("next"),
-        _power(F.col("n_p") + F.lit(model.alpha), temperature).alias("weight"),
+        power(F.col("n_p") + F.lit(model.alpha), temperature).alias("weight"),
     )
     unseen = model.words.sparkSession.range(1).select(
         F.lit(UNIGRAM).alias("ctx"), F.lit(UNSEEN).alias("next"),
-        _power(F.lit(model.alpha), temperature).alias("weight"),
+        power(F.lit(model.alpha), temperature).alias("weight"),
     )
     return bigram.unionByName(unigram).unionByName(unseen)
 
@@ -95,7 +95,7 @@ def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], s
     """
     model = contexts.model
     share = max(1, model.total_q / HOT_KEYS)
-    cells = (F.col("as_prev") + F.ceil(F.col("n_q") / F.lit(share))).cast("long")
+    cells = (F.col("types") + F.ceil(F.col("n_q") / F.lit(share))).cast("long")
     per_context = contexts.table.select("tok", "pick", cells.alias("cells"))
     grid = per_context.select(F.col("tok").alias("ctx"), "cells")
     unigram_cells = model.vocabulary_size + HOT_KEYS
