@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # A key counts as hot when it has more than 1/HOT_KEYS of all rows, so that
 # fewer than HOT_KEYS keys are hot, whatever the size of the data.
 HOT_KEYS = 2048
+# Longer keys stay with the adaptive skew join, so that the broadcast list has
+# a bounded size (8 MB of text) and not only a bounded number of rows.
+HOT_KEY_CHARS = 1024
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, total: int, most: int = HOT_KEYS) -> DataFrame:
@@ -19,7 +22,8 @@ def hot_keys(counts: DataFrame, key: str, count: str, total: int, most: int = HO
     ``most``.
     """
     share = max(1, total / most)
-    return counts.where(F.col(count) > share).select(
+    is_hot = (F.col(count) > share) & (F.length(key) <= HOT_KEY_CHARS)
+    return counts.where(is_hot).select(
         key, F.ceil(F.col(count) / F.lit(share)).cast("int").alias("salts")
     )
 
