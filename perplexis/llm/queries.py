@@ -59,3 +59,5 @@ QUERIES = {
     "op7_source_mix": op7_source_mix,
     "op9_extendible_shards": op9_extendible_shards,
 }
+
+ORACLE: dict[str, str] = {}
