@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.llm import jaccard, langid, mixing, packing, quality, sharding, topk
+from perplexis.llm import debruijn, jaccard, langid, mixing, packing, quality, sharding, topk
 from perplexis.sources.workspace import stored
 
 
@@ -55,7 +55,12 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op8_de_bruijn_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return debruijn.summary(table(spark, folder, "documents"), "doc_id", "text")
+
+
 QUERIES = {
+    "op8_de_bruijn_dedup": op8_de_bruijn_dedup,
     "op10_jaccard_join": op10_jaccard_join,
     "op2_quality_forest": op2_quality_forest,
     "op3_ball_tree_top_k": op3_ball_tree_top_k,
