@@ -219,7 +219,7 @@ def pack(
             F.col("_node").alias("_bin"), F.col("_bin").alias("_up"), F.col("_offset").alias("_more"),
             F.col("_goes_on").alias("_still"), F.lit(True).alias("_moved"),
         )
-        placed = placed.withColumn("_wait", F.when("_goes_on", F.col("_bin"))).join(
+        placed = placed.withColumn("_wait", F.when(F.col("_goes_on"), F.col("_bin"))).join(
             up.withColumnRenamed("_bin", "_wait"), "_wait", "left"
         ).select(
             "_node",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.llm import debruijn, jaccard, langid, mixing, packing, quality, sharding, topk
+from perplexis.llm import debruijn, jaccard, langid, mixing, packing, quality, sharding, suffixes, topk
 from perplexis.sources.workspace import stored
 
 
@@ -59,7 +59,12 @@ def op8_de_bruijn_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return debruijn.summary(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.summary(table(spark, folder, "documents"), "doc_id", "text")
+
+
 QUERIES = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op8_de_bruijn_dedup": op8_de_bruijn_dedup,
     "op10_jaccard_join": op10_jaccard_join,
     "op2_quality_forest": op2_quality_forest,
