@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.llm import debruijn, jaccard, langid, mixing, packing, quality, sharding, suffixes, topk
+from perplexis.llm import debruijn, jaccard, langid, lm, mixing, packing, quality, sharding, suffixes, topk
 from perplexis.sources.workspace import stored
 
 
@@ -63,7 +63,13 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.summary(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def op1_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, "doc_id", "text", F.coalesce(remainder("doc_id", 7) != 2, F.lit(True)))
+
+
 QUERIES = {
+    "op1_recurrent_scores": op1_recurrent_scores,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op8_de_bruijn_dedup": op8_de_bruijn_dedup,
     "op10_jaccard_join": op10_jaccard_join,

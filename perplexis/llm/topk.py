@@ -161,6 +161,8 @@ def top_k(
 
     def run(left: DataFrame, right: DataFrame) -> DataFrame:
         keys = ["shard", "block"]
+        # Queries come from the rows: new names for the same columns, or they would be taken for those.
+        left = left.select(*(F.col(c).alias(c) for c in left.columns))
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
             lambda a, b: _search(a, b, k), schema
         )
