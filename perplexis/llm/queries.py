@@ -81,4 +81,128 @@ QUERIES = {
     "op9_extendible_shards": op9_extendible_shards,
 }
 
-ORACLE: dict[str, str] = {}
+
+# Words, and A-Z in lower case, as both engines read them.
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ADDRESS = "('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT"
+
+ORACLE: dict[str, str] = {
+    "op3_ball_tree_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+    "op7_source_mix": f"""
+        WITH d AS (
+            SELECT doc_id, source, len({_WORDS.format("text")})::BIGINT AS size, {_ADDRESS} AS pos FROM documents
+        ), s AS (
+            SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+            FROM d GROUP BY source
+        ), w AS (
+            SELECT *, (place - 1) % {len(mixing.WEIGHTS)} + 1 AS weight, source_size / ((place - 1) % {len(mixing.WEIGHTS)} + 1) AS ratio FROM s
+        ), l AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(sum({mixing.MOST} * source_size) OVER before, 0))::BIGINT
+                / (sum(weight) OVER rest)::BIGINT AS share, row_number() OVER (ORDER BY ratio, place) AS nth
+            FROM w WINDOW before AS (ORDER BY ratio, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                rest AS (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+        ), g AS (
+            SELECT *, {mixing.MOST} * source_size <= share * weight AS capped FROM l
+        ), t AS (
+            SELECT source, source_size, place, CASE WHEN capped THEN ({mixing.MOST} * source_size)::DOUBLE
+                ELSE weight * coalesce((SELECT arg_min(share, nth) FROM g WHERE NOT capped), 0) END AS target FROM g
+        ), e AS (
+            SELECT *, sum(target) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) / (SELECT sum(target) FROM t) AS high FROM t
+        ), b AS (
+            SELECT source, source_size, target, coalesce(lag(high) OVER (ORDER BY place), 0) AS low,
+                CASE WHEN place = max(place) OVER () THEN 1 ELSE high END AS high,
+                greatest(1, CAST(ceil((SELECT sum(size) FROM d) / {mixing.SLOTS}) AS BIGINT)) AS block
+            FROM e
+        ), points AS (
+            SELECT i, i * {mixing.GOLDEN}::DOUBLE - floor(i * {mixing.GOLDEN}::DOUBLE) AS point
+            FROM range((SELECT CAST(ceil((SELECT sum(size) FROM d) / max(block)) AS BIGINT) FROM b)) x(i)
+        ), ranked AS (
+            SELECT b.source, b.block, ceil(source_size / block)::BIGINT AS n_blocks,
+                row_number() OVER (PARTITION BY b.source ORDER BY i) - 1 AS rank
+            FROM points JOIN b ON point >= low AND point < high
+        ), times AS (
+            SELECT source, rank % n_blocks AS nth, count(*) AS times FROM ranked
+            WHERE rank < {mixing.MOST} * n_blocks GROUP BY ALL
+        ), places AS (
+            SELECT d.*, source_size, target, block, (sum(size) OVER (
+                PARTITION BY d.source ORDER BY pos, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS first,
+                row_number() OVER () AS row
+            FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+        ), parts AS (
+            SELECT row, source, first, size, block, unnest(range(first // block, (first + size - 1) // block + 1)) AS nth
+            FROM places WHERE size > 0
+        ), taken AS (
+            SELECT row, sum(times * (least(first + size, parts.nth * block + block) - greatest(first, parts.nth * block)))::BIGINT AS taken
+            FROM parts JOIN times ON parts.source IS NOT DISTINCT FROM times.source AND parts.nth = times.nth GROUP BY row
+        )
+        SELECT doc_id, size, source, source_size, target, coalesce(taken, 0) AS taken FROM places LEFT JOIN taken USING (row)
+    """,
+    "op8_de_bruijn_dedup": f"""
+        WITH d AS (
+            SELECT doc_id, {_WORDS.format("text")} AS words FROM documents
+        ), w AS (
+            SELECT doc_id, pos, array_to_string(words[pos:pos + {debruijn.K - 1}], ' ') AS key
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - {debruijn.K - 2})) AS pos FROM d)
+        ), f AS (
+            SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY key) AS first FROM w
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + {debruijn.K})) AS pos FROM f WHERE first < doc_id
+        ), kept AS (
+            SELECT a.doc_id, string_agg(word, ' ' ORDER BY a.pos) AS text
+            FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM d) a
+            ANTI JOIN gone ON a.doc_id = gone.doc_id AND a.pos = gone.pos GROUP BY a.doc_id
+        )
+        SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+            sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON d.doc_id = g.doc_id
+    """,
+    "op9_extendible_shards": f"""
+        WITH d AS (
+            SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes, {_ADDRESS} AS bits, row_number() OVER () AS row FROM documents
+        ), t AS (
+            SELECT d.*, depth, bits >> ({sharding.ADDRESS_BITS} - depth)::BIGINT AS bucket FROM d, range({sharding.ADDRESS_BITS + 1}) x(depth)
+        ), s AS (
+            SELECT *, sum(n_bytes) OVER b AS shard_bytes, count(*) OVER b AS shard_rows FROM t WINDOW b AS (PARTITION BY depth, bucket)
+        ), f AS (
+            SELECT *, row_number() OVER (PARTITION BY row ORDER BY depth) AS nth FROM s
+            WHERE shard_bytes <= {sharding.LIMIT_BYTES} OR depth = {sharding.ADDRESS_BITS}
+        )
+        SELECT doc_id, n_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(bucket), depth::INTEGER, '0') END AS shard,
+            shard_bytes::BIGINT AS shard_bytes, shard_rows, shard_bytes > {sharding.LIMIT_BYTES} AS oversized
+        FROM f WHERE nth = 1
+    """,
+    "op10_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, {_WORDS.format(_LOWER.format("text"))} AS words FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[pos:pos + {jaccard.SHINGLE - 1}], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {jaccard.SHINGLE - 1}, 1) + 1)) AS pos FROM d WHERE len(words) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common >= {jaccard.PERCENT} * (x.n + y.n - common)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(b) AS component_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON a = d.doc_id GROUP BY d.doc_id, n
+    """,
+}
