@@ -16,7 +16,7 @@ each document's component under links.
    matter only to sets made of them.
 4. Rounds. A region takes pivots (one in the first round), measures its members
    against them, and links merge components. A region within one component is
-   done; so are pivots. A larger region splits into the pivots' Voronoi cells;
+   done; so are pivots. A large region splits into the pivots' Voronoi cells;
    a member also enters each cell whose pivot is no farther than its own pivot
    plus twice the link distance (triangle inequality), which loses no link. A
    split that replicates more than it parts is not made. Small regions measure
@@ -47,8 +47,10 @@ SHINGLE = 5
 PERCENT = 75
 BUCKET_BYTES = 8 << 20
 FLUSH = 1 << 19
-PIVOTS = 8
-SMALL = 32
+PIVOTS = 64
+SMALL = 128
+PARTED = 1024
+NEVER = 1 << 62
 MOST_COPIES = 1.5
 
 
@@ -314,7 +316,8 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         )
         against = large.join(chosen, "region").where("node <> pivot")
         may_link = (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
-        asked = against if not first else against.where(may_link)
+        # Where no cells are made, only distances that may be links count.
+        asked = against.where(may_link | (F.col("members") > (PARTED if not first else NEVER)))
         twin = small.select("region", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp"))
         direct = small.join(twin, "region").where((F.col("pivot") < F.col("node")) & (F.col("comp") != F.col("pivot_comp")) & may_link)
         pairs = asked.select("pivot", "node").unionByName(direct.select("pivot", "node")).distinct()
@@ -323,7 +326,7 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         rows = large.select("region", "node", "n")
         rows = rows.join(chosen.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti")
         if not first:
-            rows = cells(rows, against.select("region", "pivot", "node").join(
+            rows = cells(rows, against.where(F.col("members") > PARTED).select("region", "pivot", "node").join(
                 found.select("pivot", "node", distance.alias("distance")), ["pivot", "node"]
             ), near)
         pivots, first = PIVOTS, False
