@@ -14,9 +14,11 @@ each document's component under links.
    first, by exact counts over candidates), where any linked pair must share one.
    Regions of the same members are one. Frequent shingles come last and so
    matter only to sets made of them.
-4. Rounds. A region takes pivots (one in the first round), measures its members
-   against them, and links merge components. A region within one component is
-   done; so are pivots. A large region splits into the pivots' Voronoi cells;
+4. Rounds. A region takes pivots, measures those members against them that are
+   in other components and near enough in size, and links merge components. The
+   first pivots come from the region's main component, one and then a few, and
+   draw most members into it; later ones are what is left outside. A region
+   within one component is done; so are pivots. A very large region splits into the pivots' Voronoi cells;
    a member also enters each cell whose pivot is no farther than its own pivot
    plus twice the link distance (triangle inequality), which loses no link. A
    split that replicates more than it parts is not made. Small regions measure
@@ -47,10 +49,10 @@ SHINGLE = 5
 PERCENT = 75
 BUCKET_BYTES = 8 << 20
 FLUSH = 1 << 19
-PIVOTS = 64
-SMALL = 128
-PARTED = 1024
-NEVER = 1 << 62
+STARS = 3
+FEW_PIVOTS, PIVOTS = 8, 64
+SMALL = 64
+PARTED = 1 << 14
 MOST_COPIES = 1.5
 
 
@@ -298,38 +300,51 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     link = F.col("common") * 100 >= F.col("total") * percent
     distance = 1 - F.col("common") / F.col("total")
     near = 1 - percent / 100
-    pivots, first = 1, True
+    turn = 0
     while True:
         at = labels.select(F.col("node").alias("_n"), "comp")
         rows = rows.join(at, F.col("node") == F.col("_n")).drop("_n")
-        state = rows.groupBy("region").agg(
-            F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")
-        ).where("low <> high")
-        rows = stored(rows.join(state.select("region", "members"), "region"), "open-regions")
+        parts = rows.groupBy("region", "comp").agg(F.count("*").alias("n_comp"))
+        state = parts.groupBy("region").agg(
+            F.sum("n_comp").alias("members"), F.count("*").alias("comps"), F.max(F.struct("n_comp", "comp"))["comp"].alias("main")
+        ).where("comps > 1").drop("comps")
+        rows = stored(rows.join(state, "region"), "open-regions")
         if rows.isEmpty():
             return labels
-        small = rows.where(F.col("members") <= (0 if first else SMALL))
-        large = rows.where(F.col("members") > (0 if first else SMALL))
-        place = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node"), "node"))
-        chosen = large.withColumn("place", place).where(F.col("place") <= pivots).select(
-            "region", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp")
+        star = turn < STARS
+        small = rows.where(F.lit(not star) & (F.col("members") <= SMALL))
+        large = rows.where(F.lit(star) | (F.col("members") > SMALL))
+        # Stars first pull what they can into the main component; what is left outside is then measured against all.
+        outside = F.col("comp") != F.col("main")
+        order = [outside if star else ~outside, F.xxhash64("node"), F.col("node")]
+        place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
+        most = 1 if turn == 0 else FEW_PIVOTS if star else PIVOTS
+        pivot = [F.col("region").alias("_region"), *(F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "comp"))]
+        chosen = large.withColumn("place", place).where(F.col("place") <= most).select(*pivot)
+        may_link = (
+            (F.col("comp") != F.col("pivot_comp"))
+            & (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
         )
-        against = large.join(chosen, "region").where("node <> pivot")
-        may_link = (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
-        # Where no cells are made, only distances that may be links count.
-        asked = against.where(may_link | (F.col("members") > (PARTED if not first else NEVER)))
-        twin = small.select("region", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp"))
-        direct = small.join(twin, "region").where((F.col("pivot") < F.col("node")) & (F.col("comp") != F.col("pivot_comp")) & may_link)
-        pairs = asked.select("pivot", "node").unionByName(direct.select("pivot", "node")).distinct()
-        found = stored(measured(pairs, full), "measured")
+        same = F.col("region") == F.col("_region")
+        asked = large.join(chosen, same & may_link).select(F.col("pivot_node").alias("pivot"), "node")
+        direct = small.join(small.select(*pivot), same & may_link & (F.col("pivot_node") < F.col("node"))).select(
+            F.col("pivot_node").alias("pivot"), "node"
+        )
+        pairs = asked.unionByName(direct)
+        huge = large.where(F.lit(not star) & (F.col("members") > PARTED))
+        parting = not star and not huge.isEmpty()
+        if parting:
+            spread = huge.join(chosen, same & (F.col("node") != F.col("pivot_node"))).select(
+                "region", F.col("pivot_node").alias("pivot"), "node"
+            )
+            pairs = pairs.unionByName(spread.select("pivot", "node"))
+        found = stored(measured(pairs.distinct(), full), "measured")
         labels = merged(labels, found.where(link).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
-        rows = large.select("region", "node", "n")
-        rows = rows.join(chosen.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti")
-        if not first:
-            rows = cells(rows, against.where(F.col("members") > PARTED).select("region", "pivot", "node").join(
-                found.select("pivot", "node", distance.alias("distance")), ["pivot", "node"]
-            ), near)
-        pivots, first = PIVOTS, False
+        done = chosen.select(F.col("_region").alias("region"), F.col("pivot_node").alias("node"))
+        rows = large.select("region", "node", "n").join(done, ["region", "node"], "left_anti")
+        if parting:
+            rows = cells(rows, spread.join(found.select("pivot", "node", distance.alias("distance")), ["pivot", "node"]), near)
+        turn += 1
 
 
 def cells(rows: DataFrame, distances: DataFrame, near: float) -> DataFrame:

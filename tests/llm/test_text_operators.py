@@ -272,7 +272,7 @@ def test_jaccard(spark, docs, none):
     assert jaccard.join(none, "doc_id", "text").isEmpty()
 
 
-@pytest.mark.parametrize(("small", "pivots"), [(2, 2), (8, 3)])
+@pytest.mark.parametrize(("small", "pivots"), [(4, 4), (8, 3)])
 def test_jaccard_of_one_crowded_region(spark, monkeypatch, small, pivots):
     """Chains of near copies and texts that only share passages, in regions that must recurse."""
     import random
@@ -280,7 +280,7 @@ def test_jaccard_of_one_crowded_region(spark, monkeypatch, small, pivots):
     rng = random.Random(8)
     base = brute.prose(rng, 60).split(" ")
     rows = []
-    for i in range(50):
+    for i in range(24):
         text = list(base)
         for _ in range(rng.randrange(0, 6)):
             text[rng.randrange(60)] = f"new{rng.randrange(30)}"
@@ -288,6 +288,7 @@ def test_jaccard_of_one_crowded_region(spark, monkeypatch, small, pivots):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard, "PARTED", small)
+    monkeypatch.setattr(jaccard, "STARS", pivots - 2)
     got = jaccard.join(brute.documents(spark, [(i, t, None) for i, t in rows]), "doc_id", "text")
     assert found(got, "doc_id", "n_shingles", "component_id") == Counter(
         (i, *e) for (i, _), e in zip(rows, brute.components(rows), strict=True)
