@@ -25,9 +25,9 @@ def require_score_column(df: DataFrame, score: str = "score") -> None:
 
 
 def attach_scores(texts: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of ``texts`` with ``score``, NaN where there is none."""
+    """All rows of ``texts`` with ``score``, NaN where there is none; an earlier score goes."""
     found = scores.select(*keys, "score")
-    return texts.join(found, list(keys), "left").withColumn(
+    return texts.drop("score").join(found, list(keys), "left").withColumn(
         "score", F.coalesce("score", F.lit(float("nan")))
     )
 

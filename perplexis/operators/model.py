@@ -108,10 +108,13 @@ def count_pairs(toks: DataFrame, observer: Column, performer: Column) -> DataFra
     """Adjacent token pairs with their counts in either training corpus.
 
     ``observer`` and ``performer`` are conditions on the rows of ``toks`` that
-    select the corpora; they may overlap. Counts combine before the shuffle.
+    select the corpora; they may overlap, and null selects nothing. Counts combine before the shuffle.
     """
     rows = toks.select(
-        "tokens", observer.cast("long").alias("_p"), performer.cast("long").alias("_q")
+        "tokens", *[
+            F.coalesce(condition, F.lit(False)).cast("long").alias(name)
+            for condition, name in ((observer, "_p"), (performer, "_q"))
+        ]
     ).where("_p + _q > 0")
     return token_pairs(rows, "_p", "_q").groupBy(F.col("tok").alias("prev"), "next").agg(
         F.sum("_p").alias("n_p"), F.sum("_q").alias("n_q")

@@ -52,7 +52,10 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Mapping[str, Col
     within = Window.partitionBy(*by, "range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.select("*", *[F.sum(v).over(within).alias(n) for n, v in values.items()])
-        .join(starts, [*by, "range_id"])
+        .join(
+            starts.withColumnsRenamed({c: f"_of_{c}" for c in (*by, "range_id")}),
+            [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*by, "range_id")],
+        )
         .select(*df.columns, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in values])
     )
 

@@ -58,7 +58,8 @@ def _model_steps(same: bool = False) -> dict[str, str]:
             FROM bi GROUP BY prev""",
         "tot": f"""SELECT sum(n_p) + {ALPHA} * (count(*) + 1) AS d_p, sum(n_q) + {ALPHA} * (count(*) + 1) AS d_q
             FROM uni""",
-        "u": f"SELECT tok, n_p, n_q, (n_p + {ALPHA}) / d_p AS u_p, (n_q + {ALPHA}) / d_q AS u_q FROM uni, tot",
+        "u": f"""SELECT tok, n_p, n_q, (n_p + {ALPHA}) / (SELECT d_p FROM tot) AS u_p,
+            (n_q + {ALPHA}) / (SELECT d_q FROM tot) AS u_q FROM uni""",
         "prob": f"""SELECT b.prev, b.tok, u_p, u_q, b.n_p, b.n_q,
             CASE WHEN c_p > 0 THEN {LAM} * b.n_p / c_p + (1e0 - {LAM}) * u_p ELSE u_p END AS pp,
             CASE WHEN c_q > 0 THEN {LAM} * b.n_q / c_q + (1e0 - {LAM}) * u_q ELSE u_q END AS pq
@@ -70,19 +71,20 @@ def _metric_steps(temperature: float = 1.0) -> dict[str, str]:
     r = f"(1e0 / {lit(temperature)})"
     t = lit(temperature)
     return {
-        "g": f"""SELECT sum(pow(u_p, {r})) + any_value(pow({ALPHA} / d_p, {r})) AS s_p,
-            sum(pow(u_q, {r})) + any_value(pow({ALPHA} / d_q, {r})) AS s_q,
-            sum(pow(u_p, {r}) * ln(u_q)) + any_value(pow({ALPHA} / d_p, {r}) * ln({ALPHA} / d_q)) AS x
-            FROM u, tot""",
+        "g": f"""SELECT sum(pow(u_p, {r})) + any_value(pow({ALPHA} / (SELECT d_p FROM tot), {r})) AS s_p,
+            sum(pow(u_q, {r})) + any_value(pow({ALPHA} / (SELECT d_q FROM tot), {r})) AS s_q,
+            sum(pow(u_p, {r}) * ln(u_q)) + any_value(pow({ALPHA} / (SELECT d_p FROM tot), {r})
+            * ln({ALPHA} / (SELECT d_q FROM tot))) AS x FROM u""",
         "es": f"""SELECT prev, sum(pow(pp, {r})) AS e_p, sum(pow(pq, {r})) AS e_q, sum(pow(pp, {r}) * ln(pq)) AS cr,
             sum(pow(u_p, {r})) AS a, sum(pow(u_q, {r})) AS b, sum(pow(u_p, {r}) * ln(u_q)) AS al
             FROM prob GROUP BY prev""",
         "ks": f"""SELECT u.tok, coalesce(e_p, 0) AS e_p, coalesce(e_q, 0) AS e_q, coalesce(cr, 0) AS cr,
-            coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(al, 0) AS al, s_p, s_q, x,
+            coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(al, 0) AS al,
+            (SELECT s_p FROM g) AS s_p, (SELECT s_q FROM g) AS s_q, (SELECT x FROM g) AS x,
             pow(CASE WHEN c_p > 0 THEN 1e0 - {LAM} ELSE 1e0 END, {r}) AS k_p,
             pow(CASE WHEN c_q > 0 THEN 1e0 - {LAM} ELSE 1e0 END, {r}) AS k_q,
             ln(CASE WHEN c_q > 0 THEN 1e0 - {LAM} ELSE 1e0 END) AS lk
-            FROM u LEFT JOIN es ON es.prev = u.tok LEFT JOIN ctx ON ctx.prev = u.tok, g""",
+            FROM u LEFT JOIN es ON es.prev = u.tok LEFT JOIN ctx ON ctx.prev = u.tok""",
         "zs": "SELECT *, e_p + k_p * (s_p - a) AS z_p, ln(e_q + k_q * (s_q - b)) AS lz FROM ks",
         "xc": f"""SELECT tok, lz, z_p AS mass_p, exp(lz) AS mass_q,
             -(cr / {t} - lz * e_p + k_p * ((lk / {t} - lz) * (s_p - a) + (x - al) / {t})) / z_p AS h FROM zs""",
@@ -95,9 +97,9 @@ def _metric_steps(temperature: float = 1.0) -> dict[str, str]:
 
 def _file_steps() -> dict[str, str]:
     return {
-        "dirty": """SELECT doc_id, source AS file, lang,
-            CASE WHEN n_chars < 60 THEN NULL WHEN n_chars < 100 THEN '' WHEN n_chars < 160 THEN chr(9) || chr(160)
-            WHEN n_chars < 200 THEN '!!!' ELSE text END AS text FROM documents""",
+        "dirty": """SELECT doc_id, source AS file, lang, text FROM documents
+            UNION ALL SELECT -1 - doc_id, source, lang, CASE doc_id % 4 WHEN 1 THEN ''
+            WHEN 2 THEN chr(9) || chr(160) WHEN 3 THEN '!!!' END FROM documents""",
         "scored": f"""SELECT dirty.*, CASE WHEN {scoreable('dirty.text')} AND
             len(regexp_extract_all(lower(dirty.text), {TOKEN})) > 0
             THEN coalesce(score, {NAN}) ELSE {NAN} END AS score
@@ -113,9 +115,8 @@ def _evaluation_steps() -> dict[str, str]:
     accuracy = lit(THRESHOLDS["accuracy"])
     return {
         "ev": f"""SELECT score, class, CASE WHEN NOT isnan(score) AND score < {accuracy} THEN 1 ELSE 0 END AS pred
-            FROM (SELECT round(ds.score, 6) AS score, CASE role WHEN 'user' THEN 0 ELSE 1 END AS class
-            FROM ds JOIN conversations c ON ds.src = 'conversations' AND ds.doc_id = c.conv_id AND ds.turn = c.turn
-            WHERE role IN ('user', 'assistant'))""",
+            FROM (SELECT round(ds.score, 6) AS score, CASE role WHEN 'assistant' THEN 1 ELSE 0 END AS class
+            FROM ds JOIN conversations c ON ds.src = 'conversations' AND ds.doc_id = c.conv_id AND ds.turn = c.turn)""",
         "grp": """SELECT score, count(*) FILTER (class = 1) AS pos, count(*) FILTER (class = 0) AS neg
             FROM ev WHERE NOT isnan(score) GROUP BY score""",
         "cum": """SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
@@ -141,7 +142,7 @@ def statement(body: str, last: str | None = None, steps: dict[str, str] | None =
         return body
     steps = steps or STEPS
     names = list(steps)[: list(steps).index(last) + 1]
-    return "WITH " + ",\n".join(f"{n} AS ({steps[n]})" for n in names) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({steps[n]})" for n in names) + "\n" + body
 
 
 ROUNDED = f"SELECT {K}, n_tokens, round(ppl, 6) AS ppl, round(x_ppl, 6) AS x_ppl, round(score, 6) AS score"
@@ -252,7 +253,7 @@ def oracle_sql() -> dict[str, str]:
                 repeat('1', len(tokens)) || repeat('0', m - len(tokens)) AS mask
             FROM (SELECT *, max(len(tokens)) OVER (PARTITION BY src, batch_id) AS m FROM (
                 SELECT *, (row_number() OVER (PARTITION BY src ORDER BY doc_id, turn) - 1) // {BATCH_SIZE} AS batch_id
-                FROM ({first})))""", "toks"),
+                FROM toks))""", "toks"),
         "vocab_diff": statement(
             """SELECT tok, CASE WHEN n_p > 0 THEN 'left' ELSE 'right' END AS side FROM uni
             WHERE n_p = 0 OR n_p = n_q""", "uni"),
@@ -329,8 +330,8 @@ def oracle_sql() -> dict[str, str]:
             CROSS JOIN (SELECT score FROM ev WHERE class = 0 AND NOT isnan(score)) h""", "ev"),
         "tpr_at_fpr": _tpr_at([REPORTED_FPR], "l.x"),
         "roc_log_grid": _tpr_at(list(LOG_GRID), "round(l.x, 6)"),
-        "eval_metrics": _tpr_at([REPORTED_FPR], "l.x").replace("roc AS (", "f1s AS (" + STEPS["f1s"] + "),\nauc AS ("
-                                                               + STEPS["auc"] + "),\nroc AS (")
+        "eval_metrics": _tpr_at([REPORTED_FPR], "l.x").replace("roc AS MATERIALIZED (", "f1s AS (" + STEPS["f1s"] + "),\nauc AS ("
+                                                               + STEPS["auc"] + "),\nroc AS MATERIALIZED (")
         .replace("SELECT l.x AS fpr,\n", "SELECT (SELECT n FROM f1s) AS n, (SELECT n_missing FROM f1s) AS n_missing, "
                  "(SELECT round(f1, 6) FROM f1s) AS f1, (SELECT round(auc, 6) FROM auc) AS auc,\n")
         .replace("AS tpr\n        FROM l LEFT", "AS tpr_at_fpr\n        FROM l LEFT"),

@@ -102,24 +102,24 @@ class Tables:
 
     @property
     def dirty(self) -> DataFrame:
-        """``documents`` by file, with short texts replaced by null or junk."""
-        text = (
-            F.when(F.col("n_chars") < 60, F.lit(None))
-            .when(F.col("n_chars") < 100, F.lit(""))
-            .when(F.col("n_chars") < 160, F.lit("\t "))
-            .when(F.col("n_chars") < 200, F.lit("!!!"))
-            .otherwise(F.col("text"))
+        """``documents`` by file, and with each a further row of null or junk, of negative key."""
+        documents = spread(self.read("documents")).select(
+            "doc_id", F.col("source").alias("file"), "lang", "text"
         )
-        return spread(self.read("documents")).select(
-            "doc_id", F.col("source").alias("file"), "lang", text.alias("text")
+        kind = F.pmod("doc_id", F.lit(4))
+        junk = (
+            F.when(kind == 1, F.lit("")).when(kind == 2, F.lit("\t\u00a0")).when(kind == 3, F.lit("!!!"))
+        )
+        return documents.unionByName(
+            self.read("documents").select(
+                (-1 - F.col("doc_id")).alias("doc_id"), F.col("source").alias("file"), "lang", junk.alias("text")
+            )
         )
 
     @property
     def dirty_scores(self) -> DataFrame:
-        """Scores of the rows of ``dirty`` that kept a text with a token."""
-        kept = self.dirty.where(T.is_scoreable("text") & (T.token_count("text") > 0))
-        documents = self.scores.where(self.in_documents)
-        return documents.join(kept.select("doc_id"), "doc_id", "left_semi")
+        """Scores of the documents, which are those rows of ``dirty`` that have one."""
+        return self.scores.where(self.in_documents)
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -144,7 +144,9 @@ class Tables:
         # Equal texts tie exactly once the scores are rounded.
         scored = self.scores.join(roles, list(KEYS)).select("role", _round("score"))
         return stored(
-            E.evaluation_table(scored.where("role = 'user'"), scored.where("role = 'assistant'")),
+            E.evaluation_table(
+                scored.where("NOT (role <=> 'assistant')"), scored.where("role = 'assistant'")
+            ),
             "evaluation",
         )
 
@@ -193,7 +195,8 @@ def scan_documents(t: Tables) -> DataFrame:
 
 @query
 def collect_inputs(t: Tables) -> DataFrame:
-    return files.count_rows(t.spark, files.collect_inputs(t.spark, [t.folder]))
+    counts = files.count_rows(t.spark, files.collect_inputs(t.spark, [t.folder]))
+    return counts.withColumn("file", F.element_at(F.split("file", "/"), -1))
 
 
 @query
@@ -277,8 +280,7 @@ def next_token_pairs(t: Tables) -> DataFrame:
 
 @query
 def pad_mask(t: Tables) -> DataFrame:
-    shortened = stored(K.tokenize(t.texts, KEYS, max_tokens=T.DEFAULT_MAX_TOKENS), "tokens")
-    return K.pad_batches(shortened, ["doc_id", "turn"], BATCH_SIZE, PAD, by=["src"]).select(
+    return K.pad_batches(t.toks, ["doc_id", "turn"], BATCH_SIZE, PAD, by=["src"]).select(
         *KEYS, "batch_id",
         F.array_join("padded", " ").alias("padded"),
         F.array_join(F.col("mask").cast("array<string>"), "").alias("mask"),

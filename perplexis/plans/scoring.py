@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from perplexis.functions.decision import DEFAULT_MODE, label, threshold_of
 from perplexis.functions.naming import DEFAULT_OUTPUT_SUFFIX
-from perplexis.functions.text import DEFAULT_MAX_TOKENS, is_scoreable
+from perplexis.functions.text import is_scoreable
 from perplexis.operators.metrics import document_scores, pair_metrics, token_metrics
 from perplexis.operators.missing import (
     attach_scores, backfill_scores, find_missing, missing_report, require_columns,
@@ -24,10 +24,10 @@ from perplexis.sources.workspace import stored
 
 
 def score_texts(texts: DataFrame, keys: Sequence[str], contexts: Contexts, text: str = "text",
-                max_tokens: int | None = DEFAULT_MAX_TOKENS) -> DataFrame:
+                max_tokens: int | None = None) -> DataFrame:
     """``keys, n_tokens, ppl, x_ppl, score`` of the scoreable texts that have a token.
 
-    ``keys`` must be unique. The tokens are stored: they are read three times.
+    ``keys`` must be unique. Texts are observed whole unless ``max_tokens`` says otherwise. The tokens are stored: they are read three times.
     """
     require_columns(texts, text)
     scoreable = texts.where(is_scoreable(text))
@@ -40,7 +40,7 @@ class Scorer:
     """Two trained models, a token window and a decision mode."""
 
     contexts: Contexts
-    max_tokens: int | None = DEFAULT_MAX_TOKENS
+    max_tokens: int | None = None
     mode: str = DEFAULT_MODE
     calibrated: float | None = None
 
@@ -74,6 +74,10 @@ class Scorer:
     def with_mode(self, mode: str) -> Scorer:
         return replace(self, mode=mode, calibrated=None)
 
+    def with_window(self, max_tokens: int | None) -> Scorer:
+        """Only the first tokens of a text are observed; ``None``: all."""
+        return replace(self, max_tokens=max_tokens)
+
     def with_threshold(self, threshold: float) -> Scorer:
         return replace(self, calibrated=threshold)
 

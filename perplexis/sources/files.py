@@ -40,18 +40,21 @@ def count_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``file, n_rows`` out of the file footers, whatever columns the files have."""
     return (
         spark.read.schema("_none int").parquet(*paths)
-        .select(F.col("_metadata.file_name").alias("file"))
+        .select(F.col("_metadata.file_path").alias("file"))
         .groupBy("file").agg(F.count("*").alias("n_rows"))
     )
 
 
 def read_texts(spark: SparkSession, paths: Sequence[str], limit: int = 0) -> DataFrame:
-    """All columns plus ``file`` and ``row_id`` (from 0, in file order).
+    """All columns of all files plus ``file`` (its path) and ``row_id`` (from 0, in file order).
 
-    ``limit`` keeps the first rows of each file, 0 keeps all.
+    Columns of these names in the files are kept as ``given_file`` and
+    ``given_row_id``. ``limit`` keeps the first rows of each file, 0 keeps all.
     """
-    df = spark.read.parquet(*paths).select(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row_id"), "*"
+    given = spark.read.option("mergeSchema", True).parquet(*paths)
+    df = given.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_id"),
+        *[F.col(f"`{c}`").alias(f"given_{c}" if c in FILE_KEYS else c) for c in given.columns],
     )
     return spread(df.where(F.col("row_id") < limit) if limit > 0 else df)
 

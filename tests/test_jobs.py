@@ -13,6 +13,16 @@ from perplexis.sources import files
 WORDS = "the cat sat on a mat while that dog ran off with my hat".split()
 
 
+def base(path):
+    return path and os.path.basename(path)
+
+
+def partition(folder, name):
+    """The partition of the file of that name."""
+    found = [d for d in os.listdir(folder) if d.startswith("file=") and d.endswith(f"%2F{name}")]
+    return f"{folder}/{found[0]}"
+
+
 def sentence(i, length=30):
     return " ".join(WORDS[(i * 7 + j * (i % 3 + 1)) % len(WORDS)] for j in range(length))
 
@@ -48,7 +58,7 @@ def test_inputs(spark, folder):
     given = [f"{folder}/b.parquet", f"{folder}/nested"]
     assert names(files.collect_inputs(spark, given)) == ["b.parquet", "c.parquet"]
     counts = files.count_rows(spark, files.collect_inputs(spark, [folder])).collect()
-    assert {r.file: r.n_rows for r in counts} == {"a.parquet": 2, "b.parquet": 5}
+    assert {os.path.basename(r.file): r.n_rows for r in counts} == {"a.parquet": 2, "b.parquet": 5}
 
 
 def test_score_files_and_fill_gaps(spark, scorer, folder, tmp_path):
@@ -63,20 +73,20 @@ def test_score_files_and_fill_gaps(spark, scorer, folder, tmp_path):
     broken = str(tmp_path / "broken")
     lost = F.when(F.col("id") == 5, F.lit(None)).when(F.col("id") == 1, F.lit(math.nan)).otherwise(F.col("score"))
     files.write_scored(scored.withColumn("score", lost), broken)
-    kept = sorted(os.listdir(f"{broken}/file=a.parquet"))
+    kept = sorted(os.listdir(partition(broken, "a.parquet")))
     before = [tuple(r) for r in spark.read.parquet(broken).orderBy("id").collect()]
-    report = {r.file: r for r in scorer.score_missing(broken, dry_run=True).collect()}
+    report = {base(r.file): r for r in scorer.score_missing(broken, dry_run=True).collect()}
     assert (report["b.parquet"].n_scoreable, report["b.parquet"].n_blank) == (3, 2)
     assert (report[None].n_scoreable, report[None].is_total) == (3, 1) and "a.parquet" not in report
     assert str(before) == str([tuple(r) for r in spark.read.parquet(broken).orderBy("id").collect()])
 
     scorer.score_missing(broken)
     filled = {r.id: r for r in spark.read.parquet(broken).collect()}
-    assert sorted(os.listdir(f"{broken}/file=a.parquet")) == kept
+    assert sorted(os.listdir(partition(broken, "a.parquet"))) == kept
     for i, r in rows.items():
         assert filled[i].score == pytest.approx(r.score, nan_ok=True) and filled[i].text == r.text
     # Filling again changes nothing: only a text without tokens is still missing.
-    again = {r.file: r for r in scorer.score_missing(broken).collect()}
+    again = {base(r.file): r for r in scorer.score_missing(broken).collect()}
     assert again["b.parquet"].n_scoreable == 1
     assert str(sorted(map(tuple, filled.values()))) == str(sorted(map(tuple, spark.read.parquet(broken).collect())))
 
@@ -144,7 +154,7 @@ def test_experiment(spark, scorer, tmp_path):
         for i in range(30):
             f.write(json.dumps({"text": f"{sentence(i)} odd{i} new{i}", key: sentence(i)}) + "\n")
     results = str(tmp_path / "results")
-    record = run_experiment(scorer, str(path), "text", results=results).first()
+    record = run_experiment(scorer.with_window(512), str(path), "text", results=results).first()
     assert record.dataset_name == "news" and record.machine_sample_key == key
     assert record.machine_text_source == "maker_generated_text_wo_prompt".rstrip("_generated_text_wo_prompt")
     assert record.job_name == f"news-{record.machine_text_source}-512-tokens"
@@ -152,3 +162,33 @@ def test_experiment(spark, scorer, tmp_path):
     scores = spark.read.option("header", True).csv(f"{results}/{record.job_name}/scores")
     assert scores.columns == ["score", "class", "pred"] and scores.count() == 60
     assert not spark.read.parquet(f"{results}/{record.job_name}/roc").isEmpty()
+
+
+def test_files_of_equal_name_and_mixed_columns(spark, tmp_path, scorer):
+    """A file is its path; scoring again replaces the score; columns of all files stay."""
+    texts = {"a": ["one two three", "two two one"], "b": ["three one two two", "one"]}
+    for folder, rows in texts.items():
+        table = spark.createDataFrame([(t, folder, 5.0, "mine") for t in rows], f"text string, only_{folder} string, score double, file string")
+        table.coalesce(1).write.parquet(str(tmp_path / folder))
+    files = [p for f in texts for p in (tmp_path / f).glob("*.parquet")]
+    paths = []
+    for folder, path in zip(texts, files, strict=True):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        paths.append(str(path.rename(tmp_path / "in" / folder / "x.parquet")))
+    rows = scorer.score_files(paths, str(tmp_path / "out")).collect()
+    expected = dict(zip(sum(texts.values(), []), scorer.score_literal(sum(texts.values(), [])), strict=True))
+    assert len(rows) == 4 and len({r.file for r in rows}) == 2
+    for r in rows:
+        assert (r.score == expected[r.text]) or (math.isnan(r.score) and math.isnan(expected[r.text]))
+        assert r.given_file == "mine" and (r.only_a is None) != (r.only_b is None)
+
+
+def test_null_conditions_and_null_order_lose_no_row(spark):
+    from perplexis.operators.model import count_pairs
+    from perplexis.operators.running import row_numbers
+
+    toks = spark.createDataFrame([(["a", "b"], "base"), (["c", "d"], None)], "tokens array<string>, src string")
+    counted = count_pairs(toks, F.col("src") == "base", F.lit(True)).agg(F.sum("n_p"), F.sum("n_q")).first()
+    assert tuple(counted) == (2, 4)
+    rows = spark.createDataFrame([(1, "x"), (None, "x"), (2, None)], "k long, g string")
+    assert sorted(r.row_number for r in row_numbers(rows, ["k"], ["g"]).collect()) == [1, 1, 2]
