@@ -5,8 +5,8 @@ address begins with its bits; a bucket over the byte limit splits on the next
 bit, any other stays. The directory has one entry for each prefix of the global
 depth and points to the bucket that owns it.
 
-All of it is DataFrame expressions. The rows are read once for byte sums by
-cells of the address, which are combined before the shuffle; the splitting
+All of it is DataFrame expressions. The table is read once, into narrow rows of
+key, address and size, which are summed by cells of the address; the splitting
 looks at prefix sums over those cells only, so that its cost follows the number
 of shards. Rows take their depth by a join on the cell, whose hot keys there
 are none: a cell is a share of a shard. Cells that are too large themselves
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perplexis.sources.workspace import stored
+
 ADDRESS_BITS = 60
 LIMIT_BYTES = 1 << 20
 # Bits by which the cells are finer than an even split into full shards.
@@ -67,20 +69,21 @@ def shards(df: DataFrame, key: str, text: str, limit: int = LIMIT_BYTES) -> Data
         F.col(key).alias("key"), address(F.col(key)).alias("bits"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
     )
+    rows = stored(rows, "addresses")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     known, finest = 0, min(ADDRESS_BITS, max(0, total // limit).bit_length() + FINER_BITS)
     decided = []
     while True:
         rows = rows.withColumn("cell", prefix(F.col("bits"), finest))
         cells = rows.groupBy("cell").agg(F.sum("n_bytes").alias("n_bytes"))
-        found = depths(cells, finest, known, limit)
+        found = stored(depths(cells, finest, known, limit), "depths")
         if finest == ADDRESS_BITS:
             found = found.withColumn("depth", F.coalesce("depth", F.lit(ADDRESS_BITS)))
         at = rows.join(found, "cell")
         decided.append(at.where("depth IS NOT NULL").drop("cell"))
-        rows = at.where("depth IS NULL").drop("cell", "depth")
         if finest == ADDRESS_BITS or found.where("depth IS NULL").isEmpty():
             break
+        rows = stored(at.where("depth IS NULL").drop("cell", "depth"), "addresses")
         known, finest = finest + 1, min(ADDRESS_BITS, finest + 8)
     placed = decided[0]
     for more in decided[1:]:
