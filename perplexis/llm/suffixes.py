@@ -92,7 +92,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
 
 def chunks(batch: pa.RecordBatch, column: str, length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
     """``(rows, bytes, offsets, skipped)``; a very long text comes in parts that overlap by all but a window's start."""
-    for part in columns.pieces(batch, column):
+    for part in columns.pieces(batch, column, min(columns.PIECE_BYTES, CHUNK)):
         data, offsets = columns.flat(part.column(part.schema.get_field_index(column)))
         step = CHUNK - length + 1
         if len(data) <= CHUNK:
