@@ -7,8 +7,8 @@ never ids.
 
 A packer keeps a fixed number of open bins. A bitset keyed by free space finds
 the tightest bin that takes a piece; if none does and all bins are open, the
-fullest closes first. Pieces reach a packer in runs of a few hundred sequences'
-worth, larger ones first within a run, so that small ones fill the gaps.
+fullest closes first. Pieces reach a packer in runs that fit in the open bins,
+larger ones first within a run, so that small ones fill the gaps.
 
 Groups of pieces are packed side by side. The bins that a group ends with go
 on as pieces of their own to the next round, with fewer groups, until one group
@@ -38,7 +38,8 @@ LENGTH = 2048
 END_ID = 0
 OPEN_BINS = 1024
 GROUP = 200_000
-RUN_SEQUENCES = 400
+# Sequences in a run, as a share of the open bins: a run fits in them whole.
+RUN_SHARE = 0.4
 TOKENIZER = "byte_bpe_50k"
 CACHED = 300_000
 # One space between two non-spaces: no token reaches across its left side.
@@ -164,7 +165,7 @@ class Packer:
 def pack_group(ids: np.ndarray, sizes: np.ndarray, length: int, open_bins: int):
     """Bin and offset of each piece, and which bins were open at the end."""
     order = np.argsort(ids, kind="stable")
-    run = np.cumsum(sizes[order]) // (RUN_SEQUENCES * length)
+    run = np.cumsum(sizes[order]) // (max(1, int(RUN_SHARE * open_bins)) * length)
     order = order[np.lexsort((-sizes[order], run))]
     packer = Packer(length, open_bins)
     bins, offsets = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)

