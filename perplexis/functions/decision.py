@@ -17,7 +17,7 @@ HUMAN_LABEL = "Most likely human-generated"
 
 def threshold_of(mode: str) -> float:
     if mode not in THRESHOLDS:
-        raise ValueError(f"Invalid mode: {mode}")
+        raise ValueError(f"There is no mode {mode!r}; known are {sorted(THRESHOLDS)}.")
     return THRESHOLDS[mode]
 
 
@@ -26,7 +26,7 @@ def _by_mode(mode: Column, values: dict) -> Column:
     for name, value in values.items():
         chosen = F.when(mode == name, F.lit(value)).otherwise(chosen)
     return F.when(mode.isin(*values), chosen).otherwise(
-        F.raise_error(F.concat(F.lit("Invalid mode: "), mode))
+        F.raise_error(F.concat(F.lit("There is no mode "), mode))
     )
 
 

@@ -61,6 +61,7 @@ def job_name(name: Column, source: Column, max_tokens: Column | int, given: Colu
 
 
 def metric_text(auc: Column, f1: Column, tpr: Column) -> Column:
+    # Fixed wording of the figure's caption.
     return F.format_string(
         "ROC AUC: %.4f\nF1 Score: %.2f\nTPR at 0.01%% FPR:%.2f%%", auc, f1, tpr * 100
     )

@@ -16,12 +16,12 @@ PREVIEW_ROWS = 20
 def require_columns(df: DataFrame, *columns: str) -> None:
     for column in columns:
         if column not in df.columns:
-            raise ValueError(f"Column '{column}' not found. Available columns: {df.columns}")
+            raise ValueError(f"There is no column {column!r} among {df.columns}.")
 
 
 def require_score_column(df: DataFrame, score: str = "score") -> None:
     if score not in df.columns:
-        raise ValueError(f"Column '{score}' not found. Score the texts first to create it.")
+        raise ValueError(f"There is no column {score!r} yet; scoring the texts adds it.")
 
 
 def attach_scores(texts: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -98,6 +98,7 @@ def missing_preview(scored: DataFrame, row_id: str, text: str = "text", file: st
         .groupBy(file, "scoreable")
         .agg(F.array_sort(F.collect_list(row_id)).alias("ids"))
     )
+    # Fixed wording of the report.
     more = F.when(F.col("n") > rows, F.format_string(", ... (+%d more)", F.col("n") - rows)).otherwise("")
     return first.join(counts, [file, "scoreable"]).select(
         file, "scoreable", F.concat(F.array_join(F.col("ids").cast("array<string>"), ", "), more).alias("preview")

@@ -113,7 +113,7 @@ class Scorer:
         """
         paths = collect_inputs(self.spark, inputs, suffix=suffix)
         if not paths:
-            raise ValueError("No parquet files found to score.")
+            raise ValueError("The inputs hold no Parquet file to score.")
         write_scored(self.score(read_texts(self.spark, paths, limit), FILE_KEYS, text), output)
         return self.spark.read.parquet(output)
 

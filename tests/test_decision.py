@@ -14,13 +14,13 @@ def one(spark, *columns):
 def test_modes(spark):
     assert D.threshold_of("low-fpr") == 0.8536432310785527
     assert D.threshold_of("accuracy") == 0.9015310749276843
-    with pytest.raises(ValueError, match="Invalid mode: other"):
+    with pytest.raises(ValueError, match="There is no mode 'other'"):
         D.threshold_of("other")
     modes = spark.createDataFrame([("low-fpr",), ("accuracy",)], "m string")
     got = [tuple(r) for r in modes.select(D.mode_threshold(F.col("m")), D.mode_display_name(F.col("m"))).collect()]
     assert got == [(0.8536432310785527, "Low False Positive Rate"), (0.9015310749276843, "High Accuracy")]
     assert one(spark, D.mode_of_display_name(F.lit("High Accuracy")).alias("m")).m == "accuracy"
-    with pytest.raises(Exception, match="Invalid mode: x"):
+    with pytest.raises(Exception, match="There is no mode x"):
         one(spark, D.mode_threshold(F.concat(F.lit("x"))).alias("m"))
 
 

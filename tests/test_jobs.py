@@ -94,14 +94,14 @@ def test_score_files_and_fill_gaps(spark, scorer, folder, tmp_path):
 def test_limit_counts_rows_of_each_file(spark, scorer, folder, tmp_path):
     scored = scorer.score_files([folder], str(tmp_path / "few"), limit=1)
     assert sorted(r.id for r in scored.collect()) == [1, 6]
-    with pytest.raises(ValueError, match="No parquet files"):
+    with pytest.raises(ValueError, match="no Parquet file"):
         scorer.score_files([f"{folder}/a_scored.parquet"], str(tmp_path / "none"))
 
 
 def test_missing_columns(spark, scorer, folder, tmp_path):
-    with pytest.raises(ValueError, match="Available columns"):
+    with pytest.raises(ValueError, match="There is no column"):
         scorer.score_files([folder], str(tmp_path / "x"), text="body")
-    with pytest.raises(ValueError, match="Score the texts first"):
+    with pytest.raises(ValueError, match="scoring the texts adds it"):
         scorer.score_missing(f"{folder}/a.parquet")
 
 
@@ -113,7 +113,7 @@ def test_literals_and_modes(spark, scorer):
     assert low.predict_literal(sentence(3)) == "Most likely human-generated"
     assert scorer.with_threshold(one * 1.01).predict_literal([sentence(3)]) == ["Most likely AI-generated"]
     assert scorer.with_mode("accuracy").threshold > scorer.with_mode("low-fpr").threshold
-    with pytest.raises(ValueError, match="Invalid mode"):
+    with pytest.raises(ValueError, match="There is no mode"):
         scorer.with_mode("none")
 
 
