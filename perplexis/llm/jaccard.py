@@ -16,8 +16,8 @@ each document's component under links.
    matter only to sets made of them.
 4. Rounds. A region takes pivots, measures those members against them that are
    in other components and near enough in size, and links merge components. The
-   first pivots come from the region's main component, one and then a few, and
-   draw most members into it; later ones are what is left outside. A region
+   first pivots, one in each of a few rounds, come from the region's main
+   component and draw most members into it; later ones are what is left outside. A region
    within one component is done; so are pivots. A very large region splits into the pivots' Voronoi cells;
    a member also enters each cell whose pivot is no farther than its own pivot
    plus twice the link distance (triangle inequality), which loses no link. A
@@ -49,8 +49,8 @@ SHINGLE = 5
 PERCENT = 75
 BUCKET_BYTES = 8 << 20
 FLUSH = 1 << 19
-STARS = 3
-FEW_PIVOTS, PIVOTS = 8, 64
+STARS = 4
+PIVOTS = 64
 SMALL = 64
 PARTED = 1 << 14
 MOST_COPIES = 1.5
@@ -316,9 +316,9 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         large = rows.where(F.lit(star) | (F.col("members") > SMALL))
         # Stars first pull what they can into the main component; what is left outside is then measured against all.
         outside = F.col("comp") != F.col("main")
-        order = [outside if star else ~outside, F.xxhash64("node"), F.col("node")]
+        order = [outside if star else ~outside, F.xxhash64("node", F.lit(turn)), F.col("node")]
         place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
-        most = 1 if turn == 0 else FEW_PIVOTS if star else PIVOTS
+        most = 1 if star else PIVOTS
         pivot = [F.col("region").alias("_region"), *(F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "comp"))]
         chosen = large.withColumn("place", place).where(F.col("place") <= most).select(*pivot)
         may_link = (
