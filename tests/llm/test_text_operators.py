@@ -344,7 +344,7 @@ def test_language_model(spark, docs, none):
     )
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
     alike = {r.score for r in got if r.doc_id == 0}
-    assert len(alike) == 1
+    assert max(alike) - min(alike) < 1e-5 * -min(alike)
     assert lm.score(none, "doc_id", "text", F.lit(True)).isEmpty()
     assert lm.score(docs, "doc_id", "text", F.lit(False)).count() == len(rows)
 
