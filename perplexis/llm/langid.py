@@ -37,6 +37,7 @@ EPOCHS = 8
 RATE = 0.5
 PER_LANG = 500
 SAMPLE = 4000
+PARTS = 64
 REJECTED_GOOD = 0.005
 UNKNOWN = "und"
 SEED = 11
@@ -129,6 +130,10 @@ def learn(
     by_hash = [F.xxhash64(key, F.lit(SEED)), F.col(key)]
     chosen = (
         rows.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), by_hash[0].alias("_hash"))
+        # Parts of a language are ranked side by side, so that the last ranking sees few of its rows.
+        .withColumn("_part", F.pmod(F.xxhash64("_key"), F.lit(PARTS)))
+        .withColumn("_place", F.row_number().over(Window.partitionBy("_lang", "_part").orderBy("_hash", "_key")))
+        .where(F.col("_place") <= per_lang)
         .withColumn("_place", F.row_number().over(Window.partitionBy("_lang").orderBy("_hash", "_key")))
         .where(F.col("_place") <= per_lang).orderBy("_place", "_hash", "_key").limit(sample)
     ).select("_key").distinct()
