@@ -382,3 +382,23 @@ def test_net_gradients_and_carried_state():
     every = np.arange(lm.WORDS + lm.ENDINGS + 1)
     chance = net.chances(np.repeat(np.zeros((1, lm.HIDDEN)), len(every), axis=0), every)[0]
     assert math.isclose(np.exp(chance).sum(), 1, rel_tol=1e-4)
+
+
+def test_net_learns_from_every_training_row(spark, none, monkeypatch):
+    rows = [(i % 50 if i % 3 else None, f"w{i} " * (1 + i % 7), "s") for i in range(300)] + [(1, "same words", "s")] * 40
+    df = brute.documents(spark, rows).repartition(3)
+    monkeypatch.setattr(lm, "GROUP_TOKENS", 60)
+    vocab = lm.vocabulary(lm.counts(df, "text"))
+    groups = lm.n_groups(vocab.n_tokens)
+    assert groups == -(-vocab.n_tokens // 60) > 20
+    dealt = lm.grouped(df, "doc_id", "text", vocab, groups).collect()
+    assert len(dealt) == len(rows) and sum(len(r.ids) // 2 for r in dealt) == vocab.n_tokens
+    same = Counter(r.ids for r in dealt).most_common(1)[0][0]
+    assert len({r.group for r in dealt if r.ids == same}) > 3
+    for n in (lm.LEAST_GROUPS, 8, 12, groups):
+        turns = Counter(r for turn in range(lm.ROUNDS) for r in lm.learning_in(turn, n))
+        assert set(turns) == set(range(lm.ROUNDS)) and len(set(turns.values())) == 1
+    values = lm.learn(df, "doc_id", "text", vocab)
+    start = lm.Net(vocab.weights).values
+    assert all(np.isfinite(v).all() and v.shape == start[k].shape for k, v in values.items())
+    assert any((values[k] != start[k]).any() for k in values)
