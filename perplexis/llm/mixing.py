@@ -9,8 +9,10 @@ stand in shuffled order (by hash of the key) on one line of words, cut into
 blocks of one slot's size. The source's slot of rank r takes block
 ``r mod blocks``, in pass ``r div blocks``; passes beyond ``most`` are not taken.
 
-The number of slots is a parameter, so that a slot's size follows the corpus
-and the shares are equally precise at any size. Positions on a source's line
+The number of slots is a parameter, and a slot's size follows the corpus, so
+that in ``mix`` a source may miss its target by some blocks of that size: little
+of the corpus, but all of a source smaller than that. ``mix_exactly`` gives each
+source as many slots of one word as its target has. Positions on a source's line
 come from sums over 4,096 ranges of the hash, then within each range: no source
 is ordered in one task. Points meet sources by an equality join on cells.
 
@@ -171,6 +173,27 @@ def mix(
     )
 
 
+def mix_exactly(
+    df: DataFrame, key: str, text: str, source: str,
+    weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
+) -> DataFrame:
+    """As ``mix``, with every source taken to its target, rounded to a word.
+
+    A source's slots are of one word, as many as its target has, and so are
+    its blocks: slot of rank r takes word ``r mod source_size`` of its line.
+    Only the order among sources would need the points, which no row shows.
+    """
+    _, placed = lines(stored(sizes(df, key, text, source), "sizes"), weights, most)
+    slots = F.round("target").cast("long")
+    passes = F.expr("CASE WHEN source_size > 0 THEN slots DIV source_size ELSE 0 END")
+    rest = F.col("slots") - F.col("passes") * F.col("source_size")
+    part = F.least(F.greatest(rest - F.col("start"), F.lit(0)), F.col("size"))
+    return placed.withColumn("slots", slots).withColumn("passes", passes).select(
+        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target",
+        (F.col("passes") * F.col("size") + part).cast("long").alias("taken"),
+    )
+
+
 def _overlap(block: int) -> Column:
     start, end = F.col("block") * block, F.col("block") * block + block
     return F.least(end, F.col("start") + F.col("size")) - F.greatest(start, F.col("start"))

@@ -1,13 +1,15 @@
 """Top-k against brute force, all queries against their SQL, and the pipeline."""
 
 import os
+import random
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from perplexis.llm import packing, queries, topk
+from perplexis.llm import mixing, packing, queries, topk
 from tests.llm import brute
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -106,3 +108,24 @@ def test_pipeline(spark):
     assert len(got) and (got.groupby("sequence_id").length.sum() <= packing.LENGTH).all()
     ids = {r.doc_id for r in queries.table(spark, FOLDER, "documents").collect()}
     assert set(got.doc_id) <= ids
+
+
+def test_small_sources_meet_their_targets(spark, monkeypatch):
+    """One large source and small ones, in blocks larger than these."""
+    sizes = {"a": [500] * 40, "b": [3, 4], "c": [40] * 3, None: [7]}
+    rows = [(1000 * n + i, "w " * size, s) for n, (s, all_) in enumerate(sizes.items()) for i, size in enumerate(all_)]
+    monkeypatch.setattr(mixing, "SLOTS", 64)
+    got = mixing.mix_exactly(brute.documents(spark, rows), "doc_id", "text", "source").collect()
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 3 * r["size"]
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(taken[r.source] - r.target) <= 0.5 + 1e-6 and r.source_size == sum(sizes[r.source])
+    mixed = stage(spark, "mixing sources to target weights", rows)
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len(brute.words(r.text))
+    # Documents come in whole, so that a source may miss by one of its own.
+    assert all(abs(words[r.source] - r.target) <= max(sizes[r.source]) for r in got)
