@@ -360,10 +360,27 @@ def cells(rows: DataFrame, distances: DataFrame, near: float) -> DataFrame:
     return split.unionByName(rows.join(parted, "region", "left_anti"))
 
 
-def join(
+def with_node(df: DataFrame, text: str, name: str, shingle: int = SHINGLE) -> DataFrame:
+    """All rows and columns, and as ``name`` the node of the row's shingle set."""
+    row = df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in columns.pieces(batch, "text"):
+                nodes = pa.array([set_key(s) for s in sets(part.column(1), shingle)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), nodes], names=["row", "node"])
+
+    found = row.mapInArrow(run, f"row {row.schema['row'].dataType.simpleString()}, node binary")
+    return found.select(*(F.col("row").getField(c).alias(c) for c in df.columns), F.col("node").alias(name))
+
+
+def grouped(
     df: DataFrame, key: str, text: str, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """``key, n_shingles, component_id`` for every row."""
+    """``id, n, node, group, component_id`` for every row.
+
+    ``group`` tells components apart, also those of one name; null without words.
+    """
     docs = stored(classes_of(df, key, text, shingle), "shingle-sets")
     classes = docs.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("id").alias("id"))
     wanted = stored(candidates(df, text, classes, shingle, percent), "candidates")
@@ -371,11 +388,20 @@ def join(
     labels = joined(regions(full, n_buckets(full), percent), full, percent)
     names = labels.join(wanted.select("node", "id"), "node")
     least = names.groupBy("comp").agg(F.min("id").alias("component"))
-    found = names.join(least, "comp").select("node", "component")
+    found = names.join(least, "comp").select("node", "comp", "component")
     named = classes.select("node", "id").join(found, "node", "left").select(
-        F.col("node").alias("_node"), F.coalesce("component", "id").alias("component")
+        F.col("node").alias("_node"), F.coalesce("comp", "node").alias("group"), F.coalesce("component", "id").alias("component")
     )
     return docs.join(named, F.when(F.col("n") > 0, F.col("node")) == F.col("_node"), "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"),
+        "id", "n", "node", "group",
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def join(
+    df: DataFrame, key: str, text: str, shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """``key, n_shingles, component_id`` for every row."""
+    return grouped(df, key, text, shingle, percent).select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id"
+    )

@@ -110,6 +110,18 @@ def test_pipeline(spark):
     assert set(got.doc_id) <= ids
 
 
+def test_near_duplicates_of_one_id_with_other_texts(spark):
+    """Rows of one id, each near to another id or to none: a row of every group stays."""
+    rng = random.Random(6)
+    a, b, c, d = (brute.prose(rng, 60) for _ in range(4))
+    rows = [(5, a, "s"), (5, b, "s"), (5, b + " end", "s"), (3, a, "s"), (7, b, "s"), (5, c, "s"), (5, c, "s"), (8, d, "s"), (5, "", "s"), (5, None, "s"), (None, a, "s")]
+    left = stage(spark, "n-gram Jaccard join", rows).collect()
+    assert sorted((r.doc_id, (r.text or "").removesuffix(" end")) for r in left if r.doc_id is not None) == sorted(
+        [(3, a), (5, b), (5, c), (8, d), (5, "")]
+    )
+    assert [r.text for r in left if r.doc_id is None] == [a]
+
+
 def test_small_sources_meet_their_targets(spark, monkeypatch):
     """One large source and small ones, in blocks larger than these."""
     sizes = {"a": [500] * 40, "b": [3, 4], "c": [40] * 3, None: [7]}
