@@ -15,7 +15,8 @@ by Spark joins that double their reach each time.
 Hashes only propose. For every distinct source span its words are hashed again
 with two other seeds at the source document and compared at each document that
 claims it. If a span doesn't agree, all is done again with another seed, so
-that no document loses a word to a collision.
+that no document loses a word to a collision. Edges are told apart by 80 bits:
+among 5 billion distinct ones about 0.00001 false matches are to be expected.
 
 Texts shuffle once; that exchange serves the source spans and the documents.
 Defined results: null or empty texts have no words; a text shorter than ``k``
@@ -39,6 +40,7 @@ from perplexis.sources.workspace import stored
 K = 13
 BUCKET_BYTES = 4 << 20
 FLUSH = 1 << 19
+SECOND = 300  # from the seed of an edge's hash to that of its second
 NO_ID = (1 << 63) - 1
 RUN = ["id", "tag", "start", "edges", "source_id", "source_tag", "source_start"]
 
@@ -71,30 +73,30 @@ def _unsteps(data: bytes, n: int) -> np.ndarray:
 
 
 def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
-    """``bucket, ids, tags, firsts, steps, low, high``: packed edges of many documents.
+    """``bucket, ids, tags, firsts, steps, low, high, more``: packed edges of many documents.
 
-    An edge keeps 48 bits of its hash beyond those that chose its bucket.
+    An edge has a hash of 64 bits and 16 more of a second one with another base.
     """
     def flush(kept: list[tuple]) -> pa.RecordBatch:
-        ids, tags, counts, found = (np.concatenate(x) for x in zip(*kept, strict=True))
+        ids, tags, counts, found, second = (np.concatenate(x) for x in zip(*kept, strict=True))
         firsts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.uint32)
         bucket = ((found >> np.uint64(48)) + ((found & np.uint64(0xFFFF)) << np.uint64(16))) % np.uint64(buckets)
         order = np.argsort(bucket.astype(np.uint32), kind="stable")
         bucket = bucket[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(8)]
         for start, end in zip(starts, [*starts[1:], len(order)], strict=True):
             part = order[start:end]
             hashes = columns.mix(found[part])
             row = (
                 int(bucket[start]), ids.tobytes(), tags.astype(np.uint32).tobytes(), firsts.tobytes(), _steps(part),
-                hashes.astype(np.uint32).tobytes(), (hashes >> np.uint64(32)).astype(np.uint16).tobytes(),
+                hashes.astype(np.uint32).tobytes(), (hashes >> np.uint64(32)).astype(np.uint32).tobytes(), second[part].tobytes(),
             )
             for x, value in zip(out, row, strict=True):
                 x.append(value)
         return pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
-            names=["bucket", "ids", "tags", "firsts", "steps", "low", "high"],
+            names=["bucket", "ids", "tags", "firsts", "steps", "low", "high", "more"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,11 +104,13 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
         for batch in batches:
             for part in columns.pieces(batch, "text"):
                 words = columns.Words(*columns.flat(part.column(2)))
-                at, found = words.windows(words.hashes(seed), k, seed)
+                hashes = words.hashes(seed)
+                at, found = words.windows(hashes, k, seed)
+                second = (words.windows(hashes, k, seed + SECOND)[1] >> np.uint64(48)).astype(np.uint16)
                 counts = np.maximum(words.counts - k + 1, 0)
                 some = counts > 0
                 if some.any():
-                    kept.append((part.column(0).to_numpy()[some], part.column(1).to_numpy()[some], counts[some], found))
+                    kept.append((part.column(0).to_numpy()[some], part.column(1).to_numpy()[some], counts[some], found, second))
                     n += len(at)
                 if n >= FLUSH:
                     yield flush(kept)
@@ -115,17 +119,17 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
             yield flush(kept)
 
     return rows.mapInArrow(
-        run, "bucket long, ids binary, tags binary, firsts binary, steps binary, low binary, high binary"
+        run, "bucket long, ids binary, tags binary, firsts binary, steps binary, low binary, high binary, more binary"
     )
 
 
 def repeats(packed: DataFrame, buckets: int) -> DataFrame:
     """``bucket, data``: later occurrences of repeated edges with their source, by document bucket."""
     def run(table: pa.Table) -> pa.Table:
-        ids, tags, places, hashes = [], [], [], []
+        ids, tags, places, hashes, seconds = [], [], [], [], []
         for row in table.to_batches():
             for i in range(row.num_rows):
-                own, tag, first, steps, low, high = (row.column(c)[i].as_py() for c in range(1, 7))
+                own, tag, first, steps, low, high, more = (row.column(c)[i].as_py() for c in range(1, 8))
                 n = len(low) // 4
                 at = _unsteps(steps, n)
                 first = np.frombuffer(first, np.uint32)
@@ -133,13 +137,15 @@ def repeats(packed: DataFrame, buckets: int) -> DataFrame:
                 ids.append(np.frombuffer(own, np.int64)[doc])
                 tags.append(np.frombuffer(tag, np.uint32)[doc])
                 places.append((at - first[doc]).astype(np.uint32))
-                hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint16).astype(np.uint64) << np.uint64(32)))
+                hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(32)))
+                seconds.append(np.frombuffer(more, np.uint16))
         hashes = np.concatenate(hashes)
         again = columns.repeated(hashes)
-        hashes, ids, tags, places = (np.concatenate(x)[again] if isinstance(x, list) else x[again] for x in (hashes, ids, tags, places))
-        order = np.lexsort((places, tags, ids, hashes))
-        hashes, ids, tags, places = hashes[order], ids[order], tags[order], places[order]
-        head = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+        hashes = hashes[again]
+        ids, tags, places, seconds = (np.concatenate(x)[again] for x in (ids, tags, places, seconds))
+        order = np.lexsort((places, tags, ids, seconds, hashes))
+        hashes, ids, tags, places, seconds = (x[order] for x in (hashes, ids, tags, places, seconds))
+        head = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (seconds[1:] != seconds[:-1])][: len(hashes)])
         source = np.repeat(head, np.diff(np.r_[head, len(hashes)]))
         later = np.flatnonzero(ids > ids[source])
         source = source[later]

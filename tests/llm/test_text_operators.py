@@ -402,3 +402,50 @@ def test_net_learns_from_every_training_row(spark, none, monkeypatch):
     start = lm.Net(vocab.weights).values
     assert all(np.isfinite(v).all() and v.shape == start[k].shape for k, v in values.items())
     assert any((values[k] != start[k]).any() for k in values)
+
+
+class Here:
+    """Runs the Arrow functions of a frame in this process, where patches hold; all rows are one group."""
+
+    def __init__(self, table):
+        self.table = table
+
+    def mapInArrow(self, run, _):  # noqa: N802
+        return Here(pa.Table.from_batches(list(run(iter(self.table.to_batches())))))
+
+    def groupBy(self, *_):  # noqa: N802
+        return self
+
+    def applyInArrow(self, run, _):  # noqa: N802
+        return Here(run(self.table))
+
+
+def test_edges_of_one_hash_are_told_apart(monkeypatch):
+    """All windows have one hash of 64 bits under seed 1; the second hash parts them."""
+    texts = [" ".join(f"w{i % 3}x{j}" for j in range(40)) for i in range(4)]
+    true = columns.Words.windows
+
+    def windows(self, hashes, n, seed=0):
+        at, found = true(self, hashes, n, seed)
+        return at, np.full_like(found, 7) if seed == 1 else found
+
+    monkeypatch.setattr(columns.Words, "windows", windows)
+    rows = Here(pa.table({"id": [0, 1, 2, 3], "tag": [0, 0, 0, 0], "text": texts}))
+    spans = debruijn.runs(debruijn.repeats(debruijn.edges(rows, 13, 1, 1), 1)).table.to_pylist()
+    assert [(r["id"], r["start"], r["edges"], r["source_id"], r["source_start"]) for r in spans] == [(3, 0, 28, 0, 0)]
+
+
+def test_collisions_end_with_the_right_result(spark, monkeypatch):
+    """Under seed 0 no span agrees, so that the loop has to go on to another seed."""
+    rows = [(i, " ".join(f"w{i % 3}x{j}" for j in range(40))) for i in range(4)]
+    seeds, once = [], debruijn.verified_spans
+
+    def verified_spans(*args):
+        seeds.append(args[-1])
+        texts, spans = once(*args)
+        return texts, spans if args[-1] else spans.withColumn("one", F.col("one") + 1)
+
+    monkeypatch.setattr(debruijn, "verified_spans", verified_spans)
+    got = debruijn.summary(brute.documents(spark, [(i, t, None) for i, t in rows]), "doc_id", "text")
+    expected = Counter((i, *e) for (i, _), e in zip(rows, brute.word_spans(rows, 13), strict=True))
+    assert found(got, "doc_id", "n_words", "n_removed", "kept_sha256") == expected and seeds == [0, 1]
