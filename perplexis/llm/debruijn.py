@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perplexis.llm import columns
@@ -51,11 +51,16 @@ def n_buckets(df: DataFrame, per: int = BUCKET_BYTES) -> int:
     return max(16, min(1 << 20, size // per)) if size < 1 << 60 else 64
 
 
-def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, tag, text``; the tag parts rows of equal id and different text."""
+def tagged(text: Column, seed: int) -> Column:
+    """What parts rows of equal id and different text: 64 bits, others with another seed."""
+    return F.xxhash64(F.lit(seed), F.coalesce(text, F.lit("")))
+
+
+def keyed(df: DataFrame, key: str, text: str, seed: int = 0) -> DataFrame:
+    """``id, tag, text``."""
     return df.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
-        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("tag"), F.col(text).alias("text"),
+        tagged(F.col(text), seed).alias("tag"), F.col(text).alias("text"),
     )
 
 
@@ -88,8 +93,9 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
         for start, end in zip(starts, [*starts[1:], len(order)], strict=True):
             part = order[start:end]
             hashes = columns.mix(found[part])
+            own = np.unique(np.searchsorted(firsts, part, "right") - 1)
             row = (
-                int(bucket[start]), ids.tobytes(), tags.astype(np.uint32).tobytes(), firsts.tobytes(), _steps(part),
+                int(bucket[start]), ids[own].tobytes(), tags[own].tobytes(), firsts[own].tobytes(), _steps(part),
                 hashes.astype(np.uint32).tobytes(), (hashes >> np.uint64(32)).astype(np.uint32).tobytes(), second[part].tobytes(),
             )
             for x, value in zip(out, row, strict=True):
@@ -135,7 +141,7 @@ def repeats(packed: DataFrame, buckets: int) -> DataFrame:
                 first = np.frombuffer(first, np.uint32)
                 doc = np.searchsorted(first, at, "right") - 1
                 ids.append(np.frombuffer(own, np.int64)[doc])
-                tags.append(np.frombuffer(tag, np.uint32)[doc])
+                tags.append(np.frombuffer(tag, np.int64)[doc])
                 places.append((at - first[doc]).astype(np.uint32))
                 hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(32)))
                 seconds.append(np.frombuffer(more, np.uint16))
@@ -165,7 +171,7 @@ def repeats(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(run, "bucket long, data binary")
 
 
-_FIELDS = [("id", np.int64), ("tag", np.uint32), ("place", np.uint32), ("source_id", np.int64), ("source_tag", np.uint32), ("source_place", np.uint32)]
+_FIELDS = [("id", np.int64), ("tag", np.int64), ("place", np.uint32), ("source_id", np.int64), ("source_tag", np.int64), ("source_place", np.uint32)]
 _WIDTH = sum(np.dtype(kind).itemsize for _, kind in _FIELDS)
 
 
@@ -318,7 +324,7 @@ def kept_words(words: columns.Words, removed: np.ndarray) -> Iterator[bytes]:
 
 def verified_spans(df: DataFrame, key: str, text: str, k: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """``(texts, spans)``: keyed texts, and what is to go with the source's hashes."""
-    texts, buckets = keyed(df, key, text), n_buckets(df)
+    texts, buckets = keyed(df, key, text, seed), n_buckets(df)
     found = stored(paths(runs(repeats(edges(texts, k, buckets, seed), buckets))), "paths")
     span = ["source_id", "source_tag", "source_start", "edges"]
     hashes = source_hashes(texts, found.select(*span).distinct(), k)
@@ -362,7 +368,7 @@ def remove(df: DataFrame, key: str, text: str, k: int = K) -> DataFrame:
         _, spans = verified_spans(df, key, text, k, seed)
         texts = df.select(others).select(
             F.coalesce(F.col(f"row.{key}").cast("long"), F.lit(NO_ID)).alias("id"),
-            F.crc32(F.coalesce(F.col(f"row.{text}"), F.lit("")).cast("binary")).alias("tag"),
+            tagged(F.col(f"row.{text}"), seed).alias("tag"),
             F.col(f"row.{text}").alias("text"), "row",
         )
         out = stored(cut(texts, spans, k, make, f"row {df.select(others).schema['row'].dataType.simpleString()}, lost boolean, left string, agreed boolean"), "cut")

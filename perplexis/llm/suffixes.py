@@ -53,6 +53,7 @@ PLACE_BITS = 24
 CHUNK = 4 << 20
 SHARD_STRINGS = 20_000
 NO_ID = (1 << 63) - 1
+ROW = ["id", "tag", "more"]
 CORE = 256
 ENDED = (1 << 16) - 1
 
@@ -104,19 +105,20 @@ def chunks(batch: pa.RecordBatch, column: str, length: int) -> Iterator[tuple[pa
 
 
 def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, tag, text``; the tag parts rows of equal id and different text."""
+    """``id, tag, more, text``; 96 bits of tag and more part rows of equal id and different text."""
     return df.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
-        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("tag"), F.col(text).alias("text"),
+        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("tag"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("more"), F.col(text).alias("text"),
     )
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, one, two, id, tag, first, windows, behind``: every segment of every text.
+    """``anchor, one, two, id, tag, more, first, windows, behind``: every segment of every text.
 
     ``one, two`` name its content; ``behind`` is the anchor's distance from the first window.
     """
-    names = ["anchor", "one", "two", "id", "tag", "first", "windows", "behind"]
+    names = ["anchor", "one", "two", "id", "tag", "more", "first", "windows", "behind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,13 +130,13 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 ]
                 owners = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(grams.view(np.int64)), *map(pa.array, both), rows.column(0).take(owners), rows.column(1).take(owners),
+                    pa.array(grams.view(np.int64)), *map(pa.array, both), *(rows.column(i).take(owners) for i in range(3)),
                     pa.array(starts - offsets[owner] + skipped), pa.array((ends - starts + 1).astype(np.int32)),
                     pa.array((anchor - starts).astype(np.int32)),
                 ], names=names)
 
     return texts.mapInArrow(
-        run, "anchor long, one long, two long, id long, tag long, first long, windows int, behind int"
+        run, "anchor long, one long, two long, id long, tag long, more long, first long, windows int, behind int"
     )
 
 
@@ -144,10 +146,10 @@ def ranges(texts: DataFrame, wanted: DataFrame, length: int, width: int) -> Data
     ``place`` numbers the range; ``low`` and ``high`` bound the anchor's distance
     in it; ``n`` is how often the segment occurs.
     """
-    listed = wanted.groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag")).agg(
+    listed = wanted.groupBy(*(F.col(c).alias(f"_{c}") for c in ROW)).agg(
         F.collect_list(F.struct("one", "two", "first", "windows", "behind", "n")).alias("wanted")
     )
-    rows = texts.join(listed, (F.col("id") == F.col("_id")) & (F.col("tag") == F.col("_tag"))).select("text", "wanted")
+    rows = texts.join(listed, [F.col(c) == F.col(f"_{c}") for c in ROW]).select("text", "wanted")
     names = ["core", "place", "left", "right", "one", "two", "low", "high", "n"]
     kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
 
@@ -338,11 +340,11 @@ def by_window(strings: DataFrame, width: int) -> DataFrame:
 
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, width: int = RANGE) -> DataFrame:
-    """``id, tag, first, last``: runs of repeated windows by their starts; runs may touch or overlap."""
+    """``id, tag, more, first, last``: runs of repeated windows by their starts; runs may touch or overlap."""
     found = stored(segments(texts, length, gram), "segments")
     content = ["one", "two"]
     distinct = found.groupBy("anchor", *content).agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "tag", "first", "windows", "behind")).alias("at")
+        F.count("*").alias("n"), F.min(F.struct(*ROW, "first", "windows", "behind")).alias("at")
     )
     per_anchor = distinct.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
     distinct = stored(distinct.join(per_anchor, "anchor").select(*content, "n", "kinds", "at.*"), "repeated-anchors")
@@ -364,20 +366,20 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, w
     ).otherwise(F.transform("hits", lambda h: F.struct(h.alias("low"), h.alias("high")))).alias("hits")).where("hits IS NOT NULL")
     again = parted.join(judged, string).groupBy(*content).agg(F.flatten(F.collect_list("hits")).alias("hits"))
     starts = found.join(alone.unionByName(again), content).select(
-        "id", "tag", F.explode("hits").alias("hit"), (F.col("first") + F.col("behind")).alias("anchor")
+        *ROW, F.explode("hits").alias("hit"), (F.col("first") + F.col("behind")).alias("anchor")
     )
     return starts.select(
-        "id", "tag", (F.col("anchor") - F.col("hit.high")).alias("first"), (F.col("anchor") - F.col("hit.low")).alias("last")
+        *ROW, (F.col("anchor") - F.col("hit.high")).alias("first"), (F.col("anchor") - F.col("hit.low")).alias("last")
     )
 
 
 def summary(df: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
     texts = keyed(df, key, text)
-    spans = repeated_windows(texts, length).groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag")).agg(
+    spans = repeated_windows(texts, length).groupBy(*(F.col(c).alias(f"_{c}") for c in ROW)).agg(
         F.collect_list(F.struct("first", "last")).alias("spans")
     )
-    rows = texts.join(spans, (F.col("id") == F.col("_id")) & (F.col("tag") == F.col("_tag")), "left").select("id", "text", "spans")
+    rows = texts.join(spans, [F.col(c) == F.col(f"_{c}") for c in ROW], "left").select("id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,5 +1,6 @@
 """Operators on documents against brute force, with odd rows, and on empty tables."""
 
+import hashlib
 import math
 import os
 import zlib
@@ -449,3 +450,32 @@ def test_collisions_end_with_the_right_result(spark, monkeypatch):
     got = debruijn.summary(brute.documents(spark, [(i, t, None) for i, t in rows]), "doc_id", "text")
     expected = Counter((i, *e) for (i, _), e in zip(rows, brute.word_spans(rows, 13), strict=True))
     assert found(got, "doc_id", "n_words", "n_removed", "kept_sha256") == expected and seeds == [0, 1]
+
+
+def test_texts_of_one_id_and_crc32(spark, monkeypatch):
+    """Two texts that share id and crc32; only one repeats a passage."""
+    import random
+
+    rng = random.Random(9)
+    shared, other = brute.prose(rng, 40), brute.prose(rng, 30)
+    mark = lambda i: hashlib.md5(str(i).encode()).hexdigest()[:12]
+    by_crc = {zlib.crc32((t := f"{shared} {mark(i)}").encode()): t for i in range(100_000)}
+    one, two = next(
+        (by_crc[c], t) for i in range(1_000_000) if (c := zlib.crc32((t := f"{other} {mark(-i)}").encode())) in by_crc
+    )
+    rows = [(1, shared), (9, one), (9, two), (9, two + " more"), (None, two), (None, one)]
+    df = brute.documents(spark, [(i, t, None) for i, t in rows])
+    got = debruijn.summary(df, "doc_id", "text")
+    expected = Counter((i, *e) for (i, _), e in zip(rows, brute.word_spans(rows, 13), strict=True))
+    assert found(got, "doc_id", "n_words", "n_removed", "kept_sha256") == expected
+    rows = rows[:3]
+    df = brute.documents(spark, [(i, t, None) for i, t in rows])
+    got = suffixes.summary(df, "doc_id", "text", length=100)
+    expected = Counter((i, *e) for (i, _), e in zip(rows, brute.byte_spans([t for _, t in rows], 100), strict=True))
+    assert found(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected
+    few, true = 2, lm.vocabulary
+    monkeypatch.setattr(lm, "vocabulary", lambda table: true(table, few))
+    scores = lm.score(df, "doc_id", "text", F.lit(True)).collect()
+    assert Counter((r.doc_id, r.n_known, round(r.base_score, 6)) for r in scores) == Counter(
+        (i, e[1], round(e[3], 6)) for (i, _), e in zip(rows, base_scores(rows, [True] * 3), strict=True)
+    )
