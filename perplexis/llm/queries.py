@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.llm import debruijn, jaccard, langid, lm, mixing, packing, quality, sharding, suffixes, topk
+from perplexis.llm import (
+    collocations, debruijn, jaccard, langid, lm, mixing, packing, periodic, quality, sharding, suffixes, topk, tournament,
+)
 from perplexis.sources.workspace import stored
 
 
@@ -68,7 +70,52 @@ def op1_recurrent_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(docs, "doc_id", "text", F.coalesce(remainder("doc_id", 7) != 2, F.lit(True)))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), "text", "lang")
+
+
+def op12_tournament_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return tournament.pack(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents a stretch of words repeats to the end, as the contract says."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", number.alias("h"), F.when(number % 10 == 0, F.filter(
+        F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != ""
+    )).alias("words"))
+    n, g = F.size("words"), F.expr("h div 10")
+    planned = words.select("*", n.alias("n"), g.alias("g")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    planned = planned.withColumn("p", (F.lit(1) + F.expr("(n - a) div (3 + g % 8)")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil(rest / F.col("p")).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(period, times)), 1, rest)
+    planted = F.array_join(F.concat(F.slice("words", 1, F.col("a")), repeated), " ")
+    return planned.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = periodic.runs(planted_runs(docs), "doc_id", "text")
+    stronger = lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r
+    ).otherwise(best)
+    best = F.aggregate("runs", F.lit(None).cast(found.schema["runs"].dataType.elementType), stronger)
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in periodic.RUN),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
+    "op11_collocations": op11_collocations,
+    "op12_tournament_packing": op12_tournament_packing,
+    "op13_periodic_runs": op13_periodic_runs,
     "op1_recurrent_scores": op1_recurrent_scores,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op8_de_bruijn_dedup": op8_de_bruijn_dedup,
@@ -185,6 +232,46 @@ ORACLE: dict[str, str] = {
             shard_bytes::BIGINT AS shard_bytes, shard_rows, shard_bytes > {sharding.LIMIT_BYTES} AS oversized
         FROM f WHERE nth = 1
     """,
+    "op11_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p
+        ), e AS (
+            SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z
+            FROM (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w)
+        ), f1 AS (
+            SELECT lang, x, count(*) AS n FROM e GROUP BY ALL
+        ), f2 AS (
+            SELECT lang, x, y, count(*) AS n FROM e WHERE y IS NOT NULL GROUP BY ALL
+        ), f3 AS (
+            SELECT lang, x, y, z, count(*) AS n FROM e WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= {collocations.LEAST}
+        ), held AS (
+            SELECT lang, x, y, max(n) AS longer
+            FROM (SELECT lang, x, y, n FROM f3 UNION ALL SELECT lang, y, z, n FROM f3) GROUP BY ALL
+        ), cuts AS (
+            SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.n AS a, 1 AS k, l.n AS l, r.n AS r
+            FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+            LEFT JOIN held ON held.lang = f2.lang AND held.x = f2.x AND held.y = f2.y
+            WHERE f2.n >= {collocations.LEAST} AND (longer IS NULL OR 100 * longer < {collocations.INSIDE} * f2.n)
+            UNION ALL
+            SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.n, 1, l.n, r.n
+            FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.x = f3.x JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
+            UNION ALL
+            SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.n, 2, l.n, r.n
+            FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z
+        ), s AS (
+            SELECT *, ({collocations.SCALE}::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts
+        ), best AS (
+            SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+        )
+        SELECT lang, rank, phrase, a, l, r, total.n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked JOIN (SELECT lang, sum(n) AS n FROM f1 GROUP BY lang) total USING (lang)
+        WHERE rank <= {collocations.TOP}
+    """,
     "op10_jaccard_join": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, {_WORDS.format(_LOWER.format("text"))} AS words FROM documents
