@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perplexis.functions.decision import THRESHOLDS, binary_prediction, is_missing
-from perplexis.operators.running import running_totals, with_ranges
+from perplexis.operators.running import running_totals
 from perplexis.sources.workspace import stored
 
 # The false-positive rate that experiments report, and the
@@ -49,10 +49,11 @@ def f1(table: DataFrame) -> DataFrame:
 
 
 def cumulative_counts(table: DataFrame, path: str | None = None) -> DataFrame:
-    """``score, pos, neg, tp, fp`` per distinct score, stored.
+    """``score, pos, neg, tp, fp, range_id`` per distinct score, stored.
 
     ``tp`` and ``fp`` count the rows up to and with this score. Missing scores
-    have no place in the order and are left out.
+    have no place in the order and are left out. ``range_id`` numbers stretches
+    of the order.
     """
     groups = table.where(~is_missing("score")).groupBy("score").agg(
         F.count_if(F.col("class") == 1).alias("pos"), F.count_if(F.col("class") == 0).alias("neg")
@@ -103,14 +104,12 @@ def roc_curve_thin(cumulative: DataFrame) -> DataFrame:
     first or the last one.
     """
     p, n = _class_sizes(cumulative)
-    ranged = with_ranges(cumulative, "score").withColumn("step", F.struct("pos", "neg"))
-    # One row per range: a bounded table.
+    ranged = cumulative.withColumn("step", F.struct("pos", "neg"))
+    # One row for each range of a million scores or so.
     heads = ranged.groupBy("range_id").agg(F.min_by("step", "score").alias("head"))
     heads = heads.select("range_id", F.lead("head").over(Window.orderBy("range_id")).alias("head"))
     inside = Window.partitionBy("range_id").orderBy("score")
-    stepped = ranged.withColumn("following", F.lead("step").over(inside)).join(
-        F.broadcast(heads), "range_id"
-    ).withColumn("following", F.coalesce("following", "head"))
+    stepped = ranged.withColumn("following", F.lead("step").over(inside)).join(heads, "range_id").withColumn("following", F.coalesce("following", "head"))
     is_first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     kept = stepped.where(is_first | F.col("following").isNull() | (F.col("following") != F.col("step")))
     points = kept.select(

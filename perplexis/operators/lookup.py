@@ -1,56 +1,65 @@
-"""Left join to a table with unique keys, safe against hot keys."""
+"""Left join to a table with unique keys, safe against hot keys of any kind and length."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot when it has more than 1/HOT_KEYS of all rows, so that
-# fewer than HOT_KEYS keys are hot, whatever the size of the data.
-HOT_KEYS = 2048
-# Longer keys stay with the adaptive skew join, so that the broadcast list has
-# a bounded size (8 MB of text) and not only a bounded number of rows.
-HOT_KEY_CHARS = 1024
+# Keys with more rows than this are split.
+ROW_TARGET = 1 << 20
+# The list of such keys is broadcast, as 64-bit hashes: it has fewer than this
+# many rows of 12 bytes, since beyond it the target rises with the data.
+HOT_KEYS = 1 << 17
+
+Keys = str | Sequence[str]
+
+
+def _names(key: Keys) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def hot_keys(counts: DataFrame, key: str, count: str, total: int, most: int = HOT_KEYS) -> DataFrame:
-    """``key, salts`` of the keys with more than ``total / most`` rows.
+def hot_keys(counts: DataFrame, key: Keys, count: str, total: int, target: int = ROW_TARGET) -> DataFrame | None:
+    """``_hot, salts`` of the keys with more than ``target`` rows; ``None`` if there can't be any.
 
-    ``counts`` has one row per key, and its counts sum up to ``total``: fewer
-    than ``most`` keys can qualify. ``salts`` pieces of a hot key hold about
-    ``total / most`` rows each, and all pieces together number at most twice
-    ``most``.
+    ``counts`` has one row per key, and its counts sum up to ``total``. A piece
+    of a hot key holds about ``target`` rows. Keys are listed by their hash: two
+    that share one are split alike, which changes no result.
     """
-    share = max(1, total / most)
-    is_hot = (F.col(count) > share) & (F.length(key) <= HOT_KEY_CHARS)
-    return counts.where(is_hot).select(
-        key, F.ceil(F.col(count) / F.lit(share)).cast("int").alias("salts")
+    share = max(target, total / HOT_KEYS)
+    if total <= share:
+        return None
+    return counts.where(F.col(count) > share).groupBy(F.xxhash64(*_names(key)).alias("_hot")).agg(
+        F.ceil(F.max(count) / F.lit(float(share))).cast("int").alias("salts")
     )
 
 
-def hot_keys_of(rows: DataFrame, key: str, most: int = HOT_KEYS) -> DataFrame:
+def hot_keys_of(rows: DataFrame, key: Keys, target: int = ROW_TARGET) -> DataFrame | None:
     """The same, counted from the rows themselves (combined before the shuffle)."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    return hot_keys(counts, key, "n", rows.count(), most)
+    total = rows.count()
+    if total <= target:
+        return None
+    return hot_keys(rows.groupBy(*_names(key)).agg(F.count("*").alias("n")), key, "n", total, target)
 
 
-def salted_lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def salted_lookup(rows: DataFrame, table: DataFrame, key: Keys, hot: DataFrame | None) -> DataFrame:
     """``rows`` left-joined to ``table`` on ``key``.
 
     The rows of a hot key are dealt to its salts, and its one table row is
-    repeated once per salt. Any other key has one salt. The list of hot keys is
-    broadcast, which its definition bounds.
+    repeated once per salt. Any other key has one salt.
     """
+    names = _names(key)
+    if hot is None:
+        return rows.join(table, names, "left")
     known = F.broadcast(hot.withColumnRenamed("salts", "_salts"))
+
+    def listed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_hot", F.xxhash64(*names)).join(known, "_hot", "left").drop("_hot")
+
     dealt = F.pmod(F.xxhash64(*rows.columns), "_salts").cast("int")
-    salted_rows = (
-        rows.join(known, key, "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(dealt))
-        .drop("_salts")
-    )
-    salted_table = (
-        table.join(known, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-        .drop("_salts")
-    )
-    return salted_rows.join(salted_table, [key, "_salt"], "left").drop("_salt")
+    salted_rows = listed(rows).withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(dealt)).drop("_salts")
+    salted_table = listed(table).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_salts")
+    return salted_rows.join(salted_table, [*names, "_salt"], "left").drop("_salt")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import hot_keys_of, salted_lookup
+from perplexis.operators.lookup import ROW_TARGET, hot_keys, hot_keys_of, salted_lookup
 from perplexis.operators.model import Contexts
 from perplexis.operators.tokens import END
 from perplexis.sources.workspace import stored
@@ -23,17 +23,17 @@ def pair_metrics(positions: DataFrame, contexts: Contexts, path: str | None = No
     """``tok, next, n, nll, h`` for each distinct pair of ``positions``, stored.
 
     The texts are reduced to distinct pairs (combined before the shuffle), and
-    only those meet the model tables. Pairs, contexts and tokens never seen in
-    training get their backed-off values.
+    only those meet the dictionary, then the model by ids. Pairs, contexts and
+    tokens never seen in training get their backed-off values.
     """
     model = contexts.model
     types = positions.groupBy(F.col("tok").alias("prev"), "next").agg(F.count("*").alias("n"))
-    trained = model.pairs.select("prev", "next", "n_q")
-    counted = stored(types.join(trained, ["prev", "next"], "left"), "counted_pairs")
-    prevs = contexts.table.select(F.col("tok").alias("prev"), "c_q", "h", "log_z")
-    nexts = contexts.table.select(F.col("tok").alias("next"), F.col("n_q").alias("w_q"))
+    counted = stored(types, "counted_pairs")
+    prevs = contexts.table.select(F.col("tok").alias("prev"), F.col("id").alias("prev_id"), "c_q", "h", "log_z")
+    nexts = contexts.table.select(F.col("tok").alias("next"), F.col("id").alias("next_id"), F.col("n_q").alias("w_q"))
     joined = salted_lookup(counted, prevs, "prev", hot_keys_of(counted, "prev"))
     joined = salted_lookup(joined, nexts, "next", hot_keys_of(counted, "next"))
+    joined = joined.join(model.pairs.select("prev_id", "next_id", "n_q"), ["prev_id", "next_id"], "left")
     prob = model.conditional("n_q", "c_q", model.unigram("q", "w_q"))
     return _valued(joined.withColumn("prob_q", prob), contexts, path)
 
@@ -44,9 +44,9 @@ def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFra
     Enough for texts that the models were trained on as a whole.
     """
     model = contexts.model
-    prevs = contexts.table.select(F.col("tok").alias("prev"), "h", "log_z")
-    counted = model.probabilities.select("prev", "next", F.col("n_q").alias("n"), "prob_q")
-    return _valued(salted_lookup(counted, prevs, "prev", model.hot_prevs), contexts, path)
+    prevs = contexts.table.select(F.col("id").alias("prev_id"), "h", "log_z")
+    counted = model.pairs.select("prev_id", "prev", "next", "n", "prob_q")
+    return _valued(salted_lookup(counted, prevs, "prev_id", model.hot_prevs), contexts, path)
 
 
 def _valued(pairs: DataFrame, contexts: Contexts, path: str | None) -> DataFrame:
@@ -63,23 +63,24 @@ def _valued(pairs: DataFrame, contexts: Contexts, path: str | None) -> DataFrame
 
 
 def token_metrics(positions: DataFrame, metrics: DataFrame, keys: Sequence[str],
-                  hot_pairs: int = HOT_PAIRS) -> DataFrame:
+                  hot_pairs: int = HOT_PAIRS, target: int = ROW_TARGET) -> DataFrame:
     """``keys, pos, tok, nll, h``; ``nll`` is null at the last position.
 
     Frequent pairs never shuffle: their values are broadcast, and a following
-    aggregate per text combines them where the text is read. The rest, which
-    has no hot key left, meets ``metrics`` in a shuffled join. A pair without
+    aggregate per text combines them where the text is read. The rest meets
+    ``metrics`` in a shuffled join, in which pairs of more than ``target``
+    positions (long ones, which aren't broadcast) are split. A pair without
     values fails the query rather than losing its position.
     """
     total = metrics.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_hot = (F.col("n") > total / hot_pairs) & (F.length("tok") + F.length("next") <= HOT_PAIR_CHARS)
-    values = metrics.select("tok", "next", "nll", "h", is_hot.alias("_hot"))
-    hot = values.where("_hot").drop("_hot")
-    cold = values.where("NOT _hot").drop("_hot")
+    values = metrics.select("tok", "next", "n", "nll", "h", is_hot.alias("_hot_pair"))
+    hot = values.where("_hot_pair").select("tok", "next", "nll", "h")
+    cold = values.where("NOT _hot_pair").drop("_hot_pair")
     frequent = positions.join(F.broadcast(hot), ["tok", "next"])
-    rare = positions.join(F.broadcast(hot.select("tok", "next")), ["tok", "next"], "left_anti").join(
-        cold, ["tok", "next"], "left"
-    )
+    others = positions.join(F.broadcast(hot.select("tok", "next")), ["tok", "next"], "left_anti")
+    split = hot_keys(cold, ["tok", "next"], "n", total, target)
+    rare = salted_lookup(others, cold.drop("n"), ["tok", "next"], split)
     rare = rare.withColumn("h", F.coalesce("h", F.raise_error(F.lit("token pair without values"))))
     return frequent.unionByName(rare).select(*keys, "pos", "tok", "nll", "h")
 
@@ -118,14 +119,20 @@ def document_scores(metrics: DataFrame, keys: Sequence[str], median: bool = Fals
     """``keys, n_tokens, ppl, x_ppl, score`` out of any per-position table.
 
     The table may come from another model altogether: it needs the keys, tok,
-    nll (null where there is no next token) and h.
+    nll (null at the last position only) and h. A text has one last position: keys
+    under which there are several are shared by texts and fail the query.
     """
+    text = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    shared = F.raise_error(F.concat(F.lit("Several texts have the key "), text))
     return (
         metrics.groupBy(*keys)
         .agg(
             F.count("*").alias("n_tokens"),
+            F.count_if(F.col("nll").isNull()).alias("_ends"),
             perplexity(median).alias("ppl"),
             cross_perplexity(median, mask_tokens).alias("x_ppl"),
         )
+        .withColumn("n_tokens", F.when(F.col("_ends") > 1, shared.cast("long")).otherwise(F.col("n_tokens")))
+        .drop("_ends")
         .withColumn("score", ratio(F.col("ppl"), F.col("x_ppl")))
     )

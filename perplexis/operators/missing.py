@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from perplexis.functions.decision import is_missing
 from perplexis.functions.text import is_scoreable
+from perplexis.operators.running import ROWS_PER_RANGE
 
 PREVIEW_ROWS = 20
 
@@ -52,11 +53,23 @@ def backfill_scores(scored: DataFrame, new_scores: DataFrame, keys: Sequence[str
 
 
 def limit_per_file(df: DataFrame, limit: int, order: Sequence[str], file: str = "file") -> DataFrame:
-    """The first ``limit`` rows of each file in key order; 0 keeps all rows."""
+    """The first ``limit`` rows of each file in key order; 0 keeps all rows.
+
+    Rows are ranked in pieces of a file first, by their keys alone, so that no
+    task sees more of a file than a piece or the first rows of each. ``file`` and
+    ``order`` together are unique and never null.
+    """
     if limit == 0:
         return df
-    rank = F.row_number().over(Window.partitionBy(file).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+    keys = [file, *order]
+    pieces = max(1, -(-df.count() // ROWS_PER_RANGE))
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    first = df.select(*keys)
+    if pieces > 1:
+        dealt = first.withColumn("_piece", F.pmod(F.xxhash64(*order), F.lit(pieces)))
+        first = dealt.withColumn("_rank", rank(file, "_piece")).where(F.col("_rank") <= limit).select(*keys)
+    first = first.withColumn("_rank", rank(file)).where(F.col("_rank") <= limit).select(*keys)
+    return df.join(first, keys, "left_semi").select(*df.columns)
 
 
 def score_counts(scored: DataFrame, file: str = "file") -> DataFrame:
@@ -67,24 +80,30 @@ def score_counts(scored: DataFrame, file: str = "file") -> DataFrame:
     )
 
 
+def _with_total(per_file: DataFrame, file: str, *counts: str) -> DataFrame:
+    """A table of one row per file and, with ``is_total`` 1, their sums: the rows themselves are read once."""
+    rows = per_file.select(file, F.lit(0).alias("is_total"), *counts)
+    totals = per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
+    nothing = F.lit(None).cast(per_file.schema[file].dataType).alias(file)
+    return rows.unionByName(totals.select(nothing, F.lit(1).alias("is_total"), *counts))
+
+
 def score_summary(scored: DataFrame, file: str = "file") -> DataFrame:
     """Counts per file and, with ``is_total`` 1, over all files."""
-    return scored.select(file, is_missing("score").alias("gap")).rollup(file).agg(
-        F.grouping(file).cast("int").alias("is_total"),
-        F.count_distinct(file).alias("n_files"),
+    per_file = scored.groupBy(file).agg(
         F.count("*").alias("n_rows"),
-        F.count_if(~F.col("gap")).alias("n_good"),
-        F.count_if("gap").alias("n_null"),
-    )
+        F.count_if(~is_missing("score")).alias("n_good"),
+        F.count_if(is_missing("score")).alias("n_null"),
+    ).withColumn("n_files", F.col(file).isNotNull().cast("long"))
+    return _with_total(per_file, file, "n_files", "n_rows", "n_good", "n_null")
 
 
 def missing_report(scored: DataFrame, text: str = "text", file: str = "file") -> DataFrame:
     """Missing scoreable and blank rows per file and in total; full files are left out."""
-    return find_missing(scored, text).select(file, "scoreable").rollup(file).agg(
-        F.grouping(file).cast("int").alias("is_total"),
-        F.count_if("scoreable").alias("n_scoreable"),
-        F.count_if(~F.col("scoreable")).alias("n_blank"),
-    ).where("n_scoreable + n_blank > 0")
+    per_file = find_missing(scored, text).groupBy(file).agg(
+        F.count_if("scoreable").alias("n_scoreable"), F.count_if(~F.col("scoreable")).alias("n_blank")
+    )
+    return _with_total(per_file, file, "n_scoreable", "n_blank").where("n_scoreable + n_blank > 0")
 
 
 def missing_preview(scored: DataFrame, row_id: str, text: str = "text", file: str = "file",

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perplexis.operators.lookup import hot_keys, hot_keys_of, salted_lookup
-from perplexis.operators.tokens import END, token_pairs
+from perplexis.operators.tokens import END, END_ID, numbered_vocabulary, token_pairs
 from perplexis.sources.workspace import new_path, stored
 
 DEFAULT_ALPHA = 0.5
@@ -35,9 +35,13 @@ DEFAULT_LAM = 0.7
 class ModelPair:
     """Trained tables and their scalars.
 
-    ``pairs``: prev, next, n_p, n_q (``next = END`` counts ends of texts).
-    ``words``: tok, n_p, n_q (token counts), c_p, c_q (times followed by a
-    token), types (number of distinct pairs it starts).
+    ``words``, the dictionary: id, tok, n_p, n_q (token counts), c_p, c_q (times
+    followed by a token), types (number of distinct pairs it starts). Ids are
+    dense, from 1, in the order of the tokens.
+    ``pairs``: prev_id, next_id (``END_ID`` at ends of texts), prev, next (the
+    same as text, ``END`` at ends), n (rows of either corpus), n_p, n_q, and for
+    pairs of tokens the probabilities u_p, u_q (of the second token alone) and
+    prob_p, prob_q (of it after the first).
     """
 
     pairs: DataFrame
@@ -50,36 +54,14 @@ class ModelPair:
     pair_types: int
 
     @cached_property
-    def hot_prevs(self) -> DataFrame:
+    def hot_prevs(self) -> DataFrame | None:
         """Words that start many of the distinct pairs."""
-        counts = self.words.select(F.col("tok").alias("prev"), "types")
-        return hot_keys(counts, "prev", "types", self.pair_types)
+        return hot_keys(self.words.withColumnRenamed("id", "prev_id"), "prev_id", "types", self.pair_types)
 
-    @cached_property
-    def hot_nexts(self) -> DataFrame:
-        """Words, or the end of the text, that many of the distinct pairs lead to."""
-        return stored(hot_keys_of(self.pairs, "next"), "hot_nexts")
-
-    @cached_property
-    def probabilities(self) -> DataFrame:
-        """``prev, next, n_p, n_q, u_p, u_q, prob_p, prob_q``, stored.
-
-        Both conditional probabilities of each trained pair, and the unigram
-        probabilities of its second word. They are null at ends of texts.
-        """
-        nexts = self.words.select(
-            F.col("tok").alias("next"), self.unigram("p").alias("u_p"), self.unigram("q").alias("u_q")
-        )
-        prevs = self.words.select(F.col("tok").alias("prev"), "c_p", "c_q")
-        joined = salted_lookup(self.pairs, nexts, "next", self.hot_nexts)
-        joined = salted_lookup(joined, prevs, "prev", self.hot_prevs)
-        return stored(
-            joined.select(
-                "prev", "next", "n_p", "n_q", "u_p", "u_q",
-                *[self.conditional(f"n_{r}", f"c_{r}", F.col(f"u_{r}")).alias(f"prob_{r}") for r in "pq"],
-            ),
-            "probabilities",
-        )
+    @property
+    def vocabulary(self) -> DataFrame:
+        """``tok, id``."""
+        return self.words.select("tok", "id")
 
     def unigram(self, role: str, count: str | None = None) -> Column:
         total = self.total_p if role == "p" else self.total_q
@@ -117,7 +99,7 @@ def count_pairs(toks: DataFrame, observer: Column, performer: Column) -> DataFra
         ]
     ).where("_p + _q > 0")
     return token_pairs(rows, "_p", "_q").groupBy(F.col("tok").alias("prev"), "next").agg(
-        F.sum("_p").alias("n_p"), F.sum("_q").alias("n_q")
+        F.sum("_p").alias("n_p"), F.sum("_q").alias("n_q"), F.count("*").alias("n")
     )
 
 
@@ -136,15 +118,37 @@ def count_words(pairs: DataFrame) -> DataFrame:
 
 def train(toks: DataFrame, observer: Column, performer: Column, alpha: float = DEFAULT_ALPHA,
           lam: float = DEFAULT_LAM, path: str | None = None) -> ModelPair:
-    """Trains both models and writes their tables under ``path``."""
+    """Trains both models and writes their tables under ``path``.
+
+    The text is read once. Only distinct pairs meet the dictionary, for ids and
+    counts together; from there on all joins are on ids.
+    """
     if not alpha > 0 or not 0 < lam < 1:
         raise ValueError("alpha must be positive and lam strictly between 0 and 1")
     spark = toks.sparkSession
     path = path or new_path(spark, "model")
-    pairs = stored(count_pairs(toks, observer, performer), "pairs", f"{path}/pairs")
-    words = stored(count_words(pairs), "words", f"{path}/words")
+    counted = stored(count_pairs(toks, observer, performer), "pair_counts")
+    words = stored(numbered_vocabulary(count_words(counted)), "words", f"{path}/words")
     spark.range(1).select(F.lit(alpha).alias("alpha"), F.lit(lam).alias("lam")).write.json(f"{path}/parameters")
-    return _with_totals(pairs, words, alpha, lam)
+    model = _with_totals(counted, words, alpha, lam)
+    return replace(model, pairs=stored(_valued_pairs(model), "pairs", f"{path}/pairs"))
+
+
+def _valued_pairs(model: ModelPair) -> DataFrame:
+    """Counted pairs (of tokens as text) with ids and probabilities."""
+    counted, words = model.pairs, model.words
+    nexts = words.select(
+        F.col("tok").alias("next"), F.col("id").alias("next_id"),
+        model.unigram("p").alias("u_p"), model.unigram("q").alias("u_q"),
+    )
+    prevs = words.select(F.col("tok").alias("prev"), F.col("id").alias("prev_id"), "c_p", "c_q")
+    hot_prevs = hot_keys(words.withColumnRenamed("tok", "prev"), "prev", "types", model.pair_types)
+    joined = salted_lookup(counted, nexts, "next", hot_keys_of(counted, "next"))
+    joined = salted_lookup(joined, prevs, "prev", hot_prevs)
+    return joined.select(
+        "prev_id", F.coalesce("next_id", F.lit(END_ID)).alias("next_id"), "prev", "next", "n", "n_p", "n_q", "u_p", "u_q",
+        *[model.conditional(f"n_{r}", f"c_{r}", F.col(f"u_{r}")).alias(f"prob_{r}") for r in "pq"],
+    )
 
 
 def load_model(spark: SparkSession, path: str) -> ModelPair:
@@ -165,14 +169,16 @@ def _with_totals(pairs: DataFrame, words: DataFrame, alpha: float, lam: float) -
 
 
 def same_model(model: ModelPair, role: str = "p") -> ModelPair:
-    """One model in both roles."""
-    pairs = model.pairs.withColumns({"n_p": F.col(f"n_{role}"), "n_q": F.col(f"n_{role}")})
-    words = model.words.withColumns({
-        "n_p": F.col(f"n_{role}"), "n_q": F.col(f"n_{role}"),
-        "c_p": F.col(f"c_{role}"), "c_q": F.col(f"c_{role}"),
-    })
+    """One model in both roles, out of the tables of the pair.
+
+    ``n`` stays, so that pairs frequent in either corpus are still known as such.
+    """
+    both = lambda *names: {f"{c}_{r}": F.col(f"{c}_{role}") for c in names for r in "pq"}
     total = model.total_p if role == "p" else model.total_q
-    return replace(model, pairs=pairs, words=words, total_p=total, total_q=total)
+    return replace(
+        model, pairs=model.pairs.withColumns(both("n", "u", "prob")), words=model.words.withColumns(both("n", "c")),
+        total_p=total, total_q=total,
+    )
 
 
 def power(value: Column, temperature: float) -> Column:
@@ -183,7 +189,7 @@ def power(value: Column, temperature: float) -> Column:
 class Contexts:
     """What a position's context contributes, at one temperature.
 
-    ``table``: tok, n_q, c_q, types, h (cross-entropy of the
+    ``table``: id, tok, n_q, c_q, types, h (cross-entropy of the
     performer under the observer), log_z (log normaliser of the performer),
     pick (share of the observer's mass that its bigram counts add to the
     unigram part), mass_p, mass_q (total probability, 1 up to rounding).
@@ -219,7 +225,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
 
     pw_p = power(F.col("prob_p"), t)
     a = power(F.col("u_p"), t)
-    sums = model.probabilities.where(F.col("next") != END).groupBy(F.col("prev").alias("tok")).agg(
+    sums = model.pairs.where(F.col("next_id") != END_ID).groupBy(F.col("prev_id").alias("id")).agg(
         F.sum(pw_p).alias("e_p"),
         F.sum(power(F.col("prob_q"), t)).alias("e_q"),
         F.sum(pw_p * F.ln("prob_q")).alias("cross"),
@@ -228,7 +234,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
         F.sum(a * F.ln("u_q")).alias("a_log"),
     )
     zero = F.lit(0.0)
-    full = model.words.join(sums, "tok", "left").withColumns(
+    full = model.words.join(sums, "id", "left").withColumns(
         {c: F.coalesce(c, zero) for c in ("e_p", "e_q", "cross", "a", "b", "a_log")}
     )
     full = full.withColumns({
@@ -241,7 +247,7 @@ def train_contexts(model: ModelPair, temperature: float = 1.0, path: str | None
     rest = (F.col("log_k") / t - F.col("log_z")) * (F.lit(s_p) - F.col("a")) + (F.lit(x) - F.col("a_log")) / t
     inside = F.col("cross") / t - F.col("log_z") * F.col("e_p") + F.col("k_p") * rest
     table = full.select(
-        "tok", "n_q", "c_q", "types",
+        "id", "tok", "n_q", "c_q", "types",
         (-inside / F.col("z_p")).alias("h"),
         "log_z",
         F.when(F.col("c_p") > 0, 1 - F.col("k_p") * s_p / F.col("z_p")).otherwise(0.0).alias("pick"),

@@ -1,9 +1,17 @@
 """Sampled cross-perplexity: one token drawn from the observer per position.
 
 The observer is a mixture of what its bigram counts add and of its unigram
-part. A first number chooses the part, a second one a place in that part's
-cumulative distribution. Both are functions of seed, keys and position, so a
-retried task draws the same tokens.
+part. A first number chooses the part, a second one a cell of that part's alias
+table, a third one between the two tokens of the cell. All are functions of
+seed, keys and position, so a retried task draws the same tokens.
+
+An alias table has as many cells as outcomes. A cell belongs to one outcome; one
+whose share is below the average (a light one) leaves the rest of its cell to a
+heavy one. Tables of all contexts are built together: the deficits of the light
+outcomes and the surpluses of the heavy ones lie on one line each, and a scan
+along both tells which heavy outcome fills which cell. A heavy one that gives
+more than it has to spare is itself filled up by the next. Shares are whole
+numbers, so that the lines end together exactly and sums don't depend on order.
 """
 
 from __future__ import annotations
@@ -13,16 +21,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perplexis.operators.lookup import HOT_KEYS, hot_keys_of, salted_lookup
-from perplexis.operators.metrics import pair_metrics, token_metrics
+from perplexis.operators.lookup import ROW_TARGET, hot_keys, hot_keys_of, salted_lookup
 from perplexis.operators.model import Contexts, ModelPair, power
-from perplexis.operators.tokens import END
+from perplexis.operators.running import ROWS_PER_RANGE, running_totals, with_ranges
+from perplexis.operators.tokens import END_ID, UNSEEN_ID
 from perplexis.sources.workspace import stored
 
-# The slot of all tokens not seen in training. No token holds such characters.
-UNSEEN = "<unk>"
-# Context name of the unigram part.
-UNIGRAM = END
+# Context of the unigram part.
+UNIGRAM_ID = 0
+# Whole numbers that one unit of a weight that isn't a count is worth: counts of
+# a smoothed unigram, and powers of probabilities.
+COUNT_UNITS, POWER_UNITS = 1 << 20, 1 << 40
+WHOLE = "decimal(38,0)"
 _DIGITS = 13  # hexadecimal digits of a hash that a double holds exactly
 
 
@@ -33,100 +43,169 @@ def uniform(seed: int, keys: Sequence[str], stream: int) -> Column:
     return number / F.lit(float(16 ** _DIGITS))
 
 
-def cumulative_intervals(weights: DataFrame) -> DataFrame:
-    """``ctx, next, lo, hi`` with [lo, hi) a partition of [0, 1) per ``ctx``.
+def observer_weights(model: ModelPair, temperature: float = 1.0) -> DataFrame:
+    """``ctx, next_id, weight, value``: outcomes of each context's bigram part, and of the unigram part.
 
-    ``weights`` (ctx, next, weight) is stored. Tokens are ordered by a hash
-    bucket first, so that a context of any size is summed in 4096 pieces.
+    Weights are whole numbers. ``value`` is the performer's probability of the
+    outcome: after the context, or for the unigram part by itself.
     """
-    pieces = weights.withColumn("piece", F.substring(F.md5("next"), 1, 3))
-    sums = pieces.groupBy("ctx", "piece").agg(F.sum("weight").alias("w"))
-    ordered = Window.partitionBy("ctx").orderBy("piece")
-    edges = sums.withColumn("end", F.sum("w").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = edges.select(
-        "ctx", "piece", "end",
-        F.coalesce(F.lag("end").over(ordered), F.lit(0)).alias("start"),
-        F.max("end").over(Window.partitionBy("ctx")).alias("whole"),
-    )
-    inside = Window.partitionBy("ctx", "piece").orderBy("next")
-    cum = F.sum("weight").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    rows = pieces.withColumn("cum", cum).select(
-        "ctx", "piece", "next", "cum",
-        F.lag("cum").over(inside).alias("before"),
-        F.lead("cum").over(inside).isNull().alias("last"),
-    )
-    lo = F.coalesce(F.col("start") + F.col("before"), F.col("start"))
-    hi = F.when(F.col("last"), F.col("end")).otherwise(F.col("start") + F.col("cum"))
-    return rows.join(edges, ["ctx", "piece"]).select(
-        "ctx", "next", (lo / F.col("whole")).alias("lo"), (hi / F.col("whole")).alias("hi")
-    )
-
-
-def observer_weights(model: ModelPair, temperature: float = 1.0) -> DataFrame:
-    """``ctx, next, weight``: bigram parts per context, and the unigram part."""
+    seen = model.pairs.where((F.col("next_id") != END_ID) & (F.col("n_p") > 0))
     if temperature == 1:
-        bigram = model.pairs.where((F.col("next") != END) & (F.col("n_p") > 0)).select(
-            F.col("prev").alias("ctx"), "next", F.col("n_p").cast("double").alias("weight")
-        )
+        added, smoothed = F.col("n_p"), lambda n: F.round((n + F.lit(model.alpha)) * COUNT_UNITS)
     else:
         # A pair's probability is what its count adds, plus the unigram part.
-        seen = model.probabilities.where((F.col("next") != END) & (F.col("n_p") > 0))
-        added = power(F.col("prob_p"), temperature) - power(
-            F.lit(1 - model.lam) * F.col("u_p"), temperature
-        )
-        bigram = seen.select(F.col("prev").alias("ctx"), "next", added.alias("weight"))
+        added = power(F.col("prob_p"), temperature) - power(F.lit(1 - model.lam) * F.col("u_p"), temperature)
+        added = F.round(added * POWER_UNITS)
+        largest = max(1, model.total_p)
+        smoothed = lambda n: F.round(power((n + F.lit(model.alpha)) / F.lit(float(largest)), temperature) * POWER_UNITS)
+    whole = lambda weight: weight.cast(WHOLE).alias("weight")
+    bigram = seen.select(F.col("prev_id").alias("ctx"), "next_id", whole(added), F.col("prob_q").alias("value"))
     unigram = model.words.select(
-        F.lit(UNIGRAM).alias("ctx"), F.col("tok").alias("next"),
-        power(F.col("n_p") + F.lit(model.alpha), temperature).alias("weight"),
+        F.lit(UNIGRAM_ID).cast("long").alias("ctx"), F.col("id").alias("next_id"), whole(smoothed(F.col("n_p"))),
+        model.unigram("q").alias("value"),
     )
     unseen = model.words.sparkSession.range(1).select(
-        F.lit(UNIGRAM).alias("ctx"), F.lit(UNSEEN).alias("next"),
-        power(F.lit(model.alpha), temperature).alias("weight"),
+        F.lit(UNIGRAM_ID).cast("long").alias("ctx"), F.lit(UNSEEN_ID).cast("long").alias("next_id"),
+        whole(smoothed(F.lit(0))), F.lit(model.unseen_unigram("q")).alias("value"),
     )
     return bigram.unionByName(unigram).unionByName(unseen)
 
 
-def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], seed: int) -> DataFrame:
-    """``positions`` with ``next`` replaced by a token drawn from the observer.
+def _filled_by(events: DataFrame, rows: int) -> DataFrame:
+    """Adds to every event of a context's line the greatest ``mark`` up to it, by a two-level scan."""
+    order = ["at", "kind", "next_id"]
+    ranged, ranges = with_ranges(events, order, ["ctx"], rows)
+    within = Window.partitionBy("ctx", "range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    scanned = ranged.withColumn("latest", F.max("mark").over(within))
+    if ranges == 1:
+        return scanned
+    # One row for each context and range: what earlier ranges of the context end with.
+    ends = ranged.groupBy("ctx", "range_id").agg(F.max("mark").alias("end"))
+    before = Window.partitionBy("ctx").orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("ctx", "range_id", F.max("end").over(before).alias("earlier"))
+    return scanned.join(ends, ["ctx", "range_id"]).withColumn("latest", F.coalesce("latest", "earlier"))
+
 
-    Finding the interval of a number is an equality join on cells of a grid
-    over [0, 1). A context has as many cells as intervals, and more when it is
-    frequent, so that neither a cell's list nor a join key grows with the data.
+def alias_tables(weights: DataFrame, path: str | None = None, rows: int = ROWS_PER_RANGE) -> DataFrame:
+    """``ctx, cell, cells, share, own, own_value, other, other_value``, stored.
+
+    A number below ``share`` (drawn evenly from [0, 1)) gives the cell's own
+    outcome, any other the ``other`` one. ``weights`` are ``ctx, next_id,
+    weight`` (whole and not negative, some positive) and ``value``.
     """
-    model = contexts.model
-    share = max(1, model.total_q / HOT_KEYS)
-    cells = (F.col("types") + F.ceil(F.col("n_q") / F.lit(share))).cast("long")
-    per_context = contexts.table.select("tok", "pick", cells.alias("cells"))
-    grid = per_context.select(F.col("tok").alias("ctx"), "cells")
-    unigram_cells = model.vocabulary_size + HOT_KEYS
+    outcomes = stored(weights, "outcomes")
+    totals = stored(outcomes.groupBy("ctx").agg(F.sum("weight").alias("total"), F.count("*").alias("cells")), "totals")
+    sized = salted_lookup(outcomes, totals, "ctx", hot_keys(totals, "ctx", "cells", outcomes.count(), rows))
+    excess = (F.col("weight") * F.col("cells").cast("decimal(18,0)") - F.col("total")).cast(WHOLE)
+    sized = sized.withColumn("excess", excess).select(
+        "ctx", "next_id", "value", "total", "cells", (F.col("excess") > 0).alias("heavy"), F.abs("excess").cast(WHOLE).alias("amount")
+    )
+    lined = running_totals(
+        stored(sized, "amounts"), ["next_id"], {"end": F.col("amount"), "place": F.lit(1)}, ["ctx", "heavy"], rows
+    )
+    lined = stored(lined.drop("range_id").withColumn("start", (F.col("end") - F.col("amount")).cast(WHOLE)), "lines")
+    lights = lined.where("NOT heavy")
 
-    weights = stored(observer_weights(model, contexts.temperature), "weights")
-    intervals = cumulative_intervals(weights).join(grid, "ctx", "left").withColumn(
-        "cells", F.coalesce("cells", F.lit(unigram_cells))
+    # Lights ask at their start for the last heavy that starts there or before;
+    # heavies ask at their end for the last light that starts before it.
+    heavy_starts = lined.where("heavy").select(
+        "ctx", F.col("start").alias("at"), F.lit(0).alias("kind"), "next_id", F.struct("start", "next_id", "value").alias("mark")
+    )
+    light_starts = lights.select(
+        "ctx", F.col("start").alias("at"), F.lit(1).alias("kind"), "next_id", F.lit(None).cast(heavy_starts.schema["mark"].dataType).alias("mark")
+    )
+    found = _filled_by(stored(heavy_starts.unionByName(light_starts), "starts"), rows).where("kind = 1").select(
+        "ctx", "next_id", F.col("latest.next_id").alias("other"), F.col("latest.value").alias("other_value")
     )
-    first = F.floor(F.col("lo") * F.col("cells"))
-    last = F.least(F.floor(F.col("hi") * F.col("cells")), F.col("cells") - 1)
-    gridded = intervals.select("ctx", F.col("next").alias("drawn"), "lo", "hi",
-                               F.explode(F.sequence(first, last)).alias("cell"))
+    light_marks = lights.select(
+        "ctx", F.col("start").alias("at"), F.lit(1).alias("kind"), "next_id", F.struct("start", "end").alias("mark")
+    )
+    heavy_ends = lined.where("heavy").select(
+        "ctx", F.col("end").alias("at"), F.lit(0).alias("kind"), "next_id", F.lit(None).cast(light_marks.schema["mark"].dataType).alias("mark")
+    )
+    given = _filled_by(stored(heavy_ends.unionByName(light_marks), "ends"), rows).where("kind = 0").select(
+        "ctx", "next_id", F.greatest(F.lit(0).cast(WHOLE), (F.col("latest.end") - F.col("at")).cast(WHOLE)).alias("over")
+    )
+    following = lined.where("heavy").select(
+        "ctx", F.col("start").alias("end"), F.col("next_id").alias("other"), F.col("value").alias("other_value")
+    )
+    light_cells = lights.join(found, ["ctx", "next_id"], "left").select(
+        "ctx", (F.col("place") - 1).alias("cell"), "cells", (F.col("total") - F.col("amount")).alias("kept"), "total",
+        F.col("next_id").alias("own"), F.col("value").alias("own_value"), "other", "other_value",
+    )
+    # Cells of light outcomes are numbered from the first on, those of heavy ones from the last back.
+    heavy_cells = lined.where("heavy").join(given, ["ctx", "next_id"]).join(following, ["ctx", "end"], "left").select(
+        "ctx", (F.col("cells") - F.col("place")).alias("cell"), "cells",
+        (F.col("total") - F.coalesce("over", F.lit(0))).alias("kept"), "total",
+        F.col("next_id").alias("own"), F.col("value").alias("own_value"), "other", "other_value",
+    )
+    cells = light_cells.unionByName(heavy_cells)
+    share = F.col("kept").cast("double") / F.col("total").cast("double")
+    return stored(cells.select(
+        "ctx", "cell", "cells", share.alias("share"), "own", "own_value",
+        F.coalesce("other", "own").alias("other"), F.coalesce("other_value", "own_value").alias("other_value"),
+    ), "alias_tables", path)
+
+
+def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], seed: int,
+                tables: DataFrame | None = None, target: int = ROW_TARGET) -> DataFrame:
+    """``keys, pos, ctx, next_id, value`` and the context's ``prev_id, c_q, log_z``: a draw for each position.
+
+    ``tables`` are the alias tables of the contexts, if they are built already.
+    A draw is one equality join on context and cell. No key of it has more than
+    about ``target`` positions: a cell that would is repeated.
+    """
+    tables = alias_tables(observer_weights(contexts.model, contexts.temperature)) if tables is None else tables
+    sizes = tables.where("cell = 0").select(F.col("ctx").alias("id"), "cells")
+    unigram_cells = contexts.model.vocabulary_size
+    per_context = contexts.table.join(sizes, "id", "left").select("tok", "id", "pick", "cells", "c_q", "log_z")
 
     numbers = positions.select(*keys, "pos", "tok").withColumns(
-        {"part": uniform(seed, keys, 1), "place": uniform(seed, keys, 2)}
+        {"part": uniform(seed, keys, 1), "place": uniform(seed, keys, 2), "choice": uniform(seed, keys, 3)}
     )
-    picked = salted_lookup(numbers, per_context, "tok", hot_keys_of(positions.select("tok"), "tok"))
+    total = positions.count()
+    counts = stored(positions.groupBy("tok").agg(F.count("*").alias("n")), "scored_tokens") if total > target else None
+    hot = None if counts is None else hot_keys(counts, "tok", "n", total, target)
+    picked = salted_lookup(numbers, per_context, "tok", hot)
     in_bigram = F.col("part") < F.coalesce("pick", F.lit(0.0))
     placed = picked.withColumns({
-        "ctx": F.when(in_bigram, F.col("tok")).otherwise(F.lit(UNIGRAM)),
+        "ctx": F.when(in_bigram, F.col("id")).otherwise(F.lit(UNIGRAM_ID)),
         "cell": F.floor(F.col("place") * F.when(in_bigram, F.col("cells")).otherwise(F.lit(unigram_cells))),
-    })
-    return placed.join(gridded, ["ctx", "cell"]).where("place >= lo AND place < hi").select(
-        *keys, "pos", "tok", F.col("drawn").alias("next")
+    }).select(*keys, "pos", F.col("id").alias("prev_id"), "c_q", "log_z", "ctx", "cell", "choice")
+    split = None
+    if counts is not None:
+        # Positions that a context sends to each of its cells, on average.
+        frequent = counts.join(per_context, "tok").select(F.col("id").alias("ctx"), (F.col("n") / F.col("cells")).alias("each"))
+        everything = tables.sparkSession.range(1).select(
+            F.lit(UNIGRAM_ID).cast("long").alias("ctx"), F.lit(total / unigram_cells).alias("each")
+        )
+        crowded = frequent.unionByName(everything).where(F.col("each") > target)
+        split = hot_keys(crowded.join(tables.select("ctx", "cell"), "ctx"), ["ctx", "cell"], "each", total, target)
+    drawn = salted_lookup(placed, tables.drop("cells"), ["ctx", "cell"], split)
+    own = F.col("choice") < F.col("share")
+    return drawn.select(
+        *keys, "pos", "prev_id", "c_q", "log_z", "ctx",
+        F.when(own, F.col("own")).otherwise(F.col("other")).alias("next_id"),
+        F.when(own, F.col("own_value")).otherwise(F.col("other_value")).alias("value"),
     )
 
 
-def sampled_cross_perplexity(positions: DataFrame, contexts: Contexts, keys: Sequence[str],
-                             seed: int, median: bool = False) -> DataFrame:
-    """``keys, x_ppl``: the average surprise of the performer at the draws."""
-    drawn = stored(draw_tokens(positions, contexts, keys, seed), "draws")
-    surprise = token_metrics(drawn, pair_metrics(drawn, contexts), keys)
+def sampled_cross_perplexity(positions: DataFrame, contexts: Contexts, keys: Sequence[str], seed: int,
+                             median: bool = False, tables: DataFrame | None = None) -> DataFrame:
+    """``keys, x_ppl``: the average surprise of the performer at the draws.
+
+    A token drawn after its context brings its probability along. One drawn
+    from the unigram part asks, by ids, whether it was ever seen there.
+    """
+    model = contexts.model
+    drawn = stored(draw_tokens(positions, contexts, keys, seed, tables), "draws")
+    pairs = model.pairs.select("prev_id", "next_id", "prob_q")
+    from_bigram = drawn.where(F.col("ctx") != UNIGRAM_ID).select(*keys, "log_z", F.col("value").alias("prob"))
+    from_unigram = drawn.where(F.col("ctx") == UNIGRAM_ID).join(pairs, ["prev_id", "next_id"], "left").select(
+        *keys, "log_z", F.coalesce("prob_q", model.backoff("c_q") * F.col("value")).alias("prob")
+    )
+    log_z = F.coalesce("log_z", F.lit(contexts.unseen_log_z))
+    nll = -(F.ln("prob") / contexts.temperature - log_z)
+    surprise = from_bigram.unionByName(from_unigram).select(*keys, nll.alias("nll"))
     value = F.median("nll") if median else F.avg("nll")
     return surprise.groupBy(*keys).agg(F.coalesce(value, F.lit(float("nan"))).alias("x_ppl"))

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perplexis.functions import text as T
+from perplexis.operators.lookup import hot_keys_of, salted_lookup
 from perplexis.operators.running import row_numbers
+from perplexis.sources.workspace import stored
 
 # Stands for "no next token" in join keys. Tokens are never empty.
 END = ""
+# Ids of the same, and of any token that a vocabulary doesn't hold. Others run from 1.
+END_ID = 0
+UNSEEN_ID = -1
 
 
 def tokenize(texts: DataFrame, keys: Sequence[str], text: str = "text",
@@ -50,38 +55,66 @@ def pad_batches(toks: DataFrame, order: Sequence[str], batch_size: int, pad: str
     """Consecutive batches of ``batch_size`` texts, padded to their longest one.
 
     Adds ``batch_id, padded, mask``. ``by`` starts a new series of batches per
-    group. A batch is a fixed number of rows, so its group never grows. ``toks``
-    is read several times: hand in a stored table.
+    group; ``by`` and ``order`` together are unique and never null. Only keys
+    and lengths are numbered; the arrays move once, to meet their numbers.
     """
-    numbered = row_numbers(toks, order, by).withColumn(
+    keys = [*by, *order]
+    sizes = stored(toks.select(*keys, F.size("tokens").alias("_size")), "sizes")
+    numbered = row_numbers(sizes, order, by).withColumn(
         "batch_id", F.floor((F.col("row_number") - 1) / batch_size)
     )
-    size = F.size("tokens")
-    # A window of one batch.
-    fill = F.max(size).over(Window.partitionBy(*by, "batch_id")) - size
-    return numbered.withColumn("fill", fill).select(
+    # A window of one batch, whose rows are a fixed number.
+    most = F.max("_size").over(Window.partitionBy(*by, "batch_id"))
+    fills = numbered.select(*keys, "batch_id", "_size", (most - F.col("_size")).alias("_fill"))
+    return toks.join(fills, keys).select(
         *[c for c in toks.columns if c != "tokens"],
         "batch_id",
-        F.concat("tokens", F.array_repeat(F.lit(pad), F.col("fill"))).alias("padded"),
-        F.concat(F.array_repeat(F.lit(1), size), F.array_repeat(F.lit(0), F.col("fill"))).alias("mask"),
+        F.concat("tokens", F.array_repeat(F.lit(pad), F.col("_fill"))).alias("padded"),
+        F.concat(F.array_repeat(F.lit(1), F.col("_size")), F.array_repeat(F.lit(0), F.col("_fill"))).alias("mask"),
     )
 
 
 def vocabulary(toks: DataFrame) -> DataFrame:
-    return toks.select(F.explode("tokens").alias("tok")).distinct()
+    """``tok, id``: every distinct token, numbered densely from 1 in the order of the tokens."""
+    return numbered_vocabulary(toks.select(F.explode("tokens").alias("tok")).distinct())
+
+
+def numbered_vocabulary(tokens: DataFrame) -> DataFrame:
+    """``tokens`` (distinct ``tok`` and more) with ``id``: places come from counts per range and their offsets."""
+    return row_numbers(stored(tokens, "vocabulary"), ["tok"]).withColumnRenamed("row_number", "id")
+
+
+def token_ids(toks: DataFrame, words: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``toks`` with ``ids``, the numbers that ``words`` (``tok, id``) gives its tokens.
+
+    A token that ``words`` doesn't hold has ``UNSEEN_ID``. ``keys`` are unique
+    and never null; ``toks`` is a stored table.
+    """
+    places = toks.select(*keys, F.posexplode("tokens").alias("i", "tok"))
+    found = salted_lookup(places, words.select("tok", "id"), "tok", hot_keys_of(places.select("tok"), "tok"))
+    place = F.struct("i", F.coalesce("id", F.lit(UNSEEN_ID)).alias("id"))
+    # A group is one text.
+    lists = found.groupBy(*keys).agg(F.array_sort(F.collect_list(place))["id"].alias("ids"))
+    return toks.join(lists, list(keys), "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))
 
 
 def vocabulary_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Tokens that only one of two vocabularies has: ``tok, side``."""
-    marked = left.select("tok", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select("tok", F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
-    sides = marked.groupBy("tok").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    return sides.where("l + r = 1").select(
-        "tok", F.when(F.col("l") == 1, "left").otherwise("right").alias("side")
+    """Tokens (``tok, id``) that two vocabularies don't share or number differently: ``tok, left_id, right_id``.
+
+    An id is null on the side that lacks the token.
+    """
+    nothing = F.lit(None).cast("long")
+    marked = left.select("tok", F.col("id").cast("long").alias("l"), nothing.alias("r")).unionByName(
+        right.select("tok", nothing.alias("l"), F.col("id").cast("long").alias("r"))
     )
+    sides = marked.groupBy("tok").agg(F.max("l").alias("left_id"), F.max("r").alias("right_id"))
+    return sides.where(~F.col("left_id").eqNullSafe(F.col("right_id")))
 
 
 def require_same_vocabulary(left: DataFrame, right: DataFrame) -> None:
-    if not vocabulary_difference(left, right).isEmpty():
-        raise ValueError("The two models have different vocabularies.")
+    """Fails unless both hold the same tokens under the same ids."""
+    odd = vocabulary_difference(left, right).first()
+    if odd is not None:
+        raise ValueError(
+            f"The vocabularies differ: token {odd.tok!r} has id {odd.left_id} in the one and {odd.right_id} in the other."
+        )

@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from perplexis.functions import naming
 from perplexis.functions.decision import THRESHOLDS, binary_prediction
 from perplexis.operators.evaluation import (
-    cumulative_counts, evaluation_metrics, roc_curve_thin,
+    calibrate_f1, calibrate_fpr, cumulative_counts, evaluation_metrics, roc_curve_thin,
 )
 from perplexis.plans.scoring import Scorer
 from perplexis.sources.files import read_samples, write_evaluation, write_record
 from perplexis.sources.workspace import stored
 
+# Scores are compared at this many digits, so that equal texts tie.
+DIGITS = 12
+# Ways to take the threshold from the experiment's own scores.
+CALIBRATIONS = {"f1": calibrate_f1, "fpr": calibrate_fpr}
+
 
 def pair_rows(samples: DataFrame, human: str, machine: str) -> DataFrame:
     """``row_id, class, text``: both texts of every sample, out of one scan.
@@ -33,14 +38,21 @@ def pair_rows(samples: DataFrame, human: str, machine: str) -> DataFrame:
 def run_experiment(scorer: Scorer, dataset_path: str, human_key: str, machine_key: str | None = None,
                    dataset_name: str | None = None, machine_source: str | None = None,
                    job_name: str | None = None, results: str = "results",
-                   threshold: float = THRESHOLDS["accuracy"]) -> DataFrame:
+                   threshold: float | None = None, calibrate: str | None = None) -> DataFrame:
     """Scores both texts of each sample and writes ``results/<job name>/``.
 
-    Returns the one-row record: arguments, times, metrics and metric text.
+    Predictions use the given threshold, or one that ``calibrate`` ("f1" or
+    "fpr") finds on these scores, or the scorer's calibrated one, or else the
+    shipped one for accuracy. Returns the one-row record: arguments, times,
+    threshold, metrics and metric text.
     """
+    if calibrate is not None and (threshold is not None or calibrate not in CALIBRATIONS):
+        raise ValueError(f"Give a threshold or one way to calibrate it: {sorted(CALIBRATIONS)}.")
     spark = scorer.spark
     start = datetime.now()
     samples = read_samples(spark, dataset_path)
+    # The schema is inferred once.
+    samples = read_samples(spark, dataset_path, samples.schema)
     machine_key = naming.sample_column(samples.columns, machine_key)
     path, key = F.lit(dataset_path), F.lit(machine_key)
     name = F.lit(dataset_name) if dataset_name else naming.dataset_name(path)
@@ -53,11 +65,13 @@ def run_experiment(scorer: Scorer, dataset_path: str, human_key: str, machine_ke
     ).first()
 
     scored = scorer.score(pair_rows(samples, human_key, machine_key), ["row_id", "class"])
-    table = stored(
-        scored.select("score", "class").withColumn("pred", binary_prediction(F.col("score"), threshold)),
-        "evaluation",
-    )
-    cumulative = cumulative_counts(table)
+    scores = stored(scored.select(F.round("score", DIGITS).alias("score"), "class"), "scores")
+    cumulative = cumulative_counts(scores)
+    if calibrate is not None:
+        threshold = CALIBRATIONS[calibrate](cumulative).first().threshold
+    if threshold is None:
+        threshold = THRESHOLDS["accuracy"] if scorer.calibrated is None else scorer.calibrated
+    table = scores.withColumn("pred", binary_prediction(F.col("score"), threshold))
     folder = f"{results}/{names.job_name}"
     write_evaluation(table, f"{folder}/scores")
     roc_curve_thin(cumulative).write.parquet(f"{folder}/roc")
@@ -68,6 +82,8 @@ def run_experiment(scorer: Scorer, dataset_path: str, human_key: str, machine_ke
         F.lit(machine_key).alias("machine_sample_key"),
         F.lit(names.machine_text_source).alias("machine_text_source"),
         F.lit(tokens).alias("tokens_seen"),
+        F.lit(threshold).cast("double").alias("threshold"),
+        F.lit(calibrate).alias("calibrated_by"),
         F.lit(names.job_name).alias("job_name"),
         F.lit(folder).alias("experiment_path"),
         naming.record_time(F.lit(start)).alias("start_time"),

@@ -11,8 +11,9 @@ from perplexis.functions.decision import (
 )
 from perplexis.functions.text import DEFAULT_MAX_TOKENS, MINIMUM_TOKENS
 from perplexis.operators.evaluation import LOG_GRID, REPORTED_FPR
+from perplexis.operators.sampling import COUNT_UNITS
 from perplexis.plans.registry import (
-    BATCH_SIZE, MASK_TOKENS, PAD, ROWS_PER_FILE, SEED, TEMPERATURE,
+    BATCH_SIZE, FILES_PER_SOURCE, LISTED_TOKENS, MASK_TOKENS, PAD, ROWS_PER_FILE, SEED, TEMPERATURE,
 )
 
 ALPHA, LAM = "0.5e0", "0.7e0"
@@ -175,17 +176,33 @@ def _uniform(stream: int) -> str:
 
 
 def _sampled() -> str:
-    """Draws found in the cumulative distributions by an as-of join."""
+    """Draws from alias tables whose lines of deficits and surpluses meet by as-of joins."""
     return statement(
-        f""", w AS (SELECT prev AS c, tok AS drawn, CAST(n_p AS DOUBLE) AS w FROM prob WHERE n_p > 0
-            UNION ALL SELECT '', tok, n_p + {ALPHA} FROM u UNION ALL SELECT '', '<unk>', {ALPHA}),
-        cdf AS (SELECT c, drawn, (coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
-            / sum(w) OVER (PARTITION BY c) AS lo
-            FROM w WINDOW o AS (PARTITION BY c ORDER BY substr(md5(drawn), 1, 3), drawn)),
+        f""", w AS (SELECT prev AS c, tok AS drawn, CAST(n_p AS HUGEINT) AS w FROM prob WHERE n_p > 0
+            UNION ALL SELECT '', tok, CAST(round((n_p + {ALPHA}) * {COUNT_UNITS}) AS HUGEINT) FROM u
+            UNION ALL SELECT '', '', CAST(round({ALPHA} * {COUNT_UNITS}) AS HUGEINT)),
+        o AS (SELECT *, sum(w) OVER (PARTITION BY c) AS total, count(*) OVER (PARTITION BY c) AS k FROM w),
+        a AS (SELECT c, drawn, total, k, w * k > total AS heavy, abs(w * k - total) AS amount FROM o),
+        l AS (SELECT *, sum(amount) OVER line AS upto, row_number() OVER line AS place FROM a
+            WINDOW line AS (PARTITION BY c, heavy ORDER BY drawn ROWS UNBOUNDED PRECEDING)),
+        light AS (SELECT *, upto - amount AS start FROM l WHERE NOT heavy),
+        heavy AS (SELECT *, upto - amount AS start FROM l WHERE heavy),
+        stretch AS (SELECT c, start, max(upto) AS upto FROM light GROUP BY ALL),
+        cells AS (
+            SELECT light.c, light.place - 1 AS cell, light.k, (light.total - light.amount)::DOUBLE / light.total::DOUBLE AS share,
+                light.drawn AS own, coalesce(heavy.drawn, light.drawn) AS other
+            FROM light ASOF LEFT JOIN heavy ON light.c = heavy.c AND light.start >= heavy.start
+            UNION ALL
+            SELECT h.c, h.k - h.place, h.k, (h.total - greatest(0, stretch.upto - h.upto))::DOUBLE / h.total::DOUBLE,
+                h.drawn, coalesce(following.drawn, h.drawn)
+            FROM heavy h ASOF LEFT JOIN stretch ON h.c = stretch.c AND h.upto > stretch.start
+            LEFT JOIN heavy following ON following.c = h.c AND following.start = h.upto),
+        sizes AS (SELECT c, any_value(k) AS k FROM cells GROUP BY c),
         d AS (SELECT {K}, pos, pos.tok,
-            CASE WHEN c_p > 0 AND {_uniform(1)} < {LAM} THEN pos.tok ELSE '' END AS c, {_uniform(2)} AS place
+            CASE WHEN c_p > 0 AND {_uniform(1)} < {LAM} THEN pos.tok ELSE '' END AS c, {_uniform(2)} AS place, {_uniform(3)} AS choice
             FROM pos LEFT JOIN ctx ON ctx.prev = pos.tok),
-        found AS (SELECT {K}, d.tok, drawn FROM d ASOF JOIN cdf ON d.c = cdf.c AND d.place >= cdf.lo),
+        found AS (SELECT {K}, d.tok, CASE WHEN choice < share THEN own ELSE other END AS drawn
+            FROM d JOIN sizes ON sizes.c = d.c JOIN cells ON cells.c = d.c AND cells.cell = CAST(floor(d.place * sizes.k) AS BIGINT)),
         val AS (SELECT {K}, -ln(CASE WHEN c_q > 0 THEN {LAM} * coalesce(bi.n_q, 0) / c_q + (1e0 - {LAM}) * uq
             ELSE uq END) AS nll
             FROM (SELECT found.*, coalesce(u_q, {ALPHA} / d_q) AS uq
@@ -196,6 +213,31 @@ def _sampled() -> str:
     ).replace(")\n, w AS", "),\nw AS")
 
 
+def _logits() -> str:
+    """Listed tokens of a context at a temperature, and all others as one tail of equals."""
+    t = lit(TEMPERATURE)
+    size = "(SELECT count(*) + 1 FROM u) - m"
+    each = {r: f"(ln(rest_{r}) - ln({size})) / {t}" for r in "pq"}
+    return statement(
+        f""", ranked AS (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY n_q DESC, tok) AS place FROM prob),
+        listed AS (SELECT * FROM ranked WHERE place <= {LISTED_TOKENS}),
+        tails AS (SELECT u.tok AS prev, count(listed.tok) AS m, 1e0 - coalesce(sum(pp), 0e0) AS rest_p,
+            1e0 - coalesce(sum(pq), 0e0) AS rest_q, coalesce(sum(exp(ln(pp) / {t})), 0e0) AS e_p,
+            coalesce(sum(exp(ln(pq) / {t})), 0e0) AS e_q
+            FROM u LEFT JOIN listed ON listed.prev = u.tok GROUP BY u.tok),
+        norms AS (SELECT prev, {size} AS size, {each["p"]} AS each_p, {each["q"]} AS each_q,
+            ln(e_p + ({size}) * exp({each["p"]})) AS z_p, ln(e_q + ({size}) * exp({each["q"]})) AS z_q FROM tails),
+        hs AS (SELECT norms.prev, any_value(size * exp(each_p - z_p) * (z_q - each_q))
+            + coalesce(sum(exp(ln(pp) / {t} - z_p) * (z_q - ln(pq) / {t})), 0e0) AS h
+            FROM norms LEFT JOIN listed ON listed.prev = norms.prev GROUP BY norms.prev)
+        SELECT {K}, CAST(pos AS INTEGER) AS pos, nx.tok,
+            round(CASE WHEN nxt IS NOT NULL THEN z_q - coalesce(ln(pq) / {t}, each_q) END, 6) AS nll, round(h, 6) AS h
+        FROM nx JOIN norms ON norms.prev = nx.tok JOIN hs ON hs.prev = nx.tok
+        LEFT JOIN listed ON listed.prev = nx.tok AND listed.tok = nx.nxt WHERE src = 'conversations'""",
+        "prob",
+    ).replace(")\n, ranked AS", "),\nranked AS")
+
+
 def _self_entropy() -> str:
     steps = {**_text_steps(), **_model_steps(same=True), **_metric_steps()}
     # A pair of conversation tokens only has no row with a count, but a probability.
@@ -234,8 +276,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "scan_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "collect_inputs": _table_counts(GIVEN),
-        "exclude_outputs": "SELECT source || '.parquet' AS file, count(*) AS n_rows FROM documents "
-                           "WHERE lang <> 'es' GROUP BY source",
+        "exclude_outputs": statement(
+            f"""SELECT file || '-' || ((doc_id % {FILES_PER_SOURCE} + {FILES_PER_SOURCE}) % {FILES_PER_SOURCE}) || '.parquet' AS file,
+            count(*) AS n_rows FROM dirty GROUP BY ALL""", "dirty"),
         "scan_jsonl": "SELECT doc_id, lang, text FROM documents",
         "write_scored": statement("SELECT doc_id, file, lang, text, round(score, 6) AS score FROM scored", "scored"),
         "backfill_write": statement(backfilled, "partly"),
@@ -243,7 +286,11 @@ def oracle_sql() -> dict[str, str]:
         "normalize_text": statement("SELECT doc_id, coalesce(text, '') AS text FROM dirty", "dirty"),
         "split_scoreable": statement(f"SELECT doc_id, file, {scoreable()} AS scoreable FROM dirty", "dirty"),
         "token_count": statement(f"SELECT {K}, CAST(len(tokens) AS INTEGER) AS n_tokens FROM toks", "toks"),
-        "tokenize": statement(f"{joined} FROM toks", "toks"),
+        "tokenize": statement(
+            f"""{joined}, coalesce(ids, '') AS ids FROM toks LEFT JOIN (
+                SELECT {K}, string_agg(id, ' ' ORDER BY pos) AS ids
+                FROM pos JOIN (SELECT tok, row_number() OVER (ORDER BY tok) AS id FROM uni) numbered USING (tok) GROUP BY ALL
+            ) USING ({K})""", "uni"),
         "truncate_tokens": statement(f"{joined} FROM ({first})", "toks"),
         "token_positions": statement(f"SELECT {K}, CAST(pos AS INTEGER) AS pos, tok FROM pos", "pos"),
         "next_token_pairs": statement(f'SELECT {K}, CAST(pos AS INTEGER) AS pos, tok, nxt AS "next" FROM nx', "nx"),
@@ -255,8 +302,10 @@ def oracle_sql() -> dict[str, str]:
                 SELECT *, (row_number() OVER (PARTITION BY src ORDER BY doc_id, turn) - 1) // {BATCH_SIZE} AS batch_id
                 FROM toks))""", "toks"),
         "vocab_diff": statement(
-            """SELECT tok, CASE WHEN n_p > 0 THEN 'left' ELSE 'right' END AS side FROM uni
-            WHERE n_p = 0 OR n_p = n_q""", "uni"),
+            """SELECT tok, coalesce(l.id, 0) AS left_id, coalesce(r.id, 0) AS right_id
+            FROM (SELECT tok, row_number() OVER (ORDER BY tok) AS id FROM uni WHERE n_p > 0) l
+            FULL JOIN (SELECT tok, row_number() OVER (ORDER BY tok) AS id FROM uni WHERE n_q > n_p) r USING (tok)
+            WHERE l.id IS DISTINCT FROM r.id""", "uni"),
         "lm_unigram": statement(long.format("tok, n_p AS n, round(u_p, 12) AS u", "u",
                                             "tok, n_q, round(u_q, 12)", "u"), "u"),
         "lm_bigram": statement(long.format("prev, tok, n_p AS n", "bi WHERE n_p > 0", "prev, tok, n_q", "bi"), "bi"),
@@ -278,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
         "doc_scores_window": statement(f"{ROUNDED} FROM dw", "dw", window),
         "score_from_metrics": statement(f"{ROUNDED} FROM ds", "ds", external),
         "self_entropy_scores": _self_entropy(),
+        "logit_metrics": _logits(),
         "mode_threshold": statement(f"SELECT {K}, mode, shown, threshold, {label('score', 'threshold')} AS label "
                                     f"FROM ds CROSS JOIN ({modes})", "ds"),
         "predict_label": statement(f"SELECT {K}, {label('score', low_fpr)} AS label FROM ds", "ds"),

@@ -10,18 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perplexis.functions import decision as D
 from perplexis.functions import text as T
-from perplexis.functions.naming import is_output_name, output_name
+from perplexis.functions.naming import DEFAULT_OUTPUT_SUFFIX
 from perplexis.operators import evaluation as E
 from perplexis.operators import metrics as M
+from perplexis.operators import logits as Z
 from perplexis.operators import missing as G
 from perplexis.operators import model as L
 from perplexis.operators import tokens as K
-from perplexis.operators.sampling import sampled_cross_perplexity
+from perplexis.operators.sampling import alias_tables, observer_weights, sampled_cross_perplexity
 from perplexis.plans.scoring import Scorer, score_texts
 from perplexis.sources import files
 from perplexis.sources.workspace import new_path, spread, stored
@@ -33,6 +34,8 @@ PAD = "<pad>"
 BATCH_SIZE = 32
 MASK_TOKENS = ("the", "de")
 ROWS_PER_FILE = 10
+FILES_PER_SOURCE = 4
+LISTED_TOKENS = 8
 
 
 def _round(column: str | Column, digits: int = 6) -> Column:
@@ -80,6 +83,10 @@ class Tables:
     def contexts(self) -> L.Contexts:
         return L.train_contexts(self.model)
 
+    @cached_property
+    def alias_tables(self) -> DataFrame:
+        return alias_tables(observer_weights(self.model))
+
     @cached_property
     def tempered(self) -> L.Contexts:
         return L.train_contexts(self.model, TEMPERATURE)
@@ -126,6 +133,19 @@ class Tables:
         """``dirty`` with its scores."""
         return stored(G.attach_scores(self.dirty, self.dirty_scores, ["doc_id"]), "scored")
 
+    @property
+    def named(self) -> Column:
+        """Each source is a few input files."""
+        return F.concat("file", F.lit("-"), F.pmod("doc_id", F.lit(FILES_PER_SOURCE)))
+
+    @cached_property
+    def scored_files(self) -> str:
+        """A folder of input files and, beside them, the scored files that the job made of them."""
+        folder = new_path(self.spark, "files")
+        files.write_named(self.dirty.withColumn("name", self.named), folder, "name")
+        Scorer(self.contexts).score_files([folder])
+        return folder
+
     @property
     def partly_scored(self) -> DataFrame:
         """``scored`` with the scores of two languages lost."""
@@ -154,6 +174,31 @@ class Tables:
     def cumulative(self) -> DataFrame:
         return E.cumulative_counts(self.evaluation)
 
+    @property
+    def listed_logits(self) -> DataFrame:
+        """Positions of the conversations with logits of the tokens most often seen next, and a tail for all others."""
+        model = self.model
+        seen = model.pairs.where(F.col("next_id") != K.END_ID)
+        place = F.row_number().over(Window.partitionBy("prev_id").orderBy(F.col("n_q").desc(), "next_id"))
+        listed = seen.withColumn("place", place).where(F.col("place") <= LISTED_TOKENS)
+        entry = F.struct("place", "next", F.ln("prob_p").alias("p"), F.ln("prob_q").alias("q"), "prob_p", "prob_q")
+        lists = listed.groupBy("prev").agg(F.array_sort(F.collect_list(entry)).alias("list"))
+        rest = lambda name: F.aggregate(F.col(f"list.prob_{name}"), F.lit(1.0), lambda left, x: left - x)
+        lists = lists.select(
+            F.col("prev").alias("tok"), F.col("list.next").alias("tokens"), F.col("list.p").alias("observer"),
+            F.col("list.q").alias("performer"), F.ln(rest("p")).alias("observer_tail"), F.ln(rest("q")).alias("performer_tail"),
+        )
+        none, nothing = F.array().cast("array<double>"), F.array().cast("array<string>")
+        positions = K.next_token_pairs(self.toks.where(~self.in_documents), KEYS).join(lists, "tok", "left")
+        tokens = F.coalesce("tokens", nothing)
+        return positions.select(
+            *KEYS, "pos", "tok",
+            (F.array_position(tokens, F.col("next")) - 1).cast("int").alias("label"),
+            *[F.coalesce(c, none).alias(c) for c in ("observer", "performer")],
+            *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("observer_tail", "performer_tail")],
+            (F.lit(model.vocabulary_size) - F.size(tokens)).alias("tail_size"),
+        )
+
     @property
     def external_metrics(self) -> DataFrame:
         """Per-position values that don't come from our models."""
@@ -201,11 +246,9 @@ def collect_inputs(t: Tables) -> DataFrame:
 
 @query
 def exclude_outputs(t: Tables) -> DataFrame:
-    """Documents by file name, without the files that look like outputs."""
-    plain = F.concat("source", F.lit(".parquet"))
-    name = F.when(F.col("lang") == "es", output_name(plain)).otherwise(plain)
-    named = t.read("documents").select(name.alias("file"))
-    return named.where(~is_output_name(F.col("file"))).groupBy("file").agg(F.count("*").alias("n_rows"))
+    """Rows of the input files of a folder that also holds the scored files."""
+    counts = files.count_rows(t.spark, files.collect_inputs(t.spark, [t.scored_files]))
+    return counts.select(F.element_at(F.split("file", "/"), -1).alias("file"), "n_rows")
 
 
 @query
@@ -217,16 +260,18 @@ def scan_jsonl(t: Tables) -> DataFrame:
 
 @query
 def write_scored(t: Tables) -> DataFrame:
-    folder = new_path(t.spark, "output")
-    files.write_scored(t.scored, folder)
-    return t.spark.read.parquet(folder).select("doc_id", "file", "lang", "text", _round("score"))
+    outputs = set(files.collect_inputs(t.spark, [t.scored_files], include_outputs=True))
+    outputs -= set(files.collect_inputs(t.spark, [t.scored_files]))
+    scored = files.read_texts(t.spark, sorted(outputs))
+    return scored.select("doc_id", F.col("given_file").alias("file"), "lang", "text", _round("score"))
 
 
 @query
 def backfill_write(t: Tables) -> DataFrame:
     folder = new_path(t.spark, "output")
-    files.write_scored(t.partly_scored, folder)
-    Scorer(t.contexts, max_tokens=None).score_missing(folder, ["doc_id"])
+    name = F.concat(t.named, F.lit(DEFAULT_OUTPUT_SUFFIX))
+    files.write_named(t.partly_scored.withColumn("name", name), folder, "name")
+    Scorer(t.contexts).score_missing(folder)
     return t.spark.read.parquet(folder).select("doc_id", "file", _round("score"))
 
 
@@ -260,7 +305,11 @@ def _joined_tokens(toks: DataFrame) -> DataFrame:
 
 @query
 def tokenize(t: Tables) -> DataFrame:
-    return _joined_tokens(K.tokenize(t.texts, KEYS))
+    numbered = K.token_ids(t.toks, t.model.vocabulary, KEYS)
+    return numbered.select(
+        *KEYS, F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"),
+        F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"),
+    )
 
 
 @query
@@ -289,9 +338,10 @@ def pad_mask(t: Tables) -> DataFrame:
 
 @query
 def vocab_diff(t: Tables) -> DataFrame:
-    return K.vocabulary_difference(
-        K.vocabulary(t.toks.where(t.in_documents)), K.vocabulary(t.toks.where(~t.in_documents))
-    )
+    """Tokens whose ids differ between two vocabularies; 0 where one lacks the token."""
+    left, right = (K.vocabulary(t.toks.where(side)) for side in (t.in_documents, ~t.in_documents))
+    different = K.vocabulary_difference(left, right)
+    return different.select("tok", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("left_id", "right_id")])
 
 
 # Models
@@ -376,7 +426,8 @@ def x_ppl_temperature(t: Tables) -> DataFrame:
 
 @query
 def x_ppl_sampled(t: Tables) -> DataFrame:
-    return sampled_cross_perplexity(t.positions, t.contexts, KEYS, SEED).select(*KEYS, _round("x_ppl"))
+    drawn = sampled_cross_perplexity(t.positions, t.contexts, KEYS, SEED, tables=t.alias_tables)
+    return drawn.select(*KEYS, _round("x_ppl"))
 
 
 @query
@@ -395,6 +446,12 @@ def score_from_metrics(t: Tables) -> DataFrame:
     return _rounded_scores(M.document_scores(t.external_metrics, KEYS))
 
 
+@query
+def logit_metrics(t: Tables) -> DataFrame:
+    values = Z.logit_metrics(t.listed_logits, KEYS, TEMPERATURE)
+    return values.select(*KEYS, "pos", "tok", _round("nll"), _round("h"))
+
+
 @query
 def self_entropy_scores(t: Tables) -> DataFrame:
     contexts = L.train_contexts(L.same_model(t.model, "p"))

@@ -2,44 +2,65 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perplexis.functions.decision import DEFAULT_MODE, label, threshold_of
+from perplexis.functions.decision import DEFAULT_MODE, is_missing, label, threshold_of
 from perplexis.functions.naming import DEFAULT_OUTPUT_SUFFIX
 from perplexis.functions.text import is_scoreable
-from perplexis.operators.metrics import document_scores, pair_metrics, token_metrics
-from perplexis.operators.missing import (
-    attach_scores, backfill_scores, find_missing, missing_report, require_columns,
-)
+from perplexis.operators.metrics import document_scores
+from perplexis.operators.missing import attach_scores, find_missing, missing_report, require_columns
 from perplexis.operators.model import Contexts, load_model, train, train_contexts
-from perplexis.operators.tokens import token_pairs, tokenize
-from perplexis.sources.files import (
-    FILE_KEYS, collect_inputs, read_texts, rewrite_files, write_scored,
-)
+from perplexis.operators.tokens import tokenize
+from perplexis.plans.providers import Provider, TrainedModels
+from perplexis.sources import files
+from perplexis.sources.files import FILE_KEYS
 from perplexis.sources.workspace import stored
 
 
-def score_texts(texts: DataFrame, keys: Sequence[str], contexts: Contexts, text: str = "text",
+def score_texts(texts: DataFrame, keys: Sequence[str], models: Contexts | Provider, text: str = "text",
                 max_tokens: int | None = None) -> DataFrame:
     """``keys, n_tokens, ppl, x_ppl, score`` of the scoreable texts that have a token.
 
-    ``keys`` must be unique. Texts are observed whole unless ``max_tokens`` says otherwise. The tokens are stored: they are read three times.
+    ``keys`` tell the texts apart; two texts of the same fail the query. Texts
+    are observed whole unless ``max_tokens`` says otherwise.
     """
     require_columns(texts, text)
-    scoreable = texts.where(is_scoreable(text))
-    positions = token_pairs(stored(tokenize(scoreable, keys, text, max_tokens), "tokens"), *keys)
-    return document_scores(token_metrics(positions, pair_metrics(positions, contexts), keys), keys)
+    models = TrainedModels(models) if isinstance(models, Contexts) else models
+    values = models.token_metrics(texts.where(is_scoreable(text)), keys, text, max_tokens)
+    return document_scores(values, keys)
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a job over files wrote.
+
+    ``summary`` has ``path, output, n_rows, n_good, n_null`` for each input and,
+    with ``is_total`` 1, for all of the run; its counts come from the writing.
+    """
+
+    spark: SparkSession
+    outputs: list[str]
+    summary: DataFrame
+
+    @property
+    def table(self) -> DataFrame:
+        """The written rows, with their ``file`` and ``row_id``."""
+        return files.read_texts(self.spark, self.outputs)
 
 
 @dataclass(frozen=True)
 class Scorer:
-    """Two trained models, a token window and a decision mode."""
+    """Two models, a token window and a decision mode.
 
-    contexts: Contexts
+    ``models`` are trained tables (``Contexts``) or any other provider.
+    """
+
+    models: Contexts | Provider
     max_tokens: int | None = None
     mode: str = DEFAULT_MODE
     calibrated: float | None = None
@@ -62,9 +83,13 @@ class Scorer:
     def load(cls, spark: SparkSession, path: str, **options) -> Scorer:
         return cls(train_contexts(load_model(spark, path)), **options)
 
+    @property
+    def provider(self) -> Provider:
+        return TrainedModels(self.models) if isinstance(self.models, Contexts) else self.models
+
     @property
     def spark(self) -> SparkSession:
-        return self.contexts.table.sparkSession
+        return self.provider.spark
 
     @property
     def threshold(self) -> float:
@@ -84,7 +109,7 @@ class Scorer:
     def score(self, texts: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
         """All rows of ``texts`` with ``score``, NaN where there is nothing to score."""
         return attach_scores(
-            texts, score_texts(texts, keys, self.contexts, text, self.max_tokens), keys
+            texts, score_texts(texts, keys, self.provider, text, self.max_tokens), keys
         )
 
     def predict(self, texts: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
@@ -105,32 +130,103 @@ class Scorer:
     def predict_literal(self, text: str | list[str]) -> str | list[str]:
         return self._literals(text, "label")
 
-    def score_files(self, inputs: Sequence[str], output: str, text: str = "text", limit: int = 0,
-                    suffix: str = DEFAULT_OUTPUT_SUFFIX) -> DataFrame:
-        """Scores Parquet files in one job; returns the written table.
+    def _file_values(self, texts: DataFrame, text: str) -> DataFrame:
+        """``file, row_id, value`` of the texts that get a score, stored."""
+        scores = score_texts(texts, FILE_KEYS, self.provider, text, self.max_tokens)
+        return stored(scores.select(*FILE_KEYS, F.col("score").alias("value")).where(~is_missing("value")), "file_scores")
 
-        The rows go to ``output`` with one partition per input file.
+    def score_files(self, inputs: Sequence[str], output: str | None = None, text: str = "text", limit: int = 0,
+                    suffix: str = DEFAULT_OUTPUT_SUFFIX, again: bool = False) -> Written:
+        """Scores Parquet files, each into a file of its own name and ``suffix``.
+
+        Outputs lie beside their inputs, or all in the folder ``output``. A run
+        that was interrupted as it put them in place is finished first. A ledger
+        there remembers which files were scored, by path, length and time: those
+        are passed over unless ``again``.
         """
-        paths = collect_inputs(self.spark, inputs, suffix=suffix)
-        if not paths:
+        home = output or _home(inputs)
+        files.finish_interrupted(self.spark, home)
+        listed = files.inputs_of(self.spark, inputs, suffix=suffix, output=output)
+        if not listed:
             raise ValueError("The inputs hold no Parquet file to score.")
-        write_scored(self.score(read_texts(self.spark, paths, limit), FILE_KEYS, text), output)
-        return self.spark.read.parquet(output)
+        table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
+        if not again:
+            known = files.scored_before(self.spark, home).select("path", "length", "modified", "output")
+            fresh = {r.path for r in table.join(known, table.columns, "left_anti").select("path").toLocalIterator()}
+            listed = [f for f in listed if f.path in fresh]
+        counts = None
+        if listed:
+            counts = self._score_listed(listed, home, text, limit)
+            table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
+            files.enter_in_ledger(table.join(counts[0], "path"), home)
+        return Written(self.spark, [f.output for f in listed], self._summary(counts))
+
+    def _score_listed(self, listed: list[files.Input], home: str, text: str, limit: int) -> tuple[DataFrame, files.Staged]:
+        paths = [f.path for f in listed]
+        texts = files.read_texts(self.spark, paths, limit)
+        require_columns(texts, text)
+        values = self._file_values(texts, text)
+        good = values.groupBy(F.col("file").alias("path")).agg(F.count("*").alias("n_good"))
+        # A file without any score may lack the column that others have.
+        scored = {r.path for r in good.select("path").toLocalIterator()}
+        odd = files.files_without_column(self.spark, text, [p for p in paths if p not in scored])
+        if odd:
+            raise ValueError(f"There is no column {text!r} in {odd[0]}, nor in {len(odd) - 1} other files.")
+
+        def scored_rows(rows: DataFrame) -> DataFrame:
+            return rows.drop("score").withColumn("score", F.coalesce("_value", F.lit(float("nan")))).drop("_value")
+
+        staged = files.stage(self.spark, home, listed, values, scored_rows, limit)
+        files.put_in_place(self.spark, home, staged)
+        rows = files.count_rows(self.spark, paths).withColumnRenamed("file", "path")
+        rows = rows.withColumn("n_rows", F.least("n_rows", F.lit(limit)) if limit else F.col("n_rows"))
+        known = self.spark.createDataFrame([(p,) for p in paths], "path string")
+        counts = known.join(rows, "path", "left").join(good, "path", "left").na.fill(0, ["n_rows", "n_good"])
+        return counts.withColumn("n_null", F.col("n_rows") - F.col("n_good")), staged
+
+    def _summary(self, counts: tuple[DataFrame, files.Staged] | None) -> DataFrame:
+        shape = "path string, is_total int, n_files long, n_rows long, n_good long, n_null long"
+        if counts is None:
+            return self.spark.createDataFrame([(None, 1, 0, 0, 0, 0)], shape)
+        table, staged = counts
+        total = self.spark.createDataFrame(
+            [(None, 1, len(staged.moves), staged.n_rows, staged.n_good, staged.n_rows - staged.n_good)], shape
+        )
+        return table.select(
+            "path", F.lit(0).alias("is_total"), F.lit(1).cast("long").alias("n_files"), "n_rows", "n_good", "n_null"
+        ).unionByName(total)
 
-    def score_missing(self, folder: str, keys: Sequence[str] = FILE_KEYS, text: str = "text",
-                      dry_run: bool = False) -> DataFrame:
-        """Fills the gaps of a scored folder in place; returns the report of gaps.
+    def score_missing(self, folder: str, text: str = "text", dry_run: bool = False) -> DataFrame:
+        """Fills the gaps of a folder of scored files in place; returns the report of gaps.
 
-        Only texts that lack a score are scored, and only the partitions that
-        hold such a text are written. A dry run changes nothing.
+        Only texts that lack a score are scored, and only files that receive one
+        are written again: complete copies first, then they are put in place, which
+        the next start finishes if it is interrupted. A dry run changes nothing.
         """
-        scored = self.spark.read.parquet(folder)
+        home = _home([folder])
+        if not dry_run:
+            files.finish_interrupted(self.spark, home)
+        listed = files.inputs_of(self.spark, [folder], include_outputs=True)
+        if not listed:
+            raise ValueError("The folder holds no Parquet file.")
+        scored = files.read_texts(self.spark, [f.path for f in listed])
         gaps = find_missing(scored, text)
         report = stored(missing_report(scored, text), "missing_report")
         if dry_run or report.where("n_scoreable > 0").isEmpty():
             return report
-        touched = report.where("is_total = 0 AND n_scoreable > 0").select("file")
-        fresh = score_texts(gaps.where("scoreable"), keys, self.contexts, text, self.max_tokens)
-        filled = backfill_scores(scored.join(touched, "file", "left_semi"), fresh, keys, text)
-        rewrite_files(self.spark, filled.select(*scored.columns), folder)
+        values = self._file_values(gaps.where("scoreable"), text)
+        touched = {r.file for r in values.select("file").distinct().toLocalIterator()}
+        if touched:
+            def filled(rows: DataFrame) -> DataFrame:
+                fill = is_missing("score") & F.col("_value").isNotNull()
+                return rows.withColumn("score", F.when(fill, F.col("_value")).otherwise(F.col("score"))).drop("_value")
+
+            again = [f._replace(output=f.path) for f in listed if f.path in touched]
+            files.put_in_place(self.spark, home, files.stage(self.spark, home, again, values, filled))
         return report
+
+
+def _home(inputs: Sequence[str]) -> str:
+    """The folder in which a job keeps its journal and ledger: the first given, or that of the first file."""
+    first = inputs[0].rstrip("/")
+    return posixpath.dirname(first) if first.endswith(".parquet") else first

@@ -42,11 +42,22 @@ def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Inputs up to this size are dealt out over all cores before work begins.
+SMALL_BYTES = 256 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the table's size, from its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cores can take, dealt out evenly.
+    """A small input, which may be a single split, dealt out evenly over the cores.
 
-    Splits follow row groups, so that a small file may be one task. A large
-    input has many splits and stays as it is: its text never shuffles.
+    Splits follow row groups, so that a small file may be one task. An input of
+    more than ``SMALL_BYTES`` stays as it is, whatever the cluster: its text
+    never shuffles.
     """
-    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    if estimated_bytes(df) > SMALL_BYTES:
+        return df
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)

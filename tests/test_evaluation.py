@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perplexis.operators import evaluation as E
+from perplexis.operators import running
 from perplexis.operators.running import row_numbers, running_totals
 
 
@@ -119,14 +120,27 @@ def test_empty_and_one_sided_tables(spark):
         assert math.isnan(E.roc_auc(cumulative).first().auc or math.nan)
 
 
-@pytest.mark.parametrize("ranges", [2, 5, 256])
-def test_running_totals_do_not_depend_on_ranges(spark, ranges):
+@pytest.mark.parametrize(("rows", "blocks"), [(1000, 1024), (100, 1024), (7, 1024), (3, 4)])
+def test_running_totals_do_not_depend_on_ranges(spark, monkeypatch, rows, blocks):
+    monkeypatch.setattr(running, "RANGES_PER_BLOCK", blocks)
     rng = random.Random(1)
     values = [(i % 3, rng.choice([math.inf, -2.0, 0.0, 1.5, 7.25, rng.random()]), i) for i in range(200)]
     df = spark.createDataFrame(values, "g int, x double, i int")
-    got = running_totals(df, ["x", "i"], {"t": F.col("i")}, by=["g"], ranges=ranges).collect()
+    got = running_totals(df, ["x", "i"], {"t": F.col("i")}, by=["g"], rows=rows).collect()
     assert len(got) == 200
     for r in got:
         assert r.t == sum(i for g, x, i in values if g == r.g and (x, i) <= (r.x, r.i))
-    numbers = sorted(r.row_number for r in row_numbers(df, ["x", "i"]).collect())
+    numbers = sorted(r.row_number for r in row_numbers(df, ["x", "i"], rows=rows).collect())
     assert numbers == list(range(1, 201))
+
+
+def test_ranges_follow_the_rows_and_split_ties(spark, tmp_path):
+    spark.range(1000).selectExpr("CAST(IF(id % 3 = 0, 5, id) AS DOUBLE) AS x", "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    ranged, ranges = running.with_ranges(df, ["x"], rows=100)
+    sizes = [r["count"] for r in ranged.groupBy("range_id").count().collect()]
+    assert ranges == 10 and sum(sizes) == 1000 and max(sizes) < 250
+    assert running.with_ranges(df, ["x"])[1] == 1
+    numbers = row_numbers(df, ["x"], rows=100).collect()
+    assert sorted(r.row_number for r in numbers) == list(range(1, 1001))
+    assert all(a.x <= b.x for a, b in zip(*[sorted(numbers, key=lambda r: r.row_number)[i:] for i in (0, 1)]))

@@ -1,14 +1,17 @@
 import math
 import random
+from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from perplexis.operators import logits as Z
 from perplexis.operators import metrics as M
 from perplexis.operators import model as L
 from perplexis.operators import sampling as S
 from perplexis.operators import tokens as K
-from perplexis.operators.lookup import hot_keys_of, salted_lookup
+from perplexis.operators.lookup import hot_keys, hot_keys_of, salted_lookup
 from tests.dense import Dense
 
 ALPHA, LAM = 0.4, 0.6
@@ -158,8 +161,9 @@ def test_salted_lookup_splits_hot_keys(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id"
     )
     table = rows.groupBy("k").agg(F.min("id").alias("v"))
-    hot = hot_keys_of(rows, "k", most=64)
-    assert [tuple(r) for r in hot.collect()] == [("hot", 22)]
+    assert hot_keys_of(rows, "k") is None and salted_lookup(rows, table, "k", None).count() == 3000
+    hot = hot_keys_of(rows, "k", target=46)
+    assert [r.salts for r in hot.collect()] == [22]
     joined = salted_lookup(rows, table, "k", hot)
     assert joined.count() == 3000 and joined.columns == ["k", "id", "v"]
     assert joined.where("k = 'hot' AND v = 0").count() == 1000
@@ -195,35 +199,55 @@ def test_ratio_follows_floating_point(spark):
     assert got[0] == 0.5 and got[1] == math.inf and math.isnan(got[2]) and math.isnan(got[3])
 
 
-@pytest.mark.parametrize("t", [1.0, 1.7])
-def test_intervals_hold_the_observer_distribution(spark, model, rows, t):
+@pytest.mark.parametrize(("t", "range_rows"), [(1.0, 1 << 18), (1.7, 1 << 18), (1.0, 5)])
+def test_alias_tables_hold_the_observer_distribution(model, rows, t, range_rows):
     """Bigram and unigram parts together give each context's distribution."""
     reference = dense(rows, t)
     contexts = L.train_contexts(model, t)
-    intervals = S.cumulative_intervals(S.observer_weights(model, t)).collect()
-    parts = {}
-    for r in intervals:
-        parts.setdefault(r.ctx, []).append(r)
-    for ctx, found in parts.items():
-        found.sort(key=lambda r: r.lo)
-        assert found[0].lo == 0 and found[-1].hi == 1
-        assert all(a.hi == b.lo for a, b in zip(found, found[1:]))
-    unigram = {r.next: r.hi - r.lo for r in parts[S.UNIGRAM]}
+    names = {r.id: r.tok for r in model.words.collect()} | {K.UNSEEN_ID: "<unk>"}
+    parts = defaultdict(Counter)
+    cells = defaultdict(list)
+    for r in S.alias_tables(S.observer_weights(model, t), rows=range_rows).collect():
+        assert 0 <= r.share <= 1
+        cells[r.ctx].append((r.cell, r.cells))
+        parts[r.ctx][names[r.own]] += r.share / r.cells
+        parts[r.ctx][names[r.other]] += (1 - r.share) / r.cells
+    for found in cells.values():
+        assert sorted(found) == [(i, len(found)) for i in range(len(found))]
     for r in contexts.table.collect():
-        own = {i.next: i.hi - i.lo for i in parts.get(r.tok, [])}
         expected = reference.distribution("p", r.tok)
         for word in reference.vocabulary:
-            mixed = r.pick * own.get(word, 0) + (1 - r.pick) * unigram[word]
-            assert mixed == pytest.approx(expected[word], abs=1e-12)
-
-
-def test_draws(spark, model, rows):
+            mixed = r.pick * parts[r.id][word] + (1 - r.pick) * parts[S.UNIGRAM_ID][word]
+            assert mixed == pytest.approx(expected[word], abs=1e-6)
+
+
+@pytest.mark.parametrize("range_rows", [1 << 18, 40])
+def test_alias_tables_of_any_weights(spark, range_rows):
+    rng = random.Random(5)
+    weights = [(c, i, rng.choice([0, 1, 1, 5, rng.randrange(10**6), 10**12]) + (i == 0)) for c, n in enumerate([1, 2, 3, 50, 200]) for i in range(n)]
+    weights += [(9, i, 7) for i in range(12)]
+    df = spark.createDataFrame(weights, "ctx long, next_id long, w long").selectExpr("ctx", "next_id", "CAST(w AS DECIMAL(38, 0)) AS weight", "CAST(next_id AS DOUBLE) AS value")
+    shares = defaultdict(Fraction)
+    for r in S.alias_tables(df, rows=range_rows).collect():
+        assert (r.own_value, r.other_value) == (r.own, r.other)
+        shares[r.ctx, r.own] += Fraction(r.share) / r.cells
+        shares[r.ctx, r.other] += (1 - Fraction(r.share)) / r.cells
+    total = Counter()
+    for c, _, w in weights:
+        total[c] += w
+    for c, i, w in weights:
+        assert float(shares[c, i]) == pytest.approx(w / total[c], abs=1e-12)
+
+
+@pytest.mark.parametrize("target", [1 << 20, 150])
+def test_draws(spark, model, rows, target):
     contexts = L.train_contexts(model)
     reference = dense(rows)
     toks = as_table(spark, [("x", i, ["a"] * 200) for i in range(20)])
     positions = K.token_pairs(toks, "doc_id")
-    drawn = S.draw_tokens(positions, contexts, ["doc_id"], seed=1)
-    counts = {r.next: r["count"] for r in drawn.groupBy("next").count().collect()}
+    words = model.words.select(F.col("id").alias("next_id"), F.col("tok").alias("next"))
+    drawn = S.draw_tokens(positions, contexts, ["doc_id"], seed=1, target=target)
+    counts = {r.next or "<unk>": r["count"] for r in drawn.join(words, "next_id", "left").groupBy("next").count().collect()}
     assert sum(counts.values()) == 4000
     for word, p in reference.distribution("p", "a").items():
         assert counts.get(word, 0) / 4000 == pytest.approx(p, abs=0.04)
@@ -233,3 +257,111 @@ def test_draws(spark, model, rows):
     assert not drawn.exceptAll(S.draw_tokens(positions, contexts, ["doc_id"], seed=2)).isEmpty()
     value = S.sampled_cross_perplexity(positions, contexts, ["doc_id"], 1).agg(F.avg("x_ppl")).first()[0]
     assert value == pytest.approx(reference.h("a"), rel=0.05)
+
+
+def test_draws_of_tokens_never_seen(spark, model, rows):
+    contexts = L.train_contexts(model)
+    positions = K.token_pairs(as_table(spark, [("x", i, ["new", "z", "a"] * 300) for i in range(4)]), "doc_id")
+    value = S.sampled_cross_perplexity(positions, contexts, ["doc_id"], 1).agg(F.avg("x_ppl"), F.count("*")).first()
+    reference = dense(rows)
+    assert value[0] == pytest.approx(sum(map(reference.h, ["new", "z", "a"])) / 3, rel=0.05) and value[1] == 4
+
+
+def test_no_key_of_a_draw_is_above_the_target(spark, model):
+    """One context holds all positions, in few cells: each is repeated."""
+    contexts = L.train_contexts(model)
+    positions = K.token_pairs(as_table(spark, [("x", i, ["a"] * 100) for i in range(30)]), "doc_id")
+    tables = S.alias_tables(S.observer_weights(model))
+    cells = tables.where("ctx = 1").count()
+    counted = []
+    original = S.salted_lookup
+
+    def watched(left, table, key, hot):
+        if key == ["ctx", "cell"]:
+            counted.append(hot.agg(F.sum("salts")).first()[0])
+        return original(left, table, key, hot)
+
+    S.salted_lookup = watched
+    try:
+        S.draw_tokens(positions, contexts, ["doc_id"], 1, tables, target=50).count()
+    finally:
+        S.salted_lookup = original
+    assert counted[0] >= 3000 / 50 and cells < 30
+
+
+def test_long_hot_pairs_and_words_are_split(spark):
+    long = "w" * 2000
+    rows = [("documents", i, [long, long] * 30) for i in range(10)] + [("conversations", 100 + i, ["a", f"b{i}"]) for i in range(50)]
+    toks = as_table(spark, rows)
+    m = L.train(toks, F.col("src") == "documents", F.lit(True), ALPHA, LAM)
+    positions = K.token_pairs(toks, "doc_id")
+    pairs = M.trained_pair_metrics(L.train_contexts(m))
+    whole = {r.doc_id: r for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"]), ["doc_id"]).collect()}
+    for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"], target=20), ["doc_id"]).collect():
+        assert (r.n_tokens, r.score) == pytest.approx((whole[r.doc_id].n_tokens, whole[r.doc_id].score))
+    counts = pairs.select("tok", "next", "n")
+    split = hot_keys(counts, ["tok", "next"], "n", 700, 20)
+    # 590 positions are followed by the long word itself.
+    assert [r.salts for r in split.collect()] == [30]
+
+
+def test_ids(spark, rows, model):
+    toks = as_table(spark, rows + [("x", 500, []), ("x", 501, ["never", "a"])])
+    words = {r.tok: r.id for r in model.words.collect()}
+    assert sorted(words.values()) == list(range(1, len(words) + 1)) and sorted(words) == [w for w, _ in sorted(words.items(), key=lambda x: x[1])]
+    for r in K.token_ids(toks, model.vocabulary, ["src", "doc_id"]).collect():
+        assert r.ids == [words.get(t, K.UNSEEN_ID) for t in r.tokens]
+    for r in model.pairs.collect():
+        assert r.prev_id == words[r.prev] and r.next_id == words.get(r.next, K.END_ID) and r.n >= max(r.n_p, r.n_q)
+
+
+def test_vocabularies_compare_tokens_and_ids(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "tok string, id long")
+    K.require_same_vocabulary(left, left)
+    right = spark.createDataFrame([("a", 1), ("c", 2), ("d", 3)], "tok string, id long")
+    assert {tuple(r) for r in K.vocabulary_difference(left, right).collect()} == {("b", 2, None), ("c", 3, 2), ("d", None, 3)}
+    with pytest.raises(ValueError, match="vocabularies differ"):
+        K.require_same_vocabulary(left, right)
+    toks = spark.createDataFrame([(["b", "a"],), (["c", "a"],), ([],)], "tokens array<string>")
+    assert {tuple(r) for r in K.vocabulary(toks).select("tok", "id").collect()} == {("a", 1), ("b", 2), ("c", 3)}
+
+
+def dense_logits(rng, size):
+    return [rng.gauss(0, 3) for _ in range(size)]
+
+
+def log_softmax(logits, t):
+    whole = math.log(sum(math.exp(x / t) for x in logits))
+    return [x / t - whole for x in logits]
+
+
+@pytest.mark.parametrize("t", [0.6, 1.0, 1.7])
+def test_metrics_of_given_logits(spark, t):
+    """Whole lists, and lists cut short whose other tokens are alike."""
+    rng = random.Random(3)
+    rows, expected = [], {}
+    for i in range(30):
+        p, q, size = dense_logits(rng, 9), dense_logits(rng, 9), 1 + i % 5
+        label = None if i % 7 == 6 else rng.randrange(9)
+        rows.append((i, 1, "w", label, p, q, None, None, None))
+        lp, lq = log_softmax(p, t), log_softmax(q, t)
+        expected[i] = (None if label is None else -lq[label], -sum(math.exp(a) * b for a, b in zip(lp, lq, strict=True)))
+        more_p, more_q = p + [p[0] - 1] * size, q + [q[1] + 0.5] * size
+        tails = [math.log(size * math.exp(x)) for x in (p[0] - 1, q[1] + 0.5)]
+        rows.append((100 + i, 1, "w", -1 if i % 2 else label, p, q, *tails, size))
+        lp, lq = log_softmax(more_p, t), log_softmax(more_q, t)
+        chosen = -lq[-1] if i % 2 else None if label is None else -lq[label]
+        expected[100 + i] = (chosen, -sum(math.exp(a) * b for a, b in zip(lp, lq, strict=True)))
+    rows.append((900, 1, "w", -1, [], [], 0.0, 0.0, 4))
+    expected[900] = (math.log(4), math.log(4))
+    rows.append((901, 1, "w", 0, [2000.0, 0.0], [0.0, 2000.0], None, None, 0))
+    expected[901] = (2000 / t, 2000 / t)
+    df = spark.createDataFrame(rows, "doc_id long, pos int, tok string, label int, observer array<double>, performer array<double>, observer_tail double, performer_tail double, tail_size long")
+    got = Z.logit_metrics(df, ["doc_id"], t)
+    assert {r.doc_id for r in got.collect()} == set(expected)
+    for r in got.collect():
+        nll, h = expected[r.doc_id]
+        assert r.h == pytest.approx(h, abs=1e-9) and (r.nll is None if nll is None else r.nll == pytest.approx(nll, abs=1e-9))
+    assert M.document_scores(got, ["doc_id"]).count() == len(expected)
+    with pytest.raises(ValueError):
+        Z.logit_metrics(df, ["doc_id"], 0)
