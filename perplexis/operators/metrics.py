@@ -132,7 +132,6 @@ def document_scores(metrics: DataFrame, keys: Sequence[str], median: bool = Fals
             perplexity(median).alias("ppl"),
             cross_perplexity(median, mask_tokens).alias("x_ppl"),
         )
-        .withColumn("n_tokens", F.when(F.col("_ends") > 1, shared.cast("long")).otherwise(F.col("n_tokens")))
+        .withColumn("score", F.when(F.col("_ends") > 1, shared.cast("double")).otherwise(ratio(F.col("ppl"), F.col("x_ppl"))))
         .drop("_ends")
-        .withColumn("score", ratio(F.col("ppl"), F.col("x_ppl")))
     )

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from perplexis.operators.lookup import ROW_TARGET, hot_keys, hot_keys_of, salted_lookup
 from perplexis.operators.model import Contexts, ModelPair, power
-from perplexis.operators.running import ROWS_PER_RANGE, running_totals, with_ranges
+from perplexis.operators.running import running_totals, with_ranges
 from perplexis.operators.tokens import END_ID, UNSEEN_ID
 from perplexis.sources.workspace import stored
 
@@ -33,14 +33,20 @@ UNIGRAM_ID = 0
 # a smoothed unigram, and powers of probabilities.
 COUNT_UNITS, POWER_UNITS = 1 << 20, 1 << 40
 WHOLE = "decimal(38,0)"
-_DIGITS = 13  # hexadecimal digits of a hash that a double holds exactly
+# Contexts whose sums of shares may pass 64 bits are worked out in decimals.
+LONG_BITS = 62
+# Places in a position's hash, in hexadecimal digits, of its three numbers.
+DIGITS = {"part": (1, 10), "place": (11, 11), "choice": (22, 11)}
 
 
-def uniform(seed: int, keys: Sequence[str], stream: int) -> Column:
-    """A number in [0, 1) per position."""
-    text = F.concat_ws(":", F.lit(seed), *[F.col(k).cast("string") for k in keys], F.col("pos"), F.lit(stream))
-    number = F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("long")
-    return number / F.lit(float(16 ** _DIGITS))
+def uniform(seed: int, keys: Sequence[str]) -> dict[str, Column]:
+    """Three numbers in [0, 1) per position, out of one hash."""
+    text = F.concat_ws(":", F.lit(seed), *[F.col(k).cast("string") for k in keys], F.col("pos"))
+    hashed = F.md5(text)
+    return {
+        name: F.conv(F.substring(hashed, first, n), 16, 10).cast("long") / F.lit(float(16**n))
+        for name, (first, n) in DIGITS.items()
+    }
 
 
 def observer_weights(model: ModelPair, temperature: float = 1.0) -> DataFrame:
@@ -71,80 +77,124 @@ def observer_weights(model: ModelPair, temperature: float = 1.0) -> DataFrame:
     return bigram.unionByName(unigram).unionByName(unseen)
 
 
-def _filled_by(events: DataFrame, rows: int) -> DataFrame:
-    """Adds to every event of a context's line the greatest ``mark`` up to it, by a two-level scan."""
-    order = ["at", "kind", "next_id"]
-    ranged, ranges = with_ranges(events, order, ["ctx"], rows)
-    within = Window.partitionBy("ctx", "range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    scanned = ranged.withColumn("latest", F.max("mark").over(within))
-    if ranges == 1:
-        return scanned
+# Events on the line of a context, in the order in which those at one place count.
+_HEAVY_ENDS, _HEAVY_STARTS, _LIGHT_STARTS = 0, 1, 2
+_LINE = ["at", "kind", "next_id"]
+
+
+def _events(lined: DataFrame) -> DataFrame:
+    """Rows of ``ctx, next_id, value, total, cells, cell, heavy, start, end`` as events of the context's line.
+
+    Each light outcome is one where its deficit starts, each heavy one where its
+    surplus starts and one where it ends. Starts bring a mark along.
+    """
+    heavy = F.struct("start", "next_id", "value")
+    light = F.struct("start", "end")
+    no_heavy, no_light = F.lit(None).cast(lined.select(heavy).schema[0].dataType), F.lit(None).cast(lined.select(light).schema[0].dataType)
+
+    def event(at: str, kind: int, heavy_mark: Column, light_mark: Column) -> Column:
+        return F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"), heavy_mark.alias("heavy_mark"), light_mark.alias("light_mark"))
+
+    happen = F.when(F.col("heavy"), F.array(
+        event("start", _HEAVY_STARTS, heavy, no_light), event("end", _HEAVY_ENDS, no_heavy, no_light)
+    )).otherwise(F.array(event("start", _LIGHT_STARTS, no_heavy, light)))
+    return lined.select("ctx", "next_id", "value", "total", "cells", "cell", "amount", F.inline(happen))
+
+
+def _cells(scanned: DataFrame) -> DataFrame:
+    """A cell of each outcome, from events that know the last heavy and the last light start before them.
+
+    A light outcome's cell is filled by the last heavy one to start there or
+    before. A heavy one gives until a light deficit ends, past its own surplus;
+    what it gives too much, the heavy one that starts where it ends makes up.
+    """
+    over = F.greatest(F.col("last_light.end") - F.col("at"), F.lit(0))
+    is_light = F.col("kind") == _LIGHT_STARTS
+    kept = F.col("total") - F.when(is_light, F.col("amount")).otherwise(F.coalesce(over, F.lit(0)))
+    other = F.when(is_light, F.struct(F.col("last_heavy.next_id"), F.col("last_heavy.value"))).otherwise(F.col("following"))
+    return scanned.where(F.col("kind") != _HEAVY_STARTS).select(
+        "ctx", "cell", "cells", (kept.cast("double") / F.col("total").cast("double")).alias("share"),
+        F.col("next_id").alias("own"), F.col("value").alias("own_value"),
+        F.coalesce(other["next_id"], F.col("next_id")).alias("other"), F.coalesce(other["value"], F.col("value")).alias("other_value"),
+    )
+
+
+def _sized(outcomes: DataFrame, whole: str) -> DataFrame:
+    """Adds ``heavy`` and ``amount``: what the outcome's share is above or below the average."""
+    excess = F.col("weight").cast(whole) * F.col("cells").cast(whole if whole == "long" else "decimal(18,0)") - F.col("total").cast(whole)
+    excess = excess.cast(whole)
+    return outcomes.select(
+        "ctx", "next_id", "value", F.col("total").cast(whole).alias("total"), "cells",
+        (excess > 0).alias("heavy"), F.abs(excess).cast(whole).alias("amount"),
+    )
+
+
+def _lined(sized: DataFrame, end: Column, place: Column, whole: str) -> DataFrame:
+    """Places on the line, and cells: those of light outcomes from the first on, of heavy ones from the last back."""
+    cell = F.when(F.col("heavy"), F.col("cells") - place).otherwise(place - 1)
+    placed = sized.select("*", end.cast(whole).alias("end"), cell.cast("long").alias("cell"))
+    return placed.withColumn("start", (F.col("end") - F.col("amount")).cast(whole))
+
+
+def _small_contexts(outcomes: DataFrame, whole: str) -> DataFrame:
+    """Cells of contexts that one task each can hold: one shuffle by context, all else are windows in it."""
+    context = Window.partitionBy("ctx")
+    sized = _sized(outcomes.select(
+        "*", F.sum("weight").over(context).alias("total"), F.count("*").over(context).alias("cells")
+    ), whole)
+    line = Window.partitionBy("ctx", "heavy").orderBy("next_id").rowsBetween(Window.unboundedPreceding, 0)
+    events = _events(_lined(sized, F.sum("amount").over(line), F.count("*").over(line), whole))
+    order = Window.partitionBy("ctx").orderBy(*_LINE)
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    return _cells(events.select(
+        "*", F.max("heavy_mark").over(so_far).alias("last_heavy"), F.max("light_mark").over(so_far).alias("last_light"),
+        # A heavy one that starts where this one ends is the next event of the line.
+        F.lead(F.when(F.col("kind") == _HEAVY_STARTS, F.struct("next_id", "value"))).over(order).alias("following"),
+    ))
+
+
+def _large_contexts(outcomes: DataFrame, totals: DataFrame, whole: str, rows: int) -> DataFrame:
+    """Cells of contexts with more outcomes than a task should hold, by two-level scans along their lines."""
+    sized = stored(_sized(outcomes.join(totals, "ctx"), whole), "amounts")
+    scanned = running_totals(sized, ["next_id"], {"end": F.col("amount"), "place": F.lit(1)}, ["ctx", "heavy"], rows)
+    lined = _lined(scanned.withColumnRenamed("end", "_end"), F.col("_end"), F.col("place"), whole)
+    lined = stored(lined.drop("_end", "place", "range_id"), "lines")
+    ranged, _ = with_ranges(stored(_events(lined), "events"), _LINE, ["ctx"], rows)
+    so_far = Window.partitionBy("ctx", "range_id").orderBy(*_LINE).rowsBetween(Window.unboundedPreceding, 0)
+    marks = {"last_heavy": "heavy_mark", "last_light": "light_mark"}
+    within = ranged.select("*", *[F.max(mark).over(so_far).alias(last) for last, mark in marks.items()])
     # One row for each context and range: what earlier ranges of the context end with.
-    ends = ranged.groupBy("ctx", "range_id").agg(F.max("mark").alias("end"))
+    ends = ranged.groupBy("ctx", "range_id").agg(*[F.max(mark).alias(mark) for mark in marks.values()])
     before = Window.partitionBy("ctx").orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select("ctx", "range_id", F.max("end").over(before).alias("earlier"))
-    return scanned.join(ends, ["ctx", "range_id"]).withColumn("latest", F.coalesce("latest", "earlier"))
+    ends = ends.select("ctx", "range_id", *[F.max(mark).over(before).alias(f"earlier_{mark}") for mark in marks.values()])
+    known = within.join(ends, ["ctx", "range_id"])
+    for last, mark in marks.items():
+        known = known.withColumn(last, F.coalesce(last, f"earlier_{mark}"))
+    starts = lined.where("heavy").select("ctx", F.col("start").alias("at"), F.struct("next_id", "value").alias("following"))
+    return _cells(known.join(starts, ["ctx", "at"], "left"))
 
 
-def alias_tables(weights: DataFrame, path: str | None = None, rows: int = ROWS_PER_RANGE) -> DataFrame:
+def alias_tables(weights: DataFrame, path: str | None = None, rows: int = ROW_TARGET) -> DataFrame:
     """``ctx, cell, cells, share, own, own_value, other, other_value``, stored.
 
     A number below ``share`` (drawn evenly from [0, 1)) gives the cell's own
     outcome, any other the ``other`` one. ``weights`` are ``ctx, next_id,
-    weight`` (whole and not negative, some positive) and ``value``.
+    weight`` (whole and not negative, some positive in each context) and
+    ``value``. Contexts of more than ``rows`` outcomes are worked out in pieces.
     """
-    outcomes = stored(weights, "outcomes")
-    totals = stored(outcomes.groupBy("ctx").agg(F.sum("weight").alias("total"), F.count("*").alias("cells")), "totals")
-    sized = salted_lookup(outcomes, totals, "ctx", hot_keys(totals, "ctx", "cells", outcomes.count(), rows))
-    excess = (F.col("weight") * F.col("cells").cast("decimal(18,0)") - F.col("total")).cast(WHOLE)
-    sized = sized.withColumn("excess", excess).select(
-        "ctx", "next_id", "value", "total", "cells", (F.col("excess") > 0).alias("heavy"), F.abs("excess").cast(WHOLE).alias("amount")
-    )
-    lined = running_totals(
-        stored(sized, "amounts"), ["next_id"], {"end": F.col("amount"), "place": F.lit(1)}, ["ctx", "heavy"], rows
-    )
-    lined = stored(lined.drop("range_id").withColumn("start", (F.col("end") - F.col("amount")).cast(WHOLE)), "lines")
-    lights = lined.where("NOT heavy")
-
-    # Lights ask at their start for the last heavy that starts there or before;
-    # heavies ask at their end for the last light that starts before it.
-    heavy_starts = lined.where("heavy").select(
-        "ctx", F.col("start").alias("at"), F.lit(0).alias("kind"), "next_id", F.struct("start", "next_id", "value").alias("mark")
-    )
-    light_starts = lights.select(
-        "ctx", F.col("start").alias("at"), F.lit(1).alias("kind"), "next_id", F.lit(None).cast(heavy_starts.schema["mark"].dataType).alias("mark")
-    )
-    found = _filled_by(stored(heavy_starts.unionByName(light_starts), "starts"), rows).where("kind = 1").select(
-        "ctx", "next_id", F.col("latest.next_id").alias("other"), F.col("latest.value").alias("other_value")
-    )
-    light_marks = lights.select(
-        "ctx", F.col("start").alias("at"), F.lit(1).alias("kind"), "next_id", F.struct("start", "end").alias("mark")
-    )
-    heavy_ends = lined.where("heavy").select(
-        "ctx", F.col("end").alias("at"), F.lit(0).alias("kind"), "next_id", F.lit(None).cast(light_marks.schema["mark"].dataType).alias("mark")
-    )
-    given = _filled_by(stored(heavy_ends.unionByName(light_marks), "ends"), rows).where("kind = 0").select(
-        "ctx", "next_id", F.greatest(F.lit(0).cast(WHOLE), (F.col("latest.end") - F.col("at")).cast(WHOLE)).alias("over")
-    )
-    following = lined.where("heavy").select(
-        "ctx", F.col("start").alias("end"), F.col("next_id").alias("other"), F.col("value").alias("other_value")
-    )
-    light_cells = lights.join(found, ["ctx", "next_id"], "left").select(
-        "ctx", (F.col("place") - 1).alias("cell"), "cells", (F.col("total") - F.col("amount")).alias("kept"), "total",
-        F.col("next_id").alias("own"), F.col("value").alias("own_value"), "other", "other_value",
-    )
-    # Cells of light outcomes are numbered from the first on, those of heavy ones from the last back.
-    heavy_cells = lined.where("heavy").join(given, ["ctx", "next_id"]).join(following, ["ctx", "end"], "left").select(
-        "ctx", (F.col("cells") - F.col("place")).alias("cell"), "cells",
-        (F.col("total") - F.coalesce("over", F.lit(0))).alias("kept"), "total",
-        F.col("next_id").alias("own"), F.col("value").alias("own_value"), "other", "other_value",
-    )
-    cells = light_cells.unionByName(heavy_cells)
-    share = F.col("kept").cast("double") / F.col("total").cast("double")
-    return stored(cells.select(
-        "ctx", "cell", "cells", share.alias("share"), "own", "own_value",
-        F.coalesce("other", "own").alias("other"), F.coalesce("other_value", "own_value").alias("other_value"),
-    ), "alias_tables", path)
+    totals = weights.groupBy("ctx").agg(F.sum("weight").alias("total"), F.count("*").alias("cells"))
+    largest = totals.agg(
+        F.coalesce(F.max("cells"), F.lit(0)).alias("cells"),
+        F.coalesce(F.max(F.col("total").cast("double") * F.col("cells")), F.lit(0.0)).alias("product"),
+    ).first()
+    whole = "long" if largest.product < 2.0**LONG_BITS else WHOLE
+    if largest.cells <= rows:
+        return stored(_small_contexts(weights, whole), "alias_tables", path)
+    large = stored(totals.where(F.col("cells") > rows), "large_contexts")
+    small = weights.join(large.select("ctx"), "ctx", "left_anti")
+    inside = weights.join(large.select("ctx"), "ctx", "left_semi")
+    cells = _small_contexts(small, whole).unionByName(_large_contexts(inside, large, whole, rows))
+    return stored(cells, "alias_tables", path)
 
 
 def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], seed: int,
@@ -160,9 +210,7 @@ def draw_tokens(positions: DataFrame, contexts: Contexts, keys: Sequence[str], s
     unigram_cells = contexts.model.vocabulary_size
     per_context = contexts.table.join(sizes, "id", "left").select("tok", "id", "pick", "cells", "c_q", "log_z")
 
-    numbers = positions.select(*keys, "pos", "tok").withColumns(
-        {"part": uniform(seed, keys, 1), "place": uniform(seed, keys, 2), "choice": uniform(seed, keys, 3)}
-    )
+    numbers = positions.select(*keys, "pos", "tok").withColumns(uniform(seed, keys))
     total = positions.count()
     counts = stored(positions.groupBy("tok").agg(F.count("*").alias("n")), "scored_tokens") if total > target else None
     hot = None if counts is None else hot_keys(counts, "tok", "n", total, target)

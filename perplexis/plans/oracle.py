@@ -11,7 +11,7 @@ from perplexis.functions.decision import (
 )
 from perplexis.functions.text import DEFAULT_MAX_TOKENS, MINIMUM_TOKENS
 from perplexis.operators.evaluation import LOG_GRID, REPORTED_FPR
-from perplexis.operators.sampling import COUNT_UNITS
+from perplexis.operators.sampling import COUNT_UNITS, DIGITS
 from perplexis.plans.registry import (
     BATCH_SIZE, FILES_PER_SOURCE, LISTED_TOKENS, MASK_TOKENS, PAD, ROWS_PER_FILE, SEED, TEMPERATURE,
 )
@@ -170,9 +170,10 @@ def _tpr_at(rates: list[float], digits: str) -> str:
     ).replace(")\n, grid", "),\ngrid")
 
 
-def _uniform(stream: int) -> str:
-    text = f"concat_ws(':', '{SEED}', src, doc_id, turn, pos, '{stream}')"
-    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / 4503599627370496e0)"
+def _uniform(name: str) -> str:
+    first, n = DIGITS[name]
+    text = f"concat_ws(':', '{SEED}', src, doc_id, turn, pos)"
+    return f"(CAST('0x' || substr(md5({text}), {first}, {n}) AS BIGINT) / {float(16**n)!r}::DOUBLE)"
 
 
 def _sampled() -> str:
@@ -199,7 +200,7 @@ def _sampled() -> str:
             LEFT JOIN heavy following ON following.c = h.c AND following.start = h.upto),
         sizes AS (SELECT c, any_value(k) AS k FROM cells GROUP BY c),
         d AS (SELECT {K}, pos, pos.tok,
-            CASE WHEN c_p > 0 AND {_uniform(1)} < {LAM} THEN pos.tok ELSE '' END AS c, {_uniform(2)} AS place, {_uniform(3)} AS choice
+            CASE WHEN c_p > 0 AND {_uniform("part")} < {LAM} THEN pos.tok ELSE '' END AS c, {_uniform("place")} AS place, {_uniform("choice")} AS choice
             FROM pos LEFT JOIN ctx ON ctx.prev = pos.tok),
         found AS (SELECT {K}, d.tok, CASE WHEN choice < share THEN own ELSE other END AS drawn
             FROM d JOIN sizes ON sizes.c = d.c JOIN cells ON cells.c = d.c AND cells.cell = CAST(floor(d.place * sizes.k) AS BIGINT)),

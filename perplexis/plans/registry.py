@@ -211,6 +211,11 @@ class Tables:
 _tables: dict[tuple[str, str], Tables] = {}
 
 
+def forget() -> None:
+    """Drops what was built of all folders, for data that have changed."""
+    _tables.clear()
+
+
 def tables(spark: SparkSession, folder: str) -> Tables:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _tables:

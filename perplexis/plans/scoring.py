@@ -19,7 +19,7 @@ from perplexis.operators.tokens import tokenize
 from perplexis.plans.providers import Provider, TrainedModels
 from perplexis.sources import files
 from perplexis.sources.files import FILE_KEYS
-from perplexis.sources.workspace import stored
+from perplexis.sources.workspace import cleared, new_path, stored
 
 
 def score_texts(texts: DataFrame, keys: Sequence[str], models: Contexts | Provider, text: str = "text",
@@ -156,7 +156,8 @@ class Scorer:
             listed = [f for f in listed if f.path in fresh]
         counts = None
         if listed:
-            counts = self._score_listed(listed, home, text, limit)
+            with cleared(self.spark):
+                counts = self._score_listed(listed, home, text, limit)
             table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
             files.enter_in_ledger(table.join(counts[0], "path"), home)
         return Written(self.spark, [f.output for f in listed], self._summary(counts))
@@ -182,7 +183,8 @@ class Scorer:
         rows = rows.withColumn("n_rows", F.least("n_rows", F.lit(limit)) if limit else F.col("n_rows"))
         known = self.spark.createDataFrame([(p,) for p in paths], "path string")
         counts = known.join(rows, "path", "left").join(good, "path", "left").na.fill(0, ["n_rows", "n_good"])
-        return counts.withColumn("n_null", F.col("n_rows") - F.col("n_good")), staged
+        counts = counts.withColumn("n_null", F.col("n_rows") - F.col("n_good"))
+        return stored(counts, "counts", new_path(self.spark, "counts")), staged
 
     def _summary(self, counts: tuple[DataFrame, files.Staged] | None) -> DataFrame:
         shape = "path string, is_total int, n_files long, n_rows long, n_good long, n_null long"
@@ -211,19 +213,23 @@ class Scorer:
             raise ValueError("The folder holds no Parquet file.")
         scored = files.read_texts(self.spark, [f.path for f in listed])
         gaps = find_missing(scored, text)
-        report = stored(missing_report(scored, text), "missing_report")
-        if dry_run or report.where("n_scoreable > 0").isEmpty():
-            return report
+        report = stored(missing_report(scored, text), "missing_report", new_path(self.spark, "missing_report"))
+        if not dry_run and not report.where("n_scoreable > 0").isEmpty():
+            with cleared(self.spark):
+                self._fill(gaps, listed, home, text)
+        return report
+
+    def _fill(self, gaps: DataFrame, listed: list[files.Input], home: str, text: str) -> None:
         values = self._file_values(gaps.where("scoreable"), text)
         touched = {r.file for r in values.select("file").distinct().toLocalIterator()}
-        if touched:
-            def filled(rows: DataFrame) -> DataFrame:
-                fill = is_missing("score") & F.col("_value").isNotNull()
-                return rows.withColumn("score", F.when(fill, F.col("_value")).otherwise(F.col("score"))).drop("_value")
 
-            again = [f._replace(output=f.path) for f in listed if f.path in touched]
+        def filled(rows: DataFrame) -> DataFrame:
+            fill = is_missing("score") & F.col("_value").isNotNull()
+            return rows.withColumn("score", F.when(fill, F.col("_value")).otherwise(F.col("score"))).drop("_value")
+
+        again = [f._replace(output=f.path) for f in listed if f.path in touched]
+        if again:
             files.put_in_place(self.spark, home, files.stage(self.spark, home, again, values, filled))
-        return report
 
 
 def _home(inputs: Sequence[str]) -> str:

@@ -136,9 +136,9 @@ def read_samples(spark: SparkSession, path: str, schema: str | StructType | None
 def waves(sizes: Sequence[tuple[str, int]], most: int) -> list[list[str]]:
     """Files in groups of at most ``most`` rows, or of one file."""
     out: list[list[str]] = []
-    rows = most
+    rows = 0
     for path, n in sizes:
-        if rows + n > most:
+        if not out or rows + n > most:
             out.append([])
             rows = 0
         out[-1].append(path)
@@ -177,13 +177,14 @@ def with_values(texts: DataFrame, values: DataFrame, gathered: bool) -> DataFram
 
 
 def stage(spark: SparkSession, folder: str, inputs: Sequence[Input], values: DataFrame,
-          merge: Callable[[DataFrame], DataFrame], limit: int = 0, most: int = WAVE_ROWS) -> Staged:
+          merge: Callable[[DataFrame], DataFrame], limit: int = 0, most: int | None = None) -> Staged:
     """Writes each input, as ``merge`` makes it out of its rows and ``_value``, as one part in ``folder``.
 
     ``values`` are ``file, row_id, value``. Files go in waves of up to ``most``
-    rows, whose values are few enough to be broadcast to where the texts are read:
+    rows (``WAVE_ROWS``), whose values are few enough to be broadcast to where the texts are read:
     no text is shuffled. A file of more rows is gathered by its one writer.
     """
+    most = most or WAVE_ROWS
     session = _whole_files(spark, max(f.length for f in inputs))
     staging = staging_path(folder)
     outputs = {f.path: f.output for f in inputs}

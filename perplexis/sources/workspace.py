@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_open: ContextVar[list[str] | None] = ContextVar("open", default=None)
 
 
 def workspace(spark: SparkSession) -> str:
@@ -36,12 +40,33 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """``df`` written as Parquet and read back."""
-    path = path or new_path(df.sparkSession, name)
+    """``df`` written as Parquet and read back; within ``cleared`` until that ends, unless it has a path of its own."""
+    passing = _open.get()
+    if path is None:
+        path = new_path(df.sparkSession, name)
+        if passing is not None:
+            passing.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what is stored within, but for tables stored under a path given to them.
+
+    Nothing that is read later may depend on the others.
+    """
+    paths: list[str] = []
+    token = _open.set(paths)
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 # Inputs up to this size are dealt out over all cores before work begins.
 SMALL_BYTES = 256 << 20
 

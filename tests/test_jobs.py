@@ -5,6 +5,7 @@ import os
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,10 +68,14 @@ def listing(folder):
 def lose_scores(spark, folder, lost):
     """Sets scores in place: ``lost`` maps ids to what they become."""
     for name in listing(folder):
-        table = pd.read_parquet(f"{folder}/{name}")
-        if set(lost) & set(table.id):
-            table["score"] = [lost.get(i, s) for i, s in zip(table.id, table.score, strict=True)]
-            table.to_parquet(f"{folder}/{name}", index=False)
+        table = pq.read_table(f"{folder}/{name}")
+        ids = table["id"].to_pylist()
+        if set(lost) & set(ids):
+            scores = [lost.get(i, s) for i, s in zip(ids, table["score"].to_pylist(), strict=True)]
+            table = table.set_column(table.schema.get_field_index("score"), "score", pa.array(scores, pa.float64()))
+            pq.write_table(table, f"{folder}/{name}")
+            if os.path.exists(f"{folder}/.{name}.crc"):
+                os.remove(f"{folder}/.{name}.crc")
 
 
 def test_score_files_and_fill_gaps(spark, scorer, folder, tmp_path):
@@ -136,9 +141,9 @@ def test_files_of_odd_names_and_none_rows(spark, scorer, tmp_path):
     place = tmp_path / ("d" * 200) / "a b%20c=ü+#" / ("e" * 90)
     os.makedirs(place)
     pd.DataFrame({"id": [1, 2], "text": [sentence(1), sentence(2)]}).to_parquet(place / "é f%.parquet", index=False)
-    pd.DataFrame({"id": pd.Series([], dtype="int64"), "text": pd.Series([], dtype="str")}).to_parquet(place / "none.parquet", index=False)
+    pq.write_table(pa.table({"id": pa.array([], pa.int64()), "text": pa.array([], pa.string())}), place / "none.parquet")
     written = scorer.score_files([str(place)])
-    assert sorted(os.listdir(place)) == sorted([committer.WORK_FOLDER, "none.parquet", "none_scored.parquet", "é f%.parquet", "é f%_scored.parquet"])
+    assert sorted(n for n in os.listdir(place) if n[0] != ".") == sorted([committer.WORK_FOLDER, "none.parquet", "none_scored.parquet", "é f%.parquet", "é f%_scored.parquet"])
     assert pd.read_parquet(place / "none_scored.parquet").columns.tolist() == ["id", "text", "score"]
     assert [r.score for r in written.table.orderBy("id").collect()] == pytest.approx(scorer.score_literal([sentence(1), sentence(2)]))
 
@@ -392,3 +397,14 @@ def test_null_conditions_and_null_order_lose_no_row(spark):
     assert tuple(counted) == (2, 4)
     rows = spark.createDataFrame([(1, "x"), (None, "x"), (2, None)], "k long, g string")
     assert sorted(r.row_number for r in row_numbers(rows, ["k"], ["g"]).collect()) == [1, 1, 2]
+
+
+def test_tables_of_a_finished_job_are_cleared(spark, tmp_path):
+    from perplexis.sources.workspace import cleared, stored
+
+    with cleared(spark):
+        inner = stored(spark.range(3), "passing").inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        kept = stored(spark.range(4), "kept", str(tmp_path / "kept"))
+        assert os.path.exists(inner)
+    assert not os.path.exists(inner) and kept.count() == 4
+    assert stored(spark.range(5), "outside").count() == 5
