@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Keys with more rows than this are split.
-ROW_TARGET = 1 << 20
+ROW_TARGET = 1 << 22
 # The list of such keys is broadcast, as 64-bit hashes: it has fewer than this
 # many rows of 12 bytes, since beyond it the target rises with the data.
 HOT_KEYS = 1 << 17

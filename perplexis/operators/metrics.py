@@ -12,15 +12,18 @@ from perplexis.operators.model import Contexts
 from perplexis.operators.tokens import END
 from perplexis.sources.workspace import stored
 
-# Token pairs with more than 1/HOT_PAIRS of all positions, and of bounded
-# length, are looked up by broadcast: fewer than HOT_PAIRS rows of less than
-# 4 * HOT_PAIR_CHARS bytes of text, so 30 MB at the very most.
+# Token pairs with more than 1/HOT_PAIRS of all positions are looked up by
+# broadcast: fewer than HOT_PAIRS rows of three numbers.
 HOT_PAIRS = 1 << 16
-HOT_PAIR_CHARS = 96
+
+
+def pair_key(seed: int | Column) -> Column:
+    """A pair of tokens as one number, however long they are."""
+    return F.xxhash64(F.lit(seed) if isinstance(seed, int) else seed, "tok", "next")
 
 
 def pair_metrics(positions: DataFrame, contexts: Contexts, path: str | None = None) -> DataFrame:
-    """``tok, next, n, nll, h`` for each distinct pair of ``positions``, stored.
+    """``tok, next, pair, seed, n, nll, h`` for each distinct pair of ``positions``, stored.
 
     The texts are reduced to distinct pairs (combined before the shuffle), and
     only those meet the dictionary, then the model by ids. Pairs, contexts and
@@ -52,35 +55,42 @@ def trained_pair_metrics(contexts: Contexts, path: str | None = None) -> DataFra
 def _valued(pairs: DataFrame, contexts: Contexts, path: str | None) -> DataFrame:
     log_z = F.coalesce("log_z", F.lit(contexts.unseen_log_z))
     nll = -(F.ln("prob_q") / contexts.temperature - log_z)
-    return stored(
-        pairs.select(
-            F.col("prev").alias("tok"), "next", "n",
-            F.when(F.col("next") != END, nll).alias("nll"),
-            F.coalesce("h", F.lit(contexts.unseen_h)).alias("h"),
-        ),
-        "pair_metrics", path,
+    values = pairs.select(
+        F.col("prev").alias("tok"), "next", "n",
+        F.when(F.col("next") != END, nll).alias("nll"),
+        F.coalesce("h", F.lit(contexts.unseen_h)).alias("h"),
     )
+    seed = 0
+    while True:
+        named = values.withColumns({"pair": pair_key(seed), "seed": F.lit(seed)})
+        out = stored(named, "pair_metrics", path)
+        # No two pairs of the table may share a number. It nearly always holds at once.
+        if out.groupBy("pair").agg(F.count("*").alias("pairs")).where("pairs > 1").isEmpty():
+            return out
+        seed, path = seed + 1, path and f"{path}-{seed + 1}"
 
 
 def token_metrics(positions: DataFrame, metrics: DataFrame, keys: Sequence[str],
                   hot_pairs: int = HOT_PAIRS, target: int = ROW_TARGET) -> DataFrame:
     """``keys, pos, tok, nll, h``; ``nll`` is null at the last position.
 
-    Frequent pairs never shuffle: their values are broadcast, and a following
-    aggregate per text combines them where the text is read. The rest meets
-    ``metrics`` in a shuffled join, in which pairs of more than ``target``
-    positions (long ones, which aren't broadcast) are split. A pair without
-    values fails the query rather than losing its position.
+    Positions meet the values by the number of their pair, which no two pairs
+    of ``metrics`` share. Frequent pairs never shuffle: their values are broadcast,
+    and a following aggregate per text combines them where the text is read. The
+    rest goes through a shuffled join, in which pairs of more than ``target``
+    positions are split. A pair without values fails the query rather than losing
+    its position.
     """
+    first = metrics.select("seed").first()
     total = metrics.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    is_hot = (F.col("n") > total / hot_pairs) & (F.length("tok") + F.length("next") <= HOT_PAIR_CHARS)
-    values = metrics.select("tok", "next", "n", "nll", "h", is_hot.alias("_hot_pair"))
-    hot = values.where("_hot_pair").select("tok", "next", "nll", "h")
-    cold = values.where("NOT _hot_pair").drop("_hot_pair")
-    frequent = positions.join(F.broadcast(hot), ["tok", "next"])
-    others = positions.join(F.broadcast(hot.select("tok", "next")), ["tok", "next"], "left_anti")
-    split = hot_keys(cold, ["tok", "next"], "n", total, target)
-    rare = salted_lookup(others, cold.drop("n"), ["tok", "next"], split)
+    numbered = positions.withColumn("pair", pair_key(first.seed if first else 0))
+    is_hot = F.col("n") > total / hot_pairs
+    values = metrics.select("pair", "n", "nll", "h")
+    hot = values.where(is_hot).drop("n")
+    cold = values.where(~is_hot)
+    frequent = numbered.join(F.broadcast(hot), "pair")
+    others = numbered.join(F.broadcast(hot.select("pair")), "pair", "left_anti")
+    rare = salted_lookup(others, cold.drop("n"), "pair", hot_keys(cold, "pair", "n", total, target))
     rare = rare.withColumn("h", F.coalesce("h", F.raise_error(F.lit("token pair without values"))))
     return frequent.unionByName(rare).select(*keys, "pos", "tok", "nll", "h")
 

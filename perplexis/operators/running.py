@@ -66,7 +66,11 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Mapping[str, Col
 
     ``by`` restarts the totals. Hand in a stored table of the columns that count.
     """
-    ranged, ranges = with_ranges(df, order, by, rows)
+    if df.count() <= rows:
+        # One range: nothing to be dealt, or to go on from.
+        ranged, ranges = df.withColumn("range_id", F.lit(0)), 1
+    else:
+        ranged, ranges = with_ranges(df, order, by, rows)
     within = Window.partitionBy(*by, "range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = ranged.select("*", *[F.sum(v).over(within).alias(n) for n, v in values.items()])
     if ranges == 1:

@@ -299,10 +299,23 @@ def test_long_hot_pairs_and_words_are_split(spark):
     whole = {r.doc_id: r for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"]), ["doc_id"]).collect()}
     for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"], target=20), ["doc_id"]).collect():
         assert (r.n_tokens, r.score) == pytest.approx((whole[r.doc_id].n_tokens, whole[r.doc_id].score))
-    counts = pairs.select("tok", "next", "n")
-    split = hot_keys(counts, ["tok", "next"], "n", 700, 20)
     # 590 positions are followed by the long word itself.
+    split = hot_keys(pairs, "pair", "n", 700, 20)
     assert [r.salts for r in split.collect()] == [30]
+    # A pair of any length may be broadcast: it is a number.
+    assert pairs.where("n > 500 AND length(tok) = 2000 AND length(next) = 2000").count() == 1
+
+
+def test_pairs_that_share_a_number_get_another(spark, model, rows, monkeypatch):
+    original = M.pair_key
+    monkeypatch.setattr(M, "pair_key", lambda seed: F.lit(5).cast("long") if isinstance(seed, int) and seed < 2 else original(seed))
+    contexts = L.train_contexts(model)
+    pairs = M.trained_pair_metrics(contexts)
+    assert [r.seed for r in pairs.select("seed").distinct().collect()] == [2]
+    positions = K.token_pairs(as_table(spark, rows), "doc_id")
+    scores = {r.doc_id: r.score for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"]), ["doc_id"]).collect()}
+    for _, i, text in rows:
+        assert scores[i] == pytest.approx(dense(rows).score(text), nan_ok=True)
 
 
 def test_ids(spark, rows, model):
