@@ -80,6 +80,11 @@ def byte_spans(texts, length):
 
 def word_spans(rows, k):
     """``(n_words, n_removed, sha256)`` of each ``(doc_id, text)``; null ids are the largest."""
+    return [(n, gone, hashlib.sha256(kept).hexdigest()) for n, gone, kept in cut_words(rows, k)]
+
+
+def cut_words(rows, k):
+    """``(n_words, n_removed, kept words)`` of each ``(doc_id, text)``."""
     order = lambda i: math.inf if i is None else i
     first: dict = {}
     for i, t in rows:
@@ -95,7 +100,7 @@ def word_spans(rows, k):
             if first[tuple(w[j : j + k])] < order(i):
                 gone[j : j + k] = [True] * k
         kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
-        out.append((len(w), sum(gone), hashlib.sha256(kept).hexdigest()))
+        out.append((len(w), sum(gone), kept))
     return out
 
 
@@ -104,8 +109,8 @@ def shingles(text, n=5):
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def components(rows, percent=75):
-    """``(n_shingles, component)`` of each ``(doc_id, text)``; rows of equal set are one node."""
+def groups(rows, percent=75):
+    """A number for each ``(doc_id, text)``, equal for rows that links connect; rows without words have none."""
     sets = [frozenset(shingles(t)) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -119,11 +124,19 @@ def components(rows, percent=75):
             both = len(sets[a] & sets[b])
             if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 parent[find(a)] = find(b)
+    return [find(a) if s else None for a, s in enumerate(sets)]
+
+
+def components(rows, percent=75):
+    """``(n_shingles, component)`` of each ``(doc_id, text)``; rows of equal set are one node."""
     least: dict = {}
-    for a, (i, _) in enumerate(rows):
-        if i is not None:
-            least[find(a)] = min(least.get(find(a), math.inf), i)
-    return [(len(s), least.get(find(a)) if s else rows[a][0]) for a, s in enumerate(sets)]
+    found = groups(rows, percent)
+    for group, (i, _) in zip(found, rows, strict=True):
+        if i is not None and group is not None:
+            least[group] = min(least.get(group, math.inf), i)
+    return [
+        (len(shingles(t)), i if group is None else least.get(group)) for group, (i, t) in zip(found, rows, strict=True)
+    ]
 
 
 def in_fold(doc_id, divisor):

@@ -1,5 +1,6 @@
 """Top-k against brute force, all queries against their SQL, and the pipeline."""
 
+import math
 import os
 import random
 from collections import Counter
@@ -7,9 +8,10 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from perplexis.llm import mixing, packing, queries, topk
+from perplexis.llm import jaccard, mixing, packing, quality, queries, topk
 from tests.llm import brute
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -64,6 +66,22 @@ def test_query_equals_sql(spark, duck, name):
     assert comparable(ours) == comparable(theirs)
 
 
+def bigram_score(training, held):
+    """Sum of log10 of ``(c(p, x) + 5 q(x)) / (c(p) + 5)``, where q is the smoothed share of a token."""
+    tokens = lambda text: [None, *brute.words(text, lower=True), b""]
+    single, pairs, first = Counter(), Counter(), Counter()
+    for _, text in training:
+        w = tokens(text)
+        single.update(w[1:])
+        pairs.update(zip(w, w[1:], strict=False))
+        first.update(w[:-1])
+    n = sum(single.values()) + len(single) + 1
+    return sum(
+        math.log10((pairs[p, x] + 5 * (single[x] + 1) / n) / (first[p] + 5))
+        for text in held for p, x in zip(tokens(text), tokens(text)[1:], strict=False)
+    )
+
+
 def test_queries_by_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in queries.table(spark, FOLDER, "documents").collect()]
     got = queries.op4_suffix_dedup(spark, FOLDER).collect()
@@ -75,6 +93,8 @@ def test_queries_by_brute_force(spark):
     assert all(r.held_out == (brute.in_fold(r.doc_id, 7) == 2) for r in scores) and len(scores) == len(docs)
     held = [r for r in scores if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    # Better than counts of pairs, smoothed by those of single tokens.
+    assert sum(r.score for r in held) > bigram_score([(i, t) for i, t in docs if brute.in_fold(i, 7) != 2], [t for i, t in docs if brute.in_fold(i, 7) == 2])
 
 
 def stage(spark, name, rows):
@@ -82,27 +102,76 @@ def stage(spark, name, rows):
 
 
 def test_stages_one_by_one(spark):
+    """Rows that each stage keeps, and what it makes of them, one by one."""
     rows = brute.odd_texts()
+    pairs = [(i, t) for i, t, _ in rows]
     docs = brute.documents(spark, rows)
+    texts = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+
     kept = stage(spark, "quality rules", rows)
+    judged = quality.judge(docs, "doc_id", "text", quality.learn(docs, "doc_id", "text", spark.read.parquet(f"{FOLDER}/labels.parquet")))
     assert kept.columns == docs.columns and 0 < kept.count() < len(rows)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in judged.where("kept").collect())
+
+    # One row of each group stays for the group's least id; rows without words or id are no group's.
     one = stage(spark, "n-gram Jaccard join", rows)
-    named = dict(zip(rows, brute.components([(i, t) for i, t, _ in rows]), strict=True))
     assert one.columns == docs.columns
-    left = one.collect()
-    assert sorted(r.doc_id for r in left if r.doc_id is not None) == sorted({i for (i, _, _), (_, c) in named.items() if i is not None and i == c})
-    assert sum(r.doc_id is None for r in left) == 2
+    names = [c for _, c in brute.components(pairs)]
+    stay = {(i, g) for (i, _), g, name in zip(pairs, brute.groups(pairs), names, strict=True) if i is not None and i == name}
+    assert Counter(r.doc_id for r in one.collect()) == Counter([i for i, _ in stay] + [None] * sum(i is None for i, _ in pairs))
+    assert set(texts(one)) <= set(pairs)
+
     cut = stage(spark, "substring dedup", rows)
-    assert cut.columns == docs.columns and cut.count() == len(rows)
-    untouched = {(i, t) for (i, t, _), (_, n, _) in zip(rows, brute.word_spans([(i, t) for i, t, _ in rows], 13), strict=True) if not n}
-    assert {(r.doc_id, r.text) for r in cut.collect()} >= untouched
+    assert cut.columns == docs.columns
+    assert texts(cut) == Counter(
+        (i, kept.decode() if gone else t) for (i, t), (_, gone, kept) in zip(pairs, brute.cut_words(pairs, 13), strict=True)
+    )
+
     mixed = stage(spark, "mixing sources to target weights", rows)
-    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= {i for i, _, _ in rows}
-    assert stage(spark, "best-fit packing", rows).count() >= len(rows)
+    assert mixed.columns == docs.columns
+    taken, size = Counter(), Counter()
+    for r in mixing.mix(docs, "doc_id", "text", "source").collect():
+        taken[r.doc_id] += r.taken
+        size[r.doc_id] += r["size"]
+    times = {i: round(taken[i] / size[i]) if size[i] else 1 for i in size}
+    assert texts(mixed) == Counter({k: n * times[k[0]] for k, n in Counter(pairs).items() if times[k[0]]})
+
+    placed = stage(spark, "best-fit packing", rows).collect()
+    encoder = packing.Encoder()
+    assert sum(r.length for r in placed) == sum(len(encoder.ids(t or "")) // 4 + 1 for _, t in pairs)
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, docs.where("false"), FOLDER).isEmpty(), name
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the stages use inside are a table's own as well."""
+    odd = ["_place", "_node", "_named", "_group", "_id", "_time", "_times", "place", "node", "group", "group_id", "group_node", "row", "times", "time", "mixed_id", "tag", "end", "size", "words", "block"]
+    docs = brute.documents(spark).select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(i).alias(c) for i, c in enumerate(odd)])
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        left = function(spark, docs, FOLDER)
+        assert left.columns == docs.columns, name
+        rows = left.collect()
+        assert rows and all(r[c] == i for r in rows for i, c in enumerate(odd)), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() >= docs.count()
+
+
+def test_rows_of_one_id_give_their_class_once(spark):
+    """A third of all rows under one id: each class is computed from the rows of its own text."""
+    rng = random.Random(2)
+    texts = [brute.prose(rng, 40) for _ in range(60)]
+    rows = [(5, t, "s") for t in texts] + [(100 + i, t + " end", "s") for i, t in enumerate(texts)] + [(300 + i, t, "s") for i, t in enumerate(texts)]
+    df = brute.documents(spark, rows)
+    docs = jaccard.stored(jaccard.classes_of(df, "doc_id", "text", 5), "sets")
+    first = F.min(F.struct("id", "tag"))
+    wanted = docs.groupBy("node").agg(first.alias("first")).select("node", "first.id", "first.tag")
+    full = jaccard.full_sets(df, "doc_id", "text", wanted, 5)
+    assert full.count() == docs.select("node").distinct().count() == 120
+    got = jaccard.join(df, "doc_id", "text").collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(
+        (i, *e) for (i, _, _), e in zip(rows, brute.components([(i, t) for i, t, _ in rows]), strict=True)
+    )
+
+
 def test_pipeline(spark):
     got = corpus_pipeline.run(spark, FOLDER).toPandas()
     assert len(got) and (got.groupby("sequence_id").length.sum() <= packing.LENGTH).all()
@@ -126,8 +195,8 @@ def test_small_sources_meet_their_targets(spark, monkeypatch):
     """One large source and small ones, in blocks larger than these."""
     sizes = {"a": [500] * 40, "b": [3, 4], "c": [40] * 3, None: [7]}
     rows = [(1000 * n + i, "w " * size, s) for n, (s, all_) in enumerate(sizes.items()) for i, size in enumerate(all_)]
-    monkeypatch.setattr(mixing, "SLOTS", 64)
-    got = mixing.mix_exactly(brute.documents(spark, rows), "doc_id", "text", "source").collect()
+    monkeypatch.setattr(mixing, "BLOCKS", 64)
+    got = mixing.mix(brute.documents(spark, rows), "doc_id", "text", "source").collect()
     taken = Counter()
     for r in got:
         taken[r.source] += r.taken
