@@ -1,20 +1,21 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Every source has a weight; targets share out all words by weight, a target
-stopping at ``most`` times its source's size with the excess reshared. The
-schedule is a row of slots of equal size. Slot i takes the point
-``frac(i * golden ratio)`` and falls to the source whose stretch of cumulative
-targets holds the point; the slots of a source are ranked. A source's documents
-stand in shuffled order (by hash of the key) on one line of words, cut into
-blocks of one slot's size. The source's slot of rank r takes block
-``r mod blocks``, in pass ``r div blocks``; passes beyond ``most`` are not taken.
-
-The number of slots is a parameter, and a slot's size follows the corpus, so
-that in ``mix`` a source may miss its target by some blocks of that size: little
-of the corpus, but all of a source smaller than that. ``mix_exactly`` gives each
-source as many slots of one word as its target has. Positions on a source's line
-come from sums over 4,096 ranges of the hash, then within each range: no source
-is ordered in one task. Points meet sources by an equality join on cells.
+stopping at ``most`` times its source's size with the excess reshared. A source's
+documents stand in shuffled order (by hash of the key) on one line of words, cut
+into ``BLOCKS`` blocks of equal words, so that a block's size follows its source.
+The source has as many slots as its target, rounded to a word, takes of them:
+the slot of rank r takes block ``r mod blocks``, in pass ``r div blocks``, and the
+last one only the words that are left. So each source meets its target to a word,
+however small it is beside the others.
+
+The schedule orders the slots of all sources. Point i, ``frac(i * golden ratio)``,
+falls to the source whose stretch of the cumulative slots holds it; the points of
+a source are ranked, and a slot stands at the point of its rank. Points evenly
+cover every stretch, so that all sources last until the end.
+
+Positions on a source's line come from a two-level scan in the order of the hash:
+no source is ordered in one task. Points meet sources by an equality join on cells.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; null
 sources are one source, last in order; repeated rows stand side by side and
@@ -27,17 +28,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perplexis.llm import columns
-from perplexis.llm.sharding import ADDRESS_BITS, address
+from perplexis.llm.sharding import address
+from perplexis.operators.running import running_totals
 from perplexis.sources.workspace import stored
 
-SLOTS = 1 << 18
+BLOCKS = 4096
 MOST = 3
 WEIGHTS = (1, 2, 3)
-RANGE_BITS = 12
 CELLS = 1024
 GOLDEN = 0.6180339887498949
 
@@ -98,23 +99,24 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
 
 def lines(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """``(targets, places)``: every row with its stretch ``[start, start + size)`` of its source's line."""
-    rows = rows.withColumn("at", address(F.col("key"))).withColumn(
-        "range", F.expr(f"shiftright(at, {ADDRESS_BITS - RANGE_BITS})")
-    )
-    ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    """``(goals, places)``: targets, and every row with its stretch ``[start, start + size)`` of its source's line."""
     goals = stored(
-        targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, most), "targets"
+        targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets"
     )
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("before", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
-    known = _same(ranges, goals, ["source"])
-    placed = _same(rows, known, ["source", "range"])
-    within = Window.partitionBy("source", "range").orderBy("at", "key", "size")
-    so_far = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return goals, placed.withColumn("start", F.col("before") + so_far - F.col("size")).withColumn(
-        "number", F.row_number().over(within)
+    ordered = running_totals(rows.withColumn("at", address(F.col("key"))), ["at", "key", "size"], {"end": F.col("size")}, ["source"])
+    places = _same(ordered, slots_of(goals), ["source"]).withColumn("start", F.col("end") - F.col("size"))
+    return goals, places.drop("end", "range_id", "at")
+
+
+def slots_of(goals: DataFrame) -> DataFrame:
+    """``goals`` with ``words`` (to be taken), ``block`` (words in one), ``n_blocks``, ``passes``, ``rest`` (words of the last) and ``slots``."""
+    sized = goals.withColumn("words", F.round("target").cast("long")).withColumn(
+        "block", F.greatest(F.lit(1), F.expr(f"CAST(ceil(source_size / {BLOCKS}) AS BIGINT)"))
     )
+    sized = sized.withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("block")).cast("long"))
+    passes = F.expr("CASE WHEN source_size > 0 THEN words DIV source_size ELSE 0 END")
+    sized = sized.withColumn("passes", passes).withColumn("rest", F.col("words") - F.col("passes") * F.col("source_size"))
+    return sized.withColumn("slots", (F.col("passes") * F.col("n_blocks") + F.ceil(F.col("rest") / F.col("block"))).cast("long"))
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -124,76 +126,52 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right, condition).drop(*(f"_{k}" for k in keys))
 
 
-def schedule(goals: DataFrame, n_slots: int, block: int, most: int = MOST) -> DataFrame:
-    """``slot, source, rank, pass, block``: which block of which source each slot takes."""
-    slots = goals.sparkSession.range(n_slots).select(
+def schedule(sized: DataFrame) -> DataFrame:
+    """``slot, source, rank, pass, block``: which block of which source stands at which point.
+
+    ``sized`` are the rows of ``slots_of``. There are twice as many points as
+    slots; a source with so few slots that no point falls to one has none for it.
+    """
+    line = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy()
+    placed = sized.where("slots > 0").withColumn("_end", F.sum("slots").over(line)).withColumn("_all", F.sum("slots").over(everything))
+    stretches = placed.select(
+        "source", "slots", "n_blocks", ((F.col("_end") - F.col("slots")) / F.col("_all")).alias("low"),
+        (F.col("_end") / F.col("_all")).alias("high"),
+    )
+    n_slots = sized.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    points = sized.sparkSession.range(2 * n_slots).select(
         F.col("id").alias("slot"), (F.col("id") * GOLDEN - F.floor(F.col("id") * GOLDEN)).alias("point")
     ).withColumn("cell", F.floor(F.col("point") * CELLS))
-    cells = goals.where("high > low").withColumn("cell", F.explode(F.sequence(
+    cells = stretches.withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1))
     )))
-    taken = slots.join(cells, "cell").where("point >= low AND point < high")
+    taken = points.join(cells, "cell").where("point >= low AND point < high")
     rank = F.row_number().over(Window.partitionBy("source").orderBy("slot")) - 1
-    n_blocks = F.ceil(F.col("source_size") / block)
-    return taken.withColumn("rank", rank).where(F.col("rank") < n_blocks * most).select(
-        "slot", "source", "rank", F.floor(F.col("rank") / n_blocks).alias("pass"),
-        (F.col("rank") % n_blocks).alias("block"),
+    return taken.withColumn("rank", rank).where(F.col("rank") < F.col("slots")).select(
+        "slot", "source", F.col("rank").cast("long").alias("rank"), F.expr("rank DIV n_blocks").alias("pass"),
+        (F.col("rank") % F.col("n_blocks")).cast("long").alias("block"),
     )
 
 
-def block_size(goals: DataFrame, n_slots: int = SLOTS) -> tuple[int, int]:
-    """``(words in a block, slots)`` for the whole corpus in about ``n_slots`` slots."""
-    total = goals.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, -(-total // n_slots))
-    return block, -(-total // block)
-
-
 def mix(
-    df: DataFrame, key: str, text: str, source: str, n_slots: int = SLOTS,
-    weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
-) -> DataFrame:
-    """``key, size, source, source_size, target, taken`` for every row."""
-    goals, placed = lines(stored(sizes(df, key, text, source), "sizes"), weights, most)
-    block, slots = block_size(goals, n_slots)
-    times = schedule(goals, slots, block, most).groupBy("source", "block").agg(F.count("*").alias("times"))
-    placed = stored(placed, "places")
-    last = F.floor((F.col("start") + F.col("size") - 1) / block)
-    parts = placed.where("size > 0").withColumn(
-        "block", F.explode(F.sequence(F.floor(F.col("start") / block), last))
-    ).select("source", "range", "number", "block", _overlap(block).alias("words"))
-    row = ["source", "range", "number"]
-    taken = _same(parts, times, ["source", "block"]).groupBy(*row).agg(
-        F.sum(F.col("words") * F.col("times")).alias("taken")
-    )
-    renamed = taken.withColumnsRenamed({c: f"_{c}" for c in row})
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in row]
-    return placed.join(renamed, same, "left").select(
-        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-    )
-
-
-def mix_exactly(
     df: DataFrame, key: str, text: str, source: str,
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
 ) -> DataFrame:
-    """As ``mix``, with every source taken to its target, rounded to a word.
+    """``key, size, source, source_size, target, taken, first_slot`` for every row.
 
-    A source's slots are of one word, as many as its target has, and so are
-    its blocks: slot of rank r takes word ``r mod source_size`` of its line.
-    Only the order among sources would need the points, which no row shows.
+    ``first_slot`` is where the schedule first takes words of the row, -1 if nowhere.
     """
-    _, placed = lines(stored(sizes(df, key, text, source), "sizes"), weights, most)
-    slots = F.round("target").cast("long")
-    passes = F.expr("CASE WHEN source_size > 0 THEN slots DIV source_size ELSE 0 END")
-    rest = F.col("slots") - F.col("passes") * F.col("source_size")
-    part = F.least(F.greatest(rest - F.col("start"), F.lit(0)), F.col("size"))
-    return placed.withColumn("slots", slots).withColumn("passes", passes).select(
-        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target",
-        (F.col("passes") * F.col("size") + part).cast("long").alias("taken"),
+    goals, places = lines(stored(sizes(df, key, text, source), "sizes"), weights, most)
+    first = schedule(slots_of(goals)).where("pass = 0").select("source", F.col("block").alias("first_block"), F.col("slot").alias("first_slot"))
+    part = F.least(F.greatest(F.col("rest") - F.col("start"), F.lit(0)), F.col("size"))
+    taken = (F.col("passes") * F.col("size") + part).cast("long")
+    rows = places.withColumn("taken", taken).withColumn("first_block", F.when(F.col("taken") > 0, F.expr("start DIV block")))
+    met = rows.join(
+        first.withColumnsRenamed({"source": "_source", "first_block": "_block"}),
+        F.col("source").eqNullSafe(F.col("_source")) & (F.col("first_block") == F.col("_block")), "left",
+    )
+    return met.select(
+        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target", "taken",
+        F.coalesce("first_slot", F.lit(-1)).alias("first_slot"),
     )
-
-
-def _overlap(block: int) -> Column:
-    start, end = F.col("block") * block, F.col("block") * block + block
-    return F.least(end, F.col("start") + F.col("size")) - F.greatest(start, F.col("start"))

@@ -166,36 +166,36 @@ ORACLE: dict[str, str] = {
         ), t AS (
             SELECT source, source_size, place, CASE WHEN capped THEN ({mixing.MOST} * source_size)::DOUBLE
                 ELSE weight * coalesce((SELECT arg_min(share, nth) FROM g WHERE NOT capped), 0) END AS target FROM g
-        ), e AS (
-            SELECT *, sum(target) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) / (SELECT sum(target) FROM t) AS high FROM t
         ), b AS (
-            SELECT source, source_size, target, coalesce(lag(high) OVER (ORDER BY place), 0) AS low,
-                CASE WHEN place = max(place) OVER () THEN 1 ELSE high END AS high,
-                greatest(1, CAST(ceil((SELECT sum(size) FROM d) / {mixing.SLOTS}) AS BIGINT)) AS block
-            FROM e
+            SELECT *, CAST(round(target) AS BIGINT) AS words,
+                greatest(1, CAST(ceil(source_size / {mixing.BLOCKS}) AS BIGINT)) AS block FROM t
+        ), n AS (
+            SELECT *, CAST(ceil(source_size / block) AS BIGINT) AS n_blocks,
+                CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS passes,
+                CASE WHEN source_size > 0 THEN words % source_size ELSE 0 END AS rest FROM b
+        ), k AS (
+            SELECT *, CAST(passes * n_blocks + ceil(rest / block) AS BIGINT) AS slots FROM n
+        ), e AS (
+            SELECT *, (sum(slots) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) - slots)::DOUBLE / sum(slots) OVER () AS low,
+                (sum(slots) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING))::DOUBLE / sum(slots) OVER () AS high
+            FROM k WHERE slots > 0
         ), points AS (
             SELECT i, i * {mixing.GOLDEN}::DOUBLE - floor(i * {mixing.GOLDEN}::DOUBLE) AS point
-            FROM range((SELECT CAST(ceil((SELECT sum(size) FROM d) / max(block)) AS BIGINT) FROM b)) x(i)
+            FROM range((SELECT CAST(2 * coalesce(sum(slots), 0) AS BIGINT) FROM k)) x(i)
         ), ranked AS (
-            SELECT b.source, b.block, ceil(source_size / block)::BIGINT AS n_blocks,
-                row_number() OVER (PARTITION BY b.source ORDER BY i) - 1 AS rank
-            FROM points JOIN b ON point >= low AND point < high
-        ), times AS (
-            SELECT source, rank % n_blocks AS nth, count(*) AS times FROM ranked
-            WHERE rank < {mixing.MOST} * n_blocks GROUP BY ALL
+            SELECT e.source, e.n_blocks, e.slots, i, row_number() OVER (PARTITION BY e.source ORDER BY i) - 1 AS rank
+            FROM points JOIN e ON point >= low AND point < high
+        ), first AS (
+            SELECT source, rank AS block, i AS first_slot FROM ranked WHERE rank < slots AND rank < n_blocks
         ), places AS (
-            SELECT d.*, source_size, target, block, (sum(size) OVER (
-                PARTITION BY d.source ORDER BY pos, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS first,
-                row_number() OVER () AS row
-            FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
-        ), parts AS (
-            SELECT row, source, first, size, block, unnest(range(first // block, (first + size - 1) // block + 1)) AS nth
-            FROM places WHERE size > 0
+            SELECT d.*, source_size, target, block, passes, rest, (sum(size) OVER (
+                PARTITION BY d.source ORDER BY pos, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS first
+            FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source
         ), taken AS (
-            SELECT row, sum(times * (least(first + size, parts.nth * block + block) - greatest(first, parts.nth * block)))::BIGINT AS taken
-            FROM parts JOIN times ON parts.source IS NOT DISTINCT FROM times.source AND parts.nth = times.nth GROUP BY row
+            SELECT *, (passes * size + least(greatest(rest - first, 0), size))::BIGINT AS taken FROM places
         )
-        SELECT doc_id, size, source, source_size, target, coalesce(taken, 0) AS taken FROM places LEFT JOIN taken USING (row)
+        SELECT doc_id, size, taken.source, source_size, target, taken, coalesce(first_slot, -1) AS first_slot
+        FROM taken LEFT JOIN first ON taken.source IS NOT DISTINCT FROM first.source AND taken > 0 AND taken.first // taken.block = first.block
     """,
     "op8_de_bruijn_dedup": f"""
         WITH d AS (
