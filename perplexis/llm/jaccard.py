@@ -157,19 +157,19 @@ def frequencies(hashes: np.ndarray) -> np.ndarray:
 
 
 def classes_of(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``id, n, node`` for every row; ``node`` names the shingle set."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    """``id, tag, n, node`` for every row; ``node`` names the shingle set, ``tag`` the text."""
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in columns.pieces(batch, "text"):
                 found = [(len(s), set_key(s)) for s in sets(part.column(1), shingle)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.binary())],
-                    names=["id", "n", "node"],
+                    [part.column(0), part.column(2), pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.binary())],
+                    names=["id", "tag", "n", "node"],
                 )
 
-    return rows.mapInArrow(run, "id long, n long, node binary")
+    return rows.mapInArrow(run, "id long, tag long, n long, node binary")
 
 
 def candidates(df: DataFrame, text: str, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -197,10 +197,10 @@ def candidates(df: DataFrame, text: str, classes: DataFrame, shingle: int, perce
 
 
 def full_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, n, hashes`` of the wanted classes, each computed again from one document."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    ids = wanted.select(F.col("id").alias("_id"), F.col("node").alias("_node"))
-    some = rows.join(ids, F.col("id").eqNullSafe(F.col("_id"))).select("_node", "text")
+    """``node, n, hashes`` of the wanted classes, each computed again from the rows of one id and text."""
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
+    ids = wanted.select(F.col("id").alias("_id"), F.col("tag").alias("_tag"), F.col("node").alias("_node"))
+    some = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag"))).select("_node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +212,7 @@ def full_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: in
                     [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)], names=["node", "n", "hashes"]
                 )
 
-    # Rows of equal id may give a class twice.
+    # Rows alike in id and text give a class as often.
     return some.mapInArrow(run, "node binary, n long, hashes binary").groupBy("node").agg(
         F.first("n").alias("n"), F.first("hashes").alias("hashes")
     )
@@ -382,7 +382,11 @@ def grouped(
     ``group`` tells components apart, also those of one name; null without words.
     """
     docs = stored(classes_of(df, key, text, shingle), "shingle-sets")
-    classes = docs.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("id").alias("id"))
+    # The least id, and one text of it; null only where all are.
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tag"))
+    classes = docs.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), first.alias("first")).select(
+        "node", "n", F.col("first.id").alias("id"), F.col("first.tag").alias("tag")
+    )
     wanted = stored(candidates(df, text, classes, shingle, percent), "candidates")
     full = stored(full_sets(df, key, text, wanted, shingle), "candidate-sets")
     labels = joined(regions(full, n_buckets(full), percent), full, percent)
