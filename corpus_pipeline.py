@@ -11,7 +11,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from perplexis.llm import debruijn, jaccard, mixing, packing, quality
-from perplexis.sources.workspace import stored
+from perplexis.sources.workspace import cleared, new_path, stored
+
+
+def as_rows(docs: DataFrame) -> DataFrame:
+    """``row, id, text``: whole rows as one column, so that no name of theirs meets another."""
+    return docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), "text")
+
+
+def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``as_rows`` with their own columns again."""
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     which no group can be named after, all stay.
     """
     found = jaccard.grouped(docs, "doc_id", "text").where(F.col("id") == F.col("component_id"))
-    named = found.select(F.col("id").alias("_id"), F.col("node").alias("_named"), F.col("group").alias("_group")).distinct()
-    rows = jaccard.with_node(docs.where("doc_id IS NOT NULL"), "text", "_node")
-    place = F.row_number().over(Window.partitionBy("_id", "_group").orderBy(F.xxhash64("text"), "text"))
-    kept = rows.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("_node") == F.col("_named"))).withColumn("_place", place).where("_place = 1")
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    named = found.select(F.col("id").alias("group_id"), F.col("node").alias("group_node"), "group").distinct()
+    rows = jaccard.with_node(as_rows(docs.where("doc_id IS NOT NULL")), "text", "node")
+    met = rows.join(named, (F.col("id") == F.col("group_id")) & (F.col("node") == F.col("group_node")))
+    place = F.row_number().over(Window.partitionBy("id", "group").orderBy(F.xxhash64("text"), "text"))
+    kept = met.withColumn("place", place).where("place = 1")
+    return as_given(kept, docs).unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +56,13 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows of one ``doc_id`` are repeated alike; documents without words stay once.
     """
-    mixed = mixing.mix_exactly(docs, "doc_id", "text", "source")
+    mixed = mixing.mix(docs, "doc_id", "text", "source")
     taken, size = F.sum("taken"), F.sum("size")
-    times = mixed.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.when(size == 0, 1).otherwise(F.round(taken / size)).cast("int").alias("_times")
-    ).where("_times > 0")
-    repeated = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return repeated.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    times = mixed.groupBy(F.col("doc_id").alias("mixed_id")).agg(
+        F.when(size == 0, 1).otherwise(F.round(taken / size)).cast("int").alias("times")
+    ).where("times > 0")
+    repeated = as_rows(docs).join(times, F.col("id").eqNullSafe(F.col("mixed_id")))
+    return as_given(repeated.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,5 +85,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # What a stage stored on its way goes once its result is written.
+        with cleared(spark):
+            name = name.replace(" ", "-")
+            docs = stored(stage(spark, docs, sf_dir), name, new_path(spark, name))
     return STAGES[-1][1](spark, docs, sf_dir)
