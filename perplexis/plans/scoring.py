@@ -141,27 +141,32 @@ class Scorer:
 
         Outputs lie beside their inputs, or all in the folder ``output``. A run
         that was interrupted as it put them in place is finished first. A ledger
-        there remembers which files were scored, by path, length and time: those
-        are passed over unless ``again``.
+        there remembers which files were scored, by path, length and time, with
+        which text column, limit and window: those are passed over unless ``again``,
+        which a scorer with other models asks for.
         """
         home = output or _home(inputs)
         files.finish_interrupted(self.spark, home)
         listed = files.inputs_of(self.spark, inputs, suffix=suffix, output=output)
         if not listed:
             raise ValueError("The inputs hold no Parquet file to score.")
-        table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
+        options = f"text={text}, limit={limit}, max_tokens={self.max_tokens}"
+        table = self._table_of(listed, options)
         if not again:
-            known = files.scored_before(self.spark, home).select("path", "length", "modified", "output")
+            known = files.scored_before(self.spark, home).select(*table.columns)
             fresh = {r.path for r in table.join(known, table.columns, "left_anti").select("path").toLocalIterator()}
             listed = [f for f in listed if f.path in fresh]
         counts = None
         if listed:
             with cleared(self.spark):
                 counts = self._score_listed(listed, home, text, limit)
-            table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
-            files.enter_in_ledger(table.join(counts[0], "path"), home)
+            files.enter_in_ledger(self._table_of(listed, options).join(counts[0], "path"), home)
         return Written(self.spark, [f.output for f in listed], self._summary(counts))
 
+    def _table_of(self, listed: list[files.Input], options: str) -> DataFrame:
+        table = self.spark.createDataFrame(listed, "path string, length long, modified timestamp, output string")
+        return table.withColumn("options", F.lit(options))
+
     def _score_listed(self, listed: list[files.Input], home: str, text: str, limit: int) -> tuple[DataFrame, files.Staged]:
         paths = [f.path for f in listed]
         texts = files.read_texts(self.spark, paths, limit)

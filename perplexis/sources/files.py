@@ -21,7 +21,7 @@ FILE_KEYS = ("file", "row_id")
 # Rows whose values are broadcast to where their texts are read: 2 million of some 100 bytes.
 WAVE_ROWS = 1 << 21
 WAVES_AT_ONCE = 4
-LEDGER = "path string, length long, modified timestamp, output string, n_rows long, n_good long, n_null long"
+LEDGER = "path string, length long, modified timestamp, output string, options string, n_rows long, n_good long, n_null long"
 
 
 class Input(NamedTuple):

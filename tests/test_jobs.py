@@ -126,6 +126,9 @@ def test_outputs_beside_inputs_and_later_runs(spark, scorer, folder, tmp_path):
     assert listing(folder)["b_scored.parquet"] == times["b_scored.parquet"]
     assert sorted(r.id for r in third.table.collect()) == [6, 7, 8, 10]
     assert len(scorer.score_files([folder], again=True).outputs) == 3
+    # What was done with other options is no reason to pass a file over.
+    assert sorted(r.id for r in scorer.score_files([folder], limit=1).table.collect()) == [1, 6, 10]
+    assert len(scorer.score_files([folder], limit=1).outputs) == 0
 
 
 def test_limit_counts_rows_of_each_file(spark, scorer, folder, tmp_path):

@@ -76,3 +76,14 @@ def test_entry(spark):
     ]
     assert set(QUERIES) <= set(SQL)
     assert set(QUERIES) <= set(entry_points.queries())
+
+
+def test_what_is_absent_is_told_from_what_is_broken(tmp_path, monkeypatch):
+    """A folder left over with compiled files only counts as absent; a module that is there counts, whatever is in it."""
+    os.makedirs(tmp_path / "left" / "__pycache__")
+    (tmp_path / "left" / "__pycache__" / "queries.cpython-313.pyc").write_bytes(b"old")
+    os.makedirs(tmp_path / "broken")
+    (tmp_path / "broken" / "queries.py").write_text("import nothing_of_this_name")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert not entry_points._present("left.queries") and not entry_points._present("never.queries")
+    assert entry_points._present("broken.queries") and entry_points._present("perplexis.plans.registry")
