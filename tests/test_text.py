@@ -61,7 +61,8 @@ def test_padding(spark):
 def test_vocabularies(spark):
     left = K.vocabulary(_toks(spark, ["a b", "b c"]))
     right = K.vocabulary(_toks(spark, ["b c d"]))
-    assert {tuple(r) for r in K.vocabulary_difference(left, right).collect()} == {("a", "left"), ("d", "right")}
+    # a, b, c are 1, 2, 3 on the left; b, c, d are 1, 2, 3 on the right.
+    assert {tuple(r) for r in K.vocabulary_difference(left, right).collect()} == {("a", 1, None), ("b", 2, 1), ("c", 3, 2), ("d", None, 3)}
     K.require_same_vocabulary(left, left)
     try:
         K.require_same_vocabulary(left, right)
