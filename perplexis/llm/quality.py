@@ -7,13 +7,14 @@ rarer its statistics; the score is ``2 ** (-mean path / expected path)``. There
 is a forest for each statistic, and one for all of them together, each with its
 threshold; a text is anomalous if it passes any.
 
-The forest learns from a bounded sample of labelled rows: the ``SAMPLE`` rows
-of least hash. A tree grows on good rows and a handful of bad ones, which stand
-for outliers: they widen the ranges from which splits are drawn, but are too few
-to crowd. A threshold is the least that rejects at most ``MAX_GOOD_REJECTED``
-of the good rows, moved halfway to the bad rows above it; a forest with
-fewer bad rows above it than good ones is left out. Rows of any size pass the
-same way.
+The forests learn from all labelled rows, which are dealt to the trees: each row
+is in one tree of a forest at least, in several if a tree had fewer than ``TREE_ROWS``
+good rows (``BAD_TREE_ROWS`` bad ones) otherwise. Bad rows stand for outliers: they
+widen the ranges from which splits are drawn. A tree grows by a level at a time
+from counts and ranges of its leaves, down to ``MAX_DEPTH``; below, the expected path
+counts. A threshold is the least that rejects at most ``MAX_GOOD_REJECTED``
+of all good rows, moved halfway to the bad rows above it; a forest with
+fewer bad rows above it than good ones is left out.
 
 Defined results: a null or empty text has all statistics 0 and fails the first
 rule; repeated rows are judged each; with several labels for a key the worst
@@ -32,14 +33,15 @@ from pyspark.sql import functions as F
 
 from perplexis.llm import columns
 from perplexis.llm.columns import Words, mix, repeated
+from perplexis.sources.workspace import cleared, stored
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
-SAMPLE = 6000
 TREES = 50
 TREE_ROWS = 256
 BAD_TREE_ROWS = 6
+MAX_DEPTH = 9
 MAX_GOOD_REJECTED = 0.001
 SEED = 7
 
@@ -103,32 +105,50 @@ class Tree(NamedTuple):
     right: np.ndarray
     path: np.ndarray  # of a leaf: its depth and the expected rest
 
+    def leaves(self, rows: np.ndarray) -> np.ndarray:
+        """The leaf that each row reaches."""
+        at = np.zeros(len(rows), np.int64)
+        while (self.column[at] >= 0).any():
+            column = np.maximum(self.column[at], 0)
+            goes = rows[np.arange(len(rows)), column] <= self.split[at]
+            at = np.where(self.column[at] < 0, at, np.where(goes, self.left[at], self.right[at]))
+        return at
+
 
 def expected_path(n: float) -> float:
     """Mean path of an unsuccessful search among ``n`` rows."""
     return 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n if n > 2 else float(n == 2)
 
 
-def grow(rows: np.ndarray, rng: np.random.Generator) -> Tree:
-    limit = int(np.ceil(np.log2(max(2, len(rows)))))
-    nodes: list[list] = []
-
-    def node(part: np.ndarray, depth: int) -> int:
-        at = len(nodes)
-        nodes.append([-1, 0.0, at, at, depth + expected_path(len(part))])
-        low, high = part.min(axis=0), part.max(axis=0)
-        varied = np.flatnonzero(high > low)
-        if depth < limit and len(part) > 1 and len(varied):
-            column = int(rng.choice(varied))
-            split = rng.uniform(low[column], high[column])
-            goes = part[:, column] <= split
-            nodes[at][:2] = column, split
-            nodes[at][2] = node(part[goes], depth + 1)
-            nodes[at][3] = node(part[~goes], depth + 1)
-        return at
-
-    node(rows, 0)
-    return Tree(*(np.array(c) for c in zip(*nodes, strict=True)))
+class Growing:
+    """A tree that grows by a level at a time, from the extents of the rows in its open leaves."""
+
+    def __init__(self, columns: list[int], number: int):
+        self.columns, self.start = columns, number / TREES
+        self.rng = np.random.default_rng([SEED, len(columns), columns[0], number])
+        self.nodes: list[list] = [[-1, 0.0, 0, 0, 0.0]]
+        self.open = {0: 0}  # leaf and depth
+        self.limit = 0
+
+    def tree(self) -> Tree:
+        return Tree(*(np.array(c) for c in zip(*self.nodes, strict=True)))
+
+    def grow(self, extents: dict[int, tuple[int, np.ndarray, np.ndarray]]) -> None:
+        """``extents``: number of rows, least and greatest values of each open leaf that has rows."""
+        was, self.open = self.open, {}
+        for at, depth in was.items():
+            n, low, high = extents.get(at, (0, np.zeros(1), np.zeros(1)))
+            if at == 0:
+                self.limit = min(MAX_DEPTH, int(np.ceil(np.log2(max(2, n)))))
+            varied = np.flatnonzero(high > low)
+            self.nodes[at][4] = depth + expected_path(n)
+            if depth < self.limit and n > 1 and len(varied):
+                column = int(self.rng.choice(varied))
+                new = len(self.nodes)
+                self.nodes[at][:4] = column, self.rng.uniform(low[column], high[column]), new, new + 1
+                for child in (new, new + 1):
+                    self.nodes.append([-1, 0.0, child, child, 0.0])
+                    self.open[child] = depth + 1
 
 
 class Forest(NamedTuple):
@@ -144,39 +164,90 @@ class Forest(NamedTuple):
         rows = rows[:, self.columns]
         total = np.zeros(len(rows))
         for tree in self.trees:
-            at = np.zeros(len(rows), np.int64)
-            while (tree.column[at] >= 0).any():
-                column = np.maximum(tree.column[at], 0)
-                goes = rows[np.arange(len(rows)), column] <= tree.split[at]
-                at = np.where(tree.column[at] < 0, at, np.where(goes, tree.left[at], tree.right[at]))
-            total += tree.path[at]
+            total += tree.path[tree.leaves(rows)]
         return 2 ** (-total / len(self.trees) / self.usual)
 
 
+class Extent(NamedTuple):
+    """Rows of one leaf of a tree: how many, and their range in each feature of the tree."""
+
+    tree: int
+    leaf: int
+    n: int
+    low: np.ndarray
+    high: np.ndarray
+
+
+def extents(growing: list[Growing], rows: np.ndarray, places: np.ndarray, shares: np.ndarray) -> Iterator[Extent]:
+    """The rows' extents in all open leaves.
+
+    A row has a place from 0 to 1. It is in the trees that start less than its share before it.
+    """
+    for i, one in enumerate(growing):
+        if not one.open:
+            continue
+        part = rows[(places - one.start) % 1.0 < shares][:, one.columns]
+        at = one.tree().leaves(part)
+        part, at = part[(is_open := np.isin(at, list(one.open)))], at[is_open]
+        if not len(at):
+            continue
+        order = np.argsort(at, kind="stable")
+        part, at = part[order], at[order]
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        sizes = np.diff(np.append(starts, len(at)))
+        lows, highs = np.minimum.reduceat(part, starts), np.maximum.reduceat(part, starts)
+        yield from (Extent(i, int(at[s]), int(n), low, high) for s, n, low, high in zip(starts, sizes, lows, highs, strict=True))
+
+
+def shares_of(n_good: int, n_bad: int) -> tuple[float, float]:
+    """The part of the good and of the bad rows that a tree holds: every row is in one tree at least."""
+    return tuple(min(1.0, max(1 / TREES, least / max(n, 1))) for least, n in ((TREE_ROWS, n_good), (BAD_TREE_ROWS, n_bad)))
+
+
+def grown(n_good: int, n_bad: int, level: Callable[[list[Growing]], list[Extent]]) -> list[Forest]:
+    """Forests without thresholds; ``level`` gives the extents of all rows in the open leaves."""
+    every = list(range(len(STATS) - 1))
+    kinds = [every, *([c] for c in every)]
+    growing = [Growing(chosen, number) for chosen in kinds for number in range(TREES)]
+    while any(one.open for one in growing):
+        found: list[dict] = [{} for _ in growing]
+        for e in level(growing):
+            found[e.tree][e.leaf] = e.n, e.low, e.high
+        for one, its in zip(growing, found, strict=True):
+            one.grow(its)
+    usual = expected_path(shares_of(n_good, n_bad)[0] * n_good) or 1.0
+    return [
+        Forest(chosen, [one.tree() for one in growing[i * TREES:(i + 1) * TREES]], usual, np.inf)
+        for i, chosen in enumerate(kinds)
+    ]
+
+
+def allowed_above(n_good: int) -> int:
+    return int(MAX_GOOD_REJECTED * n_good)
+
+
+def with_threshold(forest: Forest, n_good: int, threshold: float, n_above: int, least_above: float | None) -> list[Forest]:
+    """The forest, if more bad rows are above the threshold than good ones; it would else reject those for nothing."""
+    if n_above <= allowed_above(n_good):
+        return []
+    return [forest._replace(threshold=float(threshold + least_above) / 2)]
+
+
 def fit(good: np.ndarray, bad: np.ndarray) -> list[Forest]:
-    """Forests on the statistics of good and bad rows, with their thresholds."""
+    """Forests on the statistics of few good and bad rows, with their thresholds. ``learn`` does the same over tables."""
     good, bad = (features(x[~base_failed(x)]) for x in (good, bad))
     if len(good) < 2:
         return []
-    rng = np.random.default_rng(SEED)
-    size = min(TREE_ROWS, len(good))
-
-    def drawn(chosen: list[int]) -> np.ndarray:
-        few = bad[rng.choice(len(bad), min(BAD_TREE_ROWS, len(bad)), replace=False)]
-        return np.concatenate([good[rng.choice(len(good), size, replace=False)], few])[:, chosen]
-
-    every = list(range(good.shape[1]))
-    forests = []
-    for chosen in [every, *([c] for c in every)]:
-        forest = Forest(chosen, [grow(drawn(chosen), rng) for _ in range(TREES)], expected_path(size) or 1.0, np.inf)
-        scores, allowed = np.sort(forest.scores(good)), int(MAX_GOOD_REJECTED * len(good))
-        threshold = scores[len(scores) - 1 - allowed]
+    rows = np.concatenate([good, bad])
+    places = np.random.default_rng(SEED).uniform(size=len(rows))
+    shares = np.repeat(shares_of(len(good), len(bad)), [len(good), len(bad)])
+    out = []
+    for forest in grown(len(good), len(bad), lambda growing: list(extents(growing, rows, places, shares))):
+        threshold = np.sort(forest.scores(good))[len(good) - 1 - allowed_above(len(good))]
         above = forest.scores(bad) if len(bad) else np.zeros(0)
         above = above[above > threshold]
-        # A forest that tells no bad rows apart would reject good ones for nothing.
-        if len(above) > allowed:
-            forests.append(forest._replace(threshold=float(threshold + above.min()) / 2))
-    return forests
+        out += with_threshold(forest, len(good), threshold, len(above), above.min() if len(above) else None)
+    return out
 
 
 def _verdicts(forests: list[Forest], stats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,18 +279,81 @@ def stats(df: DataFrame, keep: list[str], text: str) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(kept + [f"{s} long" for s in STATS]))
 
 
-def learn(df: DataFrame, key: str, text: str, labels: DataFrame, sample: int = SAMPLE) -> list[Forest]:
-    """The forests of a labelled sample; ``labels`` has ``key`` and ``quality`` (1 is good)."""
+def learn(df: DataFrame, key: str, text: str, labels: DataFrame) -> list[Forest]:
+    """The forests of all labelled rows; ``labels`` has ``key`` and ``quality`` (1 is good).
+
+    Statistics meet the labels, texts don't travel. Trees grow by a level at a
+    time: tasks send the extents of their rows in the open leaves, which combine to
+    one row for each leaf, a bounded number whatever the size of the table.
+    """
     chosen = (
         labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(key).alias("_key")).agg(F.min("quality").alias("_quality"))
-        .orderBy(F.xxhash64("_key"), "_key").limit(sample)
     )
-    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_words")).join(F.broadcast(chosen), "_key")
-    found = stats(rows, ["_key", "_quality"], "_words").orderBy(F.xxhash64("_key"), *STATS).limit(sample).toPandas()
-    values = found[STATS].to_numpy(np.int64)
-    is_good = (found["_quality"] == 1).to_numpy()
-    return fit(values[is_good], values[~is_good])
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_words"))
+    with cleared(df.sparkSession):
+        found = stats(rows, ["_key"], "_words").join(chosen, "_key")
+        place = F.pmod(F.xxhash64("_key", *STATS), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        return _learned(stored(found.select((F.col("_quality") == 1).alias("good"), place.alias("place"), *STATS), "labelled"))
+
+
+def _features_of(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Rows that pass the base rules, and their features."""
+    values = np.stack([batch.column(s).to_numpy() for s in STATS], axis=1).reshape(batch.num_rows, len(STATS))
+    passed = ~base_failed(values)
+    return batch.filter(pa.array(passed)), features(values[passed])
+
+
+def _learned(rows: DataFrame) -> list[Forest]:
+    """``rows``: ``good, place`` and ``STATS`` of the labelled rows, stored."""
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+    counts = rows.where(~failed).agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).first()
+    n_good, n_bad = counts.good, counts.bad
+    if n_good < 2:
+        return []
+    of_good, of_bad = shares_of(n_good, n_bad)
+    width = len(STATS) - 1
+
+    def level(growing: list[Growing]) -> list[Extent]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch, values = _features_of(batch)
+                shares = np.where(batch.column("good").to_numpy(zero_copy_only=False), of_good, of_bad)
+                sent = list(extents(growing, values, batch.column("place").to_numpy(), shares))
+                # A tree of one feature leaves the others 0.
+                wide = lambda name: np.array([np.pad(getattr(e, name), (0, width - len(e.low))) for e in sent]).reshape(-1, width).T
+                columns = [np.array([getattr(e, c) for e in sent], np.int64) for c in ("tree", "leaf", "n")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (*columns, *wide("low"), *wide("high"))], names=["tree", "leaf", "n", *lows, *highs]
+                )
+
+        lows, highs = ([f"{name}{c}" for c in range(width)] for name in ("low", "high"))
+        sent = rows.mapInArrow(run, ", ".join(["tree long, leaf long, n long", *(f"{c} double" for c in (*lows, *highs))]))
+        merged = sent.groupBy("tree", "leaf").agg(
+            F.sum("n").alias("n"), *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs]
+        )
+        own = lambda r, names: np.array([r[c] for c in names[:len(growing[r.tree].columns)]])
+        return [Extent(r.tree, r.leaf, r.n, own(r, lows), own(r, highs)) for r in merged.collect()]
+
+    forests = grown(n_good, n_bad, level)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch, values = _features_of(batch)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("good"), *(pa.array(f.scores(values)) for f in forests)], names=["good", *names]
+            )
+
+    names = [f"score{i}" for i in range(len(forests))]
+    scored = stored(rows.mapInArrow(score, ", ".join(["good boolean", *(f"{c} double" for c in names)])), "forest_scores")
+    out = []
+    for forest, name in zip(forests, names, strict=True):
+        # One good row in a thousand.
+        highest = scored.where("good").select(name).orderBy(F.col(name).desc()).limit(allowed_above(n_good) + 1)
+        threshold = highest.agg(F.min(name)).first()[0]
+        above = scored.where(~F.col("good") & (F.col(name) > threshold)).agg(F.count("*"), F.min(name)).first()
+        out += with_threshold(forest, n_good, threshold, above[0], above[1])
+    return out
 
 
 def judge(df: DataFrame, key: str, text: str, forests: list[Forest]) -> DataFrame:

@@ -64,6 +64,37 @@ def test_forest_tells_outliers():
     assert quality.fit(good[:1], bad) == []
 
 
+def test_forest_learns_from_every_labelled_row(spark, monkeypatch):
+    rng, n = np.random.default_rng(3), 7000
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) + (" #$%" * 30 if i % 50 == 0 else "") for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 50 > 0)) for i in range(n)], "doc_id long, quality int")
+    roots, original = [], quality.Growing.grow
+
+    def watched(self, found):
+        if self.open == {0: 0}:
+            roots.append((len(self.columns), found[0][0]))
+        original(self, found)
+
+    monkeypatch.setattr(quality.Growing, "grow", watched)
+    forests = quality.learn(docs, "doc_id", "text", labels)
+    trees = [rows for width, rows in roots if width == 4]
+    assert len(trees) == quality.TREES and sum(trees) >= n and max(trees) < 3 * quality.TREE_ROWS
+    got = quality.judge(docs, "doc_id", "text", forests).select("doc_id", "kept").collect()
+    # Thresholds hold over all good rows.
+    lost = sum(not r.kept for r in got if r.doc_id % 50)
+    assert forests and lost <= len(forests) * quality.MAX_GOOD_REJECTED * n
+    assert not any(r.kept for r in got if r.doc_id % 50 == 0)
+
+
+def test_rows_are_in_a_tree_at_least():
+    for n_good, n_bad in ((2, 0), (300, 5), (10**6, 10**5)):
+        for share in quality.shares_of(n_good, n_bad):
+            places = np.linspace(0, 1, 997, endpoint=False)
+            held = sum(((places - i / quality.TREES) % 1.0 < share).astype(int) for i in range(quality.TREES))
+            assert held.min() >= 1
+
+
 def test_shards(spark, docs, none):
     got = sharding.shards(docs, "doc_id", "text", limit=4000).collect()
     assert Counter((r.doc_id, r.n_bytes) for r in got) == Counter((i, len((t or "").encode())) for i, t, _ in ROWS)
