@@ -11,7 +11,7 @@ from perplexis.operators import metrics as M
 from perplexis.operators import model as L
 from perplexis.operators import sampling as S
 from perplexis.operators import tokens as K
-from perplexis.operators.lookup import hot_keys, hot_keys_of, salted_lookup
+from perplexis.operators.lookup import frequent_lookup, hot_keys, hot_keys_of, salted_lookup
 from tests.dense import Dense
 
 ALPHA, LAM = 0.4, 0.6
@@ -289,6 +289,41 @@ def test_no_key_of_a_draw_is_above_the_target(spark, model):
     assert counted[0] >= 3000 / 50 and cells < 30
 
 
+@pytest.mark.parametrize("most, target", [(1 << 16, 10), (4, 10), (4, 1), (4, 10**6)])
+def test_frequent_lookup_is_a_left_join(spark, most, target):
+    keys = ["a"] * 20 + ["b"] * 9 + ["c", "d", "gone", None] + ["lost"] * 15
+    rows = spark.createDataFrame(list(enumerate(keys)), "i int, k string")
+    table = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5)], "k string, v int")
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    got = frequent_lookup(rows, table, "k", counts, len(keys), target, most)
+    assert sorted(map(str, got.select("i", "k", "v").collect())) == sorted(map(str, rows.join(table, "k", "left").select("i", "k", "v").collect()))
+
+
+def test_positions_travel_without_what_nobody_asks_for(spark, model, rows, monkeypatch):
+    positions = K.token_pairs(as_table(spark, rows), "doc_id")
+    contexts = L.train_contexts(model)
+    pairs, n = M.trained_pair_metrics(contexts), positions.count()
+    # More positions than the target, but no pair of the shuffled ones is.
+    values = M.token_metrics(positions, pairs, ["doc_id"], hot_pairs=20, target=n - 1)
+    plan = M.document_scores(values, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in plan and "pos#" not in plan.replace("posexplode", "")
+    # Draws keep what their two parts need, and the words that are frequent don't shuffle.
+    kept, original = [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, name, path=None: kept.append((name, df.columns)) or original(df, name, path))
+    S.sampled_cross_perplexity(positions, contexts, ["doc_id"], 1).count()
+    assert "pos" not in dict(kept)["draws"]
+    drawn = S.draw_tokens(positions, contexts, ["doc_id"], 1, target=n - 1).drop("pos")
+    exchanges = [x for x in drawn._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning(tok" in x]
+    assert not any("md5" in x or "part#" in x for x in exchanges)
+
+
+def test_alias_tables_in_many_tasks(spark, model, monkeypatch):
+    weights = S.observer_weights(model)
+    whole = sorted(map(str, S.alias_tables(weights).collect()))
+    monkeypatch.setattr(S, "TASK_ROWS", 5)
+    assert sorted(map(str, S.alias_tables(weights).collect())) == whole
+
+
 def test_long_hot_pairs_and_words_are_split(spark):
     long = "w" * 2000
     rows = [("documents", i, [long, long] * 30) for i in range(10)] + [("conversations", 100 + i, ["a", f"b{i}"]) for i in range(50)]
