@@ -413,3 +413,42 @@ def test_metrics_of_given_logits(spark, t):
     assert M.document_scores(got, ["doc_id"]).count() == len(expected)
     with pytest.raises(ValueError):
         Z.logit_metrics(df, ["doc_id"], 0)
+
+
+def test_models_store_counts_and_pair_values_nothing(spark, rows, monkeypatch, tmp_path):
+    kept = []
+    for module in (L, M):
+        original = module.stored
+        monkeypatch.setattr(
+            module, "stored", lambda df, name, path=None, write=original: kept.append((name, df.columns)) or write(df, name, path)
+        )
+    trained = L.train(as_table(spark, rows), F.col("src") == "documents", F.lit(True), ALPHA, LAM, str(tmp_path / "m"))
+    assert not {"u_p", "u_q", "prob_p", "prob_q"} & set(dict(kept)["pairs"])
+    # Probabilities follow from the counts, before and after loading; ends have none.
+    listed = lambda m: sorted(map(str, m.pairs.collect()))
+    assert listed(trained) == listed(L.load_model(spark, str(tmp_path / "m")))
+    reference = dense(rows)
+    for r in trained.pairs.collect():
+        if r.next == K.END:
+            assert r.u_q is None and r.prob_q is None
+        else:
+            assert -math.log(r.prob_q) == pytest.approx(reference.nll(r.prev, r.next), abs=1e-12)
+    kept.clear()
+    contexts = L.train_contexts(trained)
+    pairs = M.trained_pair_metrics(contexts)
+    positions = K.token_pairs(as_table(spark, rows), "doc_id")
+    scores = {r.doc_id: r.score for r in M.document_scores(M.token_metrics(positions, pairs, ["doc_id"], hot_pairs=20), ["doc_id"]).collect()}
+    for _, i, text in rows:
+        assert scores[i] == pytest.approx(reference.score(text), nan_ok=True)
+    assert [name for name, _ in kept] == ["contexts", "hot_pairs"]
+    metadata = pairs.schema["pair"].metadata
+    assert metadata == {"seed": 0, "total": sum(len(text) for _, _, text in rows)}
+
+
+def test_slices_hold_every_row_once(spark, tmp_path):
+    texts = [("documents", i, ["w%d" % (i % 7), "v%d" % (i % 3)][: i % 3] * 50) for i in range(300)]
+    as_table(spark, texts).coalesce(1).write.parquet(str(tmp_path / "toks"))
+    toks = spark.read.parquet(str(tmp_path / "toks"))
+    parts = K.sliced(toks, slice_bytes=200)
+    assert parts.rdd.getNumPartitions() > 1 and K.sliced(toks) is toks
+    assert sorted(map(str, parts.collect())) == sorted(map(str, toks.collect()))
