@@ -15,8 +15,8 @@ by Spark joins that double their reach each time.
 Hashes only propose. For every distinct source span its words are hashed again
 with two other seeds at the source document and compared at each document that
 claims it. If a span doesn't agree, all is done again with another seed, so
-that no document loses a word to a collision. Edges are told apart by 80 bits:
-among 5 billion distinct ones about 0.00001 false matches are to be expected.
+that no document loses a word to a collision. Edges are told apart by 72 bits:
+among 5 billion distinct ones about 0.003 false matches are to be expected.
 
 Texts shuffle once; that exchange serves the source spans and the documents.
 Defined results: null or empty texts have no words; a text shorter than ``k``
@@ -80,7 +80,7 @@ def _unsteps(data: bytes, n: int) -> np.ndarray:
 def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
     """``bucket, ids, tags, firsts, steps, low, high, more``: packed edges of many documents.
 
-    An edge has a hash of 64 bits and 16 more of a second one with another base.
+    An edge has a hash of 64 bits and 8 more of a second one with another base.
     """
     def flush(kept: list[tuple]) -> pa.RecordBatch:
         ids, tags, counts, found, second = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -112,7 +112,7 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
                 words = columns.Words(*columns.flat(part.column(2)))
                 hashes = words.hashes(seed)
                 at, found = words.windows(hashes, k, seed)
-                second = (words.windows(hashes, k, seed + SECOND)[1] >> np.uint64(48)).astype(np.uint16)
+                second = (words.windows(hashes, k, seed + SECOND)[1] >> np.uint64(56)).astype(np.uint8)
                 counts = np.maximum(words.counts - k + 1, 0)
                 some = counts > 0
                 if some.any():
@@ -144,7 +144,7 @@ def repeats(packed: DataFrame, buckets: int) -> DataFrame:
                 tags.append(np.frombuffer(tag, np.int64)[doc])
                 places.append((at - first[doc]).astype(np.uint32))
                 hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(32)))
-                seconds.append(np.frombuffer(more, np.uint16))
+                seconds.append(np.frombuffer(more, np.uint8))
         hashes = np.concatenate(hashes)
         again = columns.repeated(hashes)
         hashes = hashes[again]

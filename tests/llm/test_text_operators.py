@@ -527,3 +527,11 @@ def test_texts_of_one_id_and_crc32(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_known, round(r.base_score, 6)) for r in scores) == Counter(
         (i, e[1], round(e[3], 6)) for (i, _), e in zip(rows, base_scores(rows, [True] * 3), strict=True)
     )
+
+
+def test_an_edge_takes_nine_bytes_of_hash(spark):
+    texts = [(i, " ".join(f"w{(i * 7 + j) % 40}" for j in range(30)), None) for i in range(20)]
+    rows = debruijn.keyed(brute.documents(spark, texts), "doc_id", "text")
+    packed = debruijn.edges(rows, 13, 4, 1).toArrow()
+    size = {c: sum(len(x) for x in packed[c].to_pylist()) for c in ("low", "high", "more")}
+    assert size == {"low": 4 * 20 * 18, "high": 4 * 20 * 18, "more": 20 * 18}
