@@ -77,10 +77,21 @@ def _unsteps(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(step)
 
 
+def _three_bytes(values: np.ndarray) -> bytes:
+    """The lowest 24 bits of each number."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _unthree_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel().astype(np.uint64)
+
+
 def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
     """``bucket, ids, tags, firsts, steps, low, high, more``: packed edges of many documents.
 
-    An edge has a hash of 64 bits and 8 more of a second one with another base.
+    An edge has 56 bits of a hash and 16 more of a second one with another base.
     """
     def flush(kept: list[tuple]) -> pa.RecordBatch:
         ids, tags, counts, found, second = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -96,7 +107,7 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
             own = np.unique(np.searchsorted(firsts, part, "right") - 1)
             row = (
                 int(bucket[start]), ids[own].tobytes(), tags[own].tobytes(), firsts[own].tobytes(), _steps(part),
-                hashes.astype(np.uint32).tobytes(), (hashes >> np.uint64(32)).astype(np.uint32).tobytes(), second[part].tobytes(),
+                hashes.astype(np.uint32).tobytes(), _three_bytes(hashes >> np.uint64(32)), second[part].tobytes(),
             )
             for x, value in zip(out, row, strict=True):
                 x.append(value)
@@ -112,7 +123,7 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
                 words = columns.Words(*columns.flat(part.column(2)))
                 hashes = words.hashes(seed)
                 at, found = words.windows(hashes, k, seed)
-                second = (words.windows(hashes, k, seed + SECOND)[1] >> np.uint64(56)).astype(np.uint8)
+                second = (words.windows(hashes, k, seed + SECOND)[1] >> np.uint64(48)).astype(np.uint16)
                 counts = np.maximum(words.counts - k + 1, 0)
                 some = counts > 0
                 if some.any():
@@ -143,8 +154,8 @@ def repeats(packed: DataFrame, buckets: int) -> DataFrame:
                 ids.append(np.frombuffer(own, np.int64)[doc])
                 tags.append(np.frombuffer(tag, np.int64)[doc])
                 places.append((at - first[doc]).astype(np.uint32))
-                hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(32)))
-                seconds.append(np.frombuffer(more, np.uint8))
+                hashes.append(np.frombuffer(low, np.uint32).astype(np.uint64) | (_unthree_bytes(high) << np.uint64(32)))
+                seconds.append(np.frombuffer(more, np.uint16))
         hashes = np.concatenate(hashes)
         again = columns.repeated(hashes)
         hashes = hashes[again]

@@ -534,4 +534,6 @@ def test_an_edge_takes_nine_bytes_of_hash(spark):
     rows = debruijn.keyed(brute.documents(spark, texts), "doc_id", "text")
     packed = debruijn.edges(rows, 13, 4, 1).toArrow()
     size = {c: sum(len(x) for x in packed[c].to_pylist()) for c in ("low", "high", "more")}
-    assert size == {"low": 4 * 20 * 18, "high": 4 * 20 * 18, "more": 20 * 18}
+    assert size == {"low": 4 * 20 * 18, "high": 3 * 20 * 18, "more": 2 * 20 * 18}
+    numbers = np.array([0, 1, 255, 256, (1 << 24) - 1, (1 << 32) - 1], np.uint64)
+    assert debruijn._unthree_bytes(debruijn._three_bytes(numbers)).tolist() == [0, 1, 255, 256, (1 << 24) - 1, (1 << 24) - 1]
