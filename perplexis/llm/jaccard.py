@@ -13,12 +13,17 @@ each document's component under links.
 3. Regions: candidates that share a shingle early in the order of rarity (rarest
    first, by exact counts over candidates), where any linked pair must share one.
    Regions of the same members are one. Frequent shingles come last and so
-   matter only to sets made of them.
+   matter only to sets made of them. Each member knows how many of its shingles
+   come before the region's: for the first one a pair shares, the rest of either
+   set bounds what they have in common, so that in its region this loses no link.
 4. Rounds. A region takes pivots, measures those members against them that are
-   in other components and near enough in size, and links merge components. The
+   in other components, near enough in size and have enough left to share, and
+   links merge components. Pivots have the fewest rarer shingles of their own:
+   a text that others were made from is near to all that can link at all. The
    first pivots, one in each of a few rounds, come from the region's main
    component and draw most members into it; later ones are what is left outside. A region
-   within one component is done; so are pivots. A very large region splits into the pivots' Voronoi cells;
+   within one component is done; so are pivots, and members that have too little
+   left for the smallest of the region. A very large region splits into the pivots' Voronoi cells;
    a member also enters each cell whose pivot is no farther than its own pivot
    plus twice the link distance (triangle inequality), which loses no link. A
    split that replicates more than it parts is not made. Small regions measure
@@ -219,7 +224,7 @@ def full_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: in
 
 
 def regions(full: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """``region, node, n``: which candidates share which early shingle (step 3)."""
+    """``region, node, n, pos``: which candidates share which early shingle, their ``pos``-th (step 3)."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return packed((
             (k, np.frombuffer(h, np.uint64)) for batch in batches
@@ -251,8 +256,11 @@ def regions(full: DataFrame, buckets: int, percent: int) -> DataFrame:
                 if left > 0:
                     chosen = hashes[np.lexsort((hashes, often))][:left].view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(chosen), pa.array([node.as_py()] * len(chosen), pa.binary()), pa.array(np.full(len(chosen), n), pa.int64())],
-                        names=["region", "node", "n"],
+                        [
+                            pa.array(chosen), pa.array([node.as_py()] * len(chosen), pa.binary()),
+                            pa.array(np.full(len(chosen), n), pa.int64()), pa.array(np.arange(len(chosen)) + (n - len(hashes)), pa.int64()),
+                        ],
+                        names=["region", "node", "n", "pos"],
                     )
 
     counted = full.select("node", "hashes").mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(
@@ -260,13 +268,14 @@ def regions(full: DataFrame, buckets: int, percent: int) -> DataFrame:
     )
     gathered = counted.groupBy("node").agg(F.collect_list(F.struct("hashes", "often")).alias("parts"))
     rows = full.select("node", "n").join(gathered, "node").select("node", "n", "parts").mapInArrow(
-        early, "region long, node binary, n long"
+        early, "region long, node binary, n long, pos long"
     )
     rows = stored(rows, "shingle-regions")
+    # Of regions alike, the one whose shingle comes first: it comes first in every member.
     alike = rows.groupBy("region").agg(
-        F.count("*").alias("members"),
+        F.count("*").alias("members"), F.sum("pos").alias("place"),
         F.expr("bit_xor(xxhash64(node))").alias("one"), F.expr("bit_xor(xxhash64(node, 1))").alias("two"),
-    ).where("members > 1").groupBy("members", "one", "two").agg(F.min("region").alias("region"))
+    ).where("members > 1").groupBy("members", "one", "two").agg(F.min(F.struct("place", "region"))["region"].alias("region"))
     return rows.join(alike.select("region"), "region")
 
 
@@ -300,15 +309,22 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     link = F.col("common") * 100 >= F.col("total") * percent
     distance = 1 - F.col("common") / F.col("total")
     near = 1 - percent / 100
+
+    def enough(common: Column, sizes: Column) -> Column:
+        return common * (100 + percent) >= sizes * percent
+
     turn = 0
     while True:
         at = labels.select(F.col("node").alias("_n"), "comp")
         rows = rows.join(at, F.col("node") == F.col("_n")).drop("_n")
-        parts = rows.groupBy("region", "comp").agg(F.count("*").alias("n_comp"))
+        parts = rows.groupBy("region", "comp").agg(F.count("*").alias("n_comp"), F.min("n").alias("least"))
         state = parts.groupBy("region").agg(
-            F.sum("n_comp").alias("members"), F.count("*").alias("comps"), F.max(F.struct("n_comp", "comp"))["comp"].alias("main")
+            F.sum("n_comp").alias("members"), F.count("*").alias("comps"), F.min("least").alias("least"),
+            F.max(F.struct("n_comp", "comp"))["comp"].alias("main"),
         ).where("comps > 1").drop("comps")
-        rows = stored(rows.join(state, "region"), "open-regions")
+        smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+        rows = rows.join(state, "region").where(enough(F.col("n") - F.col("pos"), F.col("n") + smallest)).drop("least")
+        rows = stored(rows, "open-regions")
         if rows.isEmpty():
             return labels
         star = turn < STARS
@@ -316,14 +332,15 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         large = rows.where(F.lit(star) | (F.col("members") > SMALL))
         # Stars first pull what they can into the main component; what is left outside is then measured against all.
         outside = F.col("comp") != F.col("main")
-        order = [outside if star else ~outside, F.xxhash64("node", F.lit(turn)), F.col("node")]
+        order = [outside if star else ~outside, F.col("pos"), F.xxhash64("node", F.lit(turn)), F.col("node")]
         place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
         most = 1 if star else PIVOTS
-        pivot = [F.col("region").alias("_region"), *(F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "comp"))]
+        pivot = [F.col("region").alias("_region"), *(F.col(c).alias(f"pivot_{c}") for c in ("node", "n", "pos", "comp"))]
         chosen = large.withColumn("place", place).where(F.col("place") <= most).select(*pivot)
         may_link = (
             (F.col("comp") != F.col("pivot_comp"))
             & (F.col("n") * 100 >= F.col("pivot_n") * percent) & (F.col("pivot_n") * 100 >= F.col("n") * percent)
+            & enough(F.least(F.col("n") - F.col("pos"), F.col("pivot_n") - F.col("pivot_pos")), F.col("n") + F.col("pivot_n"))
         )
         same = F.col("region") == F.col("_region")
         asked = large.join(chosen, same & may_link).select(F.col("pivot_node").alias("pivot"), "node")
@@ -341,7 +358,7 @@ def joined(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         found = stored(measured(pairs.distinct(), full), "measured")
         labels = merged(labels, found.where(link).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         done = chosen.select(F.col("_region").alias("region"), F.col("pivot_node").alias("node"))
-        rows = large.select("region", "node", "n").join(done, ["region", "node"], "left_anti")
+        rows = large.select("region", "node", "n", "pos").join(done, ["region", "node"], "left_anti")
         if parting:
             rows = cells(rows, spread.join(found.select("pivot", "node", distance.alias("distance")), ["pivot", "node"]), near)
         turn += 1
@@ -355,7 +372,7 @@ def cells(rows: DataFrame, distances: DataFrame, near: float) -> DataFrame:
     copies = inside.groupBy("region").agg(F.count("*").alias("copies"))
     parted = size.join(copies, "region").where(F.col("copies") <= MOST_COPIES * F.col("members")).select("region")
     split = rows.join(parted, "region").join(inside.select("region", "node", "pivot"), ["region", "node"]).select(
-        F.xxhash64("region", "pivot").alias("region"), "node", "n"
+        F.xxhash64("region", "pivot").alias("region"), "node", "n", "pos"
     )
     return split.unionByName(rows.join(parted, "region", "left_anti"))
 

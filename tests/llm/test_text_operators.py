@@ -342,6 +342,34 @@ def test_jaccard_of_one_crowded_region(spark, monkeypatch, small, pivots):
     )
 
 
+def test_jaccard_measures_a_family_against_few(spark, monkeypatch):
+    """Near copies of one text, many of which link with none: pairs measured follow the members."""
+    import random
+
+    rng = random.Random(4)
+    base = brute.prose(rng, 100).split(" ")
+    rows = []
+    for i in range(160):
+        # Some are of other sizes, so that what is left to share depends on both.
+        text = base[: 100 - 12 * (i % 5 == 4)]
+        for j in range(rng.randrange(6)):
+            text[rng.randrange(len(text))] = f"new{i}x{j}"
+        rows.append((i, " ".join(text)))
+    pairs = []
+
+    def counted(asked, full):
+        pairs.append(asked.count())
+        return measured(asked, full)
+
+    measured = jaccard.measured
+    monkeypatch.setattr(jaccard, "measured", counted)
+    got = jaccard.join(brute.documents(spark, [(i, t, None) for i, t in rows]), "doc_id", "text")
+    want = Counter((i, *e) for (i, _), e in zip(rows, brute.components(rows), strict=True))
+    assert found(got, "doc_id", "n_shingles", "component_id") == want
+    assert len({c for _, _, c in want}) > 30
+    assert sum(pairs) <= 3 * len(rows)
+
+
 def test_language(spark, none):
     import random
 
