@@ -35,13 +35,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows of one ``doc_id`` whose texts don't link are groups of their own and
     all stay; of those without words one stays for each id. Rows without an id,
-    which no group can be named after, all stay.
+    which no group can be named after, all stay. Rows meet their groups by id and
+    the hashes of their text, and so don't leave Spark.
     """
     found = jaccard.grouped(docs, "doc_id", "text").where(F.col("id") == F.col("component_id"))
-    named = found.select(F.col("id").alias("group_id"), F.col("node").alias("group_node"), "group").distinct()
-    rows = jaccard.with_node(as_rows(docs.where("doc_id IS NOT NULL")), "text", "node")
-    met = rows.join(named, (F.col("id") == F.col("group_id")) & (F.col("node") == F.col("group_node")))
-    place = F.row_number().over(Window.partitionBy("id", "group").orderBy(F.xxhash64("text"), "text"))
+    named = found.select("id", "tag", "mark", "group").distinct()
+    # The text moves once, within its row.
+    rows = as_rows(docs.where("doc_id IS NOT NULL")).select("row", "id", *jaccard.named_text("text"))
+    met = rows.join(named, ["id", "tag", "mark"])
+    place = F.row_number().over(Window.partitionBy("id", "group").orderBy("tag", F.col("row").getField("text")))
     kept = met.withColumn("place", place).where("place = 1")
     return as_given(kept, docs).unionByName(docs.where("doc_id IS NULL"))
 

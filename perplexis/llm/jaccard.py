@@ -161,20 +161,28 @@ def frequencies(hashes: np.ndarray) -> np.ndarray:
     return count[back]
 
 
+def named_text(text: str) -> list[Column]:
+    """``tag, mark``: a text as 128 bits, in two hashes of different seeds."""
+    return [F.xxhash64(text).alias("tag"), F.xxhash64(F.lit(1), text).alias("mark")]
+
+
 def classes_of(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``id, tag, n, node`` for every row; ``node`` names the shingle set, ``tag`` the text."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
+    """``id, tag, mark, n, node`` for every row; ``node`` names the shingle set, ``tag`` and ``mark`` the text."""
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *named_text(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in columns.pieces(batch, "text"):
                 found = [(len(s), set_key(s)) for s in sets(part.column(1), shingle)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.binary())],
-                    names=["id", "tag", "n", "node"],
+                    [
+                        part.column(0), part.column(2), part.column(3),
+                        pa.array([n for n, _ in found], pa.int64()), pa.array([k for _, k in found], pa.binary()),
+                    ],
+                    names=["id", "tag", "mark", "n", "node"],
                 )
 
-    return rows.mapInArrow(run, "id long, tag long, n long, node binary")
+    return rows.mapInArrow(run, "id long, tag long, mark long, n long, node binary")
 
 
 def candidates(df: DataFrame, text: str, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -377,26 +385,13 @@ def cells(rows: DataFrame, distances: DataFrame, near: float) -> DataFrame:
     return split.unionByName(rows.join(parted, "region", "left_anti"))
 
 
-def with_node(df: DataFrame, text: str, name: str, shingle: int = SHINGLE) -> DataFrame:
-    """All rows and columns, and as ``name`` the node of the row's shingle set."""
-    row = df.select(F.struct(*df.columns).alias("row"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in columns.pieces(batch, "text"):
-                nodes = pa.array([set_key(s) for s in sets(part.column(1), shingle)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), nodes], names=["row", "node"])
-
-    found = row.mapInArrow(run, f"row {row.schema['row'].dataType.simpleString()}, node binary")
-    return found.select(*(F.col("row").getField(c).alias(c) for c in df.columns), F.col("node").alias(name))
-
-
 def grouped(
     df: DataFrame, key: str, text: str, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """``id, n, node, group, component_id`` for every row.
+    """``id, tag, mark, n, node, group, component_id`` for every row.
 
     ``group`` tells components apart, also those of one name; null without words.
+    ``tag`` and ``mark`` (``named_text``) tell the row's text.
     """
     docs = stored(classes_of(df, key, text, shingle), "shingle-sets")
     # The least id, and one text of it; null only where all are.
@@ -414,7 +409,7 @@ def grouped(
         F.col("node").alias("_node"), F.coalesce("comp", "node").alias("group"), F.coalesce("component", "id").alias("component")
     )
     return docs.join(named, F.when(F.col("n") > 0, F.col("node")) == F.col("_node"), "left").select(
-        "id", "n", "node", "group",
+        "id", "tag", "mark", "n", "node", "group",
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
     )
 

@@ -191,6 +191,19 @@ def test_near_duplicates_of_one_id_with_other_texts(spark):
     assert [r.text for r in left if r.doc_id is None] == [a]
 
 
+def test_near_duplicates_keep_rows_within_spark(spark):
+    """Whole rows meet their groups without passing through Python, and their texts move once."""
+    rng = random.Random(8)
+    a, b = brute.prose(rng, 60), brute.prose(rng, 60)
+    rows = [(4, a, "s"), (2, a, "s"), (4, b, "s"), (9, b + " end", "s"), (9, "a b", "s"), (9, "A  b", "s"), (6, "", "s"), (6, None, "s"), (None, a, "t")]
+    left = stage(spark, "n-gram Jaccard join", rows)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "FlatMapGroupsInArrow" not in plan
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    assert len(kept) == 5 and {(2, a), (4, b), (None, a)} <= set(kept)
+    assert sum(i == 9 and t.lower().split() == ["a", "b"] for i, t in kept) == 1 and sum(i == 6 and not t for i, t in kept) == 1
+
+
 def test_small_sources_meet_their_targets(spark, monkeypatch):
     """One large source and small ones, in blocks larger than these."""
     sizes = {"a": [500] * 40, "b": [3, 4], "c": [40] * 3, None: [7]}
