@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ from perplexis.sources.workspace import stored
 K = 13
 BUCKET_BYTES = 4 << 20
 FLUSH = 1 << 19
+PIECE_BYTES = 1 << 18
 SECOND = 300  # from the seed of an edge's hash to that of its second
 NO_ID = (1 << 63) - 1
 RUN = ["id", "tag", "start", "edges", "source_id", "source_tag", "source_start"]
@@ -119,7 +121,7 @@ def edges(rows: DataFrame, k: int, buckets: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, n = [], 0
         for batch in batches:
-            for part in columns.pieces(batch, "text"):
+            for part in columns.pieces(batch, "text", PIECE_BYTES):
                 words = columns.Words(*columns.flat(part.column(2)))
                 hashes = words.hashes(seed)
                 at, found = words.windows(hashes, k, seed)
@@ -282,7 +284,7 @@ def source_hashes(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in columns.pieces(batch, "text"):
+            for part in columns.pieces(batch, "text", PIECE_BYTES):
                 words = _words(part.column(2))
                 owner, fields = _listed(part.column(3))
                 one, two = _spans(words, _sums(words), owner, fields["source_start"], fields["edges"] + k - 1)
@@ -306,7 +308,7 @@ def cut(texts: DataFrame, spans: DataFrame, k: int, make, names: str) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in columns.pieces(batch, "text"):
+            for part in columns.pieces(batch, "text", PIECE_BYTES):
                 words = _words(part.column(part.schema.get_field_index("text")))
                 owner, fields = _listed(part.column(part.schema.get_field_index("spans")))
                 agreed = np.ones(part.num_rows, bool)
@@ -364,28 +366,24 @@ def summary(df: DataFrame, key: str, text: str, k: int = K) -> DataFrame:
 
 def remove(df: DataFrame, key: str, text: str, k: int = K) -> DataFrame:
     """All rows and columns; of a text that loses words, what is left, joined by one space."""
-    others = F.struct(*df.columns).alias("row")
+    others = F.struct(*(c for c in df.columns if c != text)).alias("row")
 
     def make(part: pa.RecordBatch, words: columns.Words, removed: np.ndarray, agreed: np.ndarray) -> pa.RecordBatch:
         lost = np.bincount(words.owner, weights=removed, minlength=part.num_rows) > 0
         left = [x.decode() if was else None for x, was in zip(kept_words(words, removed), lost, strict=True)]
+        texts = pc.if_else(pa.array(lost), pa.array(left, pa.string()), part.column(part.schema.get_field_index("text")))
         return pa.RecordBatch.from_arrays(
-            [part.column(part.schema.get_field_index("row")), pa.array(lost), pa.array(left, pa.string()), pa.array(agreed)],
-            names=["row", "lost", "left", "agreed"],
+            [part.column(part.schema.get_field_index("row")), texts, pa.array(agreed)], names=["row", "text", "agreed"]
         )
 
     seed = 0
     while True:
         _, spans = verified_spans(df, key, text, k, seed)
-        texts = df.select(others).select(
-            F.coalesce(F.col(f"row.{key}").cast("long"), F.lit(NO_ID)).alias("id"),
-            tagged(F.col(f"row.{text}"), seed).alias("tag"),
-            F.col(f"row.{text}").alias("text"), "row",
+        # The text moves once, beside its row.
+        texts = df.select(others, F.col(text).alias("text")).select(
+            F.coalesce(F.col(f"row.{key}").cast("long"), F.lit(NO_ID)).alias("id"), tagged(F.col("text"), seed).alias("tag"), "text", "row"
         )
-        out = stored(cut(texts, spans, k, make, f"row {df.select(others).schema['row'].dataType.simpleString()}, lost boolean, left string, agreed boolean"), "cut")
+        out = stored(cut(texts, spans, k, make, f"row {texts.schema['row'].dataType.simpleString()}, text string, agreed boolean"), "cut")
         if out.where("NOT agreed").isEmpty():
-            return out.select(*(
-                F.when(F.col("lost"), F.col("left")).otherwise(F.col(f"row.{c}")).alias(c) if c == text else F.col(f"row.{c}").alias(c)
-                for c in df.columns
-            ))
+            return out.select(*(F.col("text" if c == text else f"row.{c}").alias(c) for c in df.columns))
         seed += 1

@@ -54,6 +54,7 @@ SHINGLE = 5
 PERCENT = 75
 BUCKET_BYTES = 8 << 20
 FLUSH = 1 << 19
+PIECE_BYTES = 1 << 18
 STARS = 4
 PIVOTS = 64
 SMALL = 64
@@ -172,7 +173,7 @@ def classes_of(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in columns.pieces(batch, "text"):
+            for part in columns.pieces(batch, "text", PIECE_BYTES):
                 found = [(len(s), set_key(s)) for s in sets(part.column(1), shingle)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -192,7 +193,7 @@ def candidates(df: DataFrame, text: str, classes: DataFrame, shingle: int, perce
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return packed((
             (set_key(s), s[: leading(len(s), percent)])
-            for batch in batches for part in columns.pieces(batch, "text")
+            for batch in batches for part in columns.pieces(batch, "text", PIECE_BYTES)
             for s in sets(part.column(0), shingle) if len(s)
         ), buckets)
 
@@ -217,7 +218,7 @@ def full_sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in columns.pieces(batch, "text"):
+            for part in columns.pieces(batch, "text", PIECE_BYTES):
                 nodes = part.column(0).to_pylist()
                 found = [(k, len(s), s.tobytes()) for k, s in zip(nodes, sets(part.column(1), shingle), strict=True) if set_key(s) == k]
                 kinds = (pa.binary(), pa.int64(), pa.binary())

@@ -294,6 +294,30 @@ def test_de_bruijn(spark, docs, none):
     assert debruijn.summary(none, "doc_id", "text").isEmpty() and debruijn.remove(none, "doc_id", "text").isEmpty()
 
 
+def test_tables_of_powers_stay_short():
+    """Powers of a long text come from short tables, and are the powers."""
+    values = np.ones(3 * columns.COLUMN + 5, np.uint64)
+    base, inverse = columns._base(7)
+    raised = [pow(base, i, 1 << 64) for i in range(len(values))]
+    assert columns.powers(len(values), 7).tolist() == raised
+    assert columns.inverse_powers(np.arange(len(values)), len(values), 7).tolist() == [pow(inverse, i, 1 << 64) for i in range(len(values))]
+    assert columns.sums(values, 7).tolist() == [0, *(int(x) for x in np.cumsum(np.array(raised, np.uint64)))]
+    columns.sums(np.ones(1 << 21, np.uint64), 7)
+    assert sum(len(t) for tables in columns._powers.values() for t in tables) < 1 << 17
+
+
+def test_texts_move_once_where_passages_go(spark, docs, monkeypatch):
+    """Beside its text a row holds its other columns only, and all come out as they were."""
+    asked, cut = [], debruijn.cut
+    monkeypatch.setattr(debruijn, "cut", lambda texts, *others: asked.append(texts.schema) or cut(texts, *others))
+    left = debruijn.remove(docs, "doc_id", "text")
+    assert [c for c in docs.columns if c != "text"] == asked[0]["row"].dataType.names
+    rows = [(i, t) for i, t, _ in ROWS]
+    assert found(left, "doc_id", "text", "source") == Counter(
+        (i, kept.decode() if gone else t, s) for (i, t, s), (_, gone, kept) in zip(ROWS, brute.cut_words(rows, 13), strict=True)
+    )
+
+
 def test_paths_join_runs_that_always_follow(spark):
     # Source 0 holds [0, 4), source 1 [7, 9); documents 5 and 6 take one after the other.
     runs = [(5, 0, 0, 4, 0, 0, 0), (5, 0, 4, 2, 1, 0, 7), (6, 0, 10, 4, 0, 0, 0), (6, 0, 14, 2, 1, 0, 7), (7, 0, 0, 3, 2, 0, 0)]
